@@ -21,21 +21,18 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one dirty order per line item; ids repeat.
 
     Customers join orders before line items do: the narrow side is shuffled
-    again, not the long one.
+    again, not the long one.  Orders and line items both grow with the data, so
+    neither is ever broadcast; the other tables are if Spark finds them small.
     """
-    places = (
-        table(spark, sf_dir, "nation")
+    placed = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name")
     )
-    buyers = (
-        table(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "n_name", "r_name")
-    )
-    placed = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         table(spark, sf_dir, "lineitem")
+        .hint("merge")
         .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )

@@ -15,15 +15,17 @@ from orderflow.constants import REPORT_DAYS, TOP_CITIES, TOP_PRODUCTS
 from orderflow.functions.money import average, money, percent, revenue
 from orderflow.functions.status import is_cancelled, is_placed
 
-# The frame of a grand total.  It follows a grouping, so one task sees one row
-# per category or payment method, however many orders there are.
-_ALL_GROUPS = Window.partitionBy()
-
 
 def _count() -> Column:
     return F.count(F.lit(1))
 
 
+def _share(part: str) -> Column:
+    """Percent of the grand total.  It follows a grouping, so the one task that
+    forms the total sees a row per category or payment method, not per order."""
+    return percent(F.col(part), F.sum(part).over(Window.partitionBy()))
+
+
 def daily_revenue(
     orders: DataFrame,
     as_of: Column | dt.date | None = None,
@@ -53,7 +55,7 @@ def category_share(orders: DataFrame) -> DataFrame:
             "category",
             "orders",
             F.col("exact").cast("double").alias("revenue"),
-            percent(F.col("exact"), F.sum("exact").over(_ALL_GROUPS)).alias("pct_of_revenue"),
+            _share("exact").alias("pct_of_revenue"),
         )
         .orderBy(F.desc("revenue"), "category")
     )
@@ -110,6 +112,6 @@ def payment_mix(orders: DataFrame) -> DataFrame:
         orders.where(is_placed())
         .groupBy("payment_method")
         .agg(_count().alias("orders"))
-        .withColumn("pct", percent(F.col("orders"), F.sum("orders").over(_ALL_GROUPS)))
+        .withColumn("pct", _share("orders"))
         .orderBy(F.desc("orders"), "payment_method")
     )

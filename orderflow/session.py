@@ -13,6 +13,26 @@ TIME_ZONE = "spark.sql.session.timeZone"
 SHARED_DIR = "spark.checkpoint.dir"
 
 
+def engine_session(
+    master: str | None = None, settings: dict[str, str] | None = None
+) -> SparkSession:
+    """A session with what the engine relies on; ``settings`` come last.
+
+    AQE sizes shuffles, splits skewed joins and skewed writes while a query runs.
+    """
+    builder = (
+        SparkSession.builder.appName("orderflow")
+        .config(TIME_ZONE, "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.ui.enabled", "false")
+    )
+    if master is not None:
+        builder = builder.master(master)
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Set the session zone to UTC: order_date and order_hour depend on it."""
     spark.conf.set(TIME_ZONE, "UTC")
