@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -39,7 +39,7 @@ from orderflow.streaming.runs import finish, start  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The live state is small: a row per category and day.
-STATE_PARTITIONS = 16
+STATE_PARTITIONS = 8
 
 
 def _comparable(orders: DataFrame) -> DataFrame:
@@ -57,10 +57,15 @@ def _report(report: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def _daily_revenue(orders: DataFrame) -> DataFrame:
+def _last_day(orders: DataFrame) -> Column:
     """The test data ends in the past, so its last day stands for today."""
-    today = orders.agg(F.max("order_date")).scalar()
-    return reports.daily_revenue(orders, as_of=today)
+    return orders.agg(F.max("order_date")).scalar()
+
+
+def report_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # All copies of an order share its date, so the raw orders know the last day.
+    today = _last_day(clean_orders(fixtures.raw_orders(spark, sf_dir)))
+    return reports.daily_revenue(fixtures.processed_orders(spark, sf_dir), as_of=today)
 
 
 # Curation.
@@ -145,7 +150,8 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_revenue(_registered(spark, sf_dir))
+    orders = _registered(spark, sf_dir)
+    return reports.daily_revenue(orders, as_of=_last_day(orders))
 
 
 def catalog_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +168,7 @@ def catalog_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Retention: raw orders, landed on the day they ship.
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, F.Column]:
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     raw = fixtures.raw_orders(spark, sf_dir).withColumns(
         {
             "year": F.year("l_shipdate"),
@@ -300,7 +306,7 @@ def rt_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Query] = {
-    "report_daily_revenue": _report(_daily_revenue),
+    "report_daily_revenue": report_daily_revenue,
     "report_category_share": _report(reports.category_share),
     "report_top_products": _report(reports.top_products),
     "report_hourly": _report(reports.hourly_pattern),

@@ -160,5 +160,5 @@ def stage(records: DataFrame, path: str, batches: int = 4) -> int:
     """
     cores = records.sparkSession.sparkContext.defaultParallelism
     files = max(batches, cores)
-    records.repartition(files).write.json(path)
+    records.repartition(files, "sequence_number").write.json(path)
     return -(-files // batches)

@@ -50,7 +50,9 @@ def run_incremental(
         write_processed(orders, out_path, run_id)
         # Counting the files reads footers only, and stays right if tasks ran twice.
         written = session.read.schema(PROCESSED).parquet(run_path(out_path, run_id)).count()
-        done.append(RunMetrics(run_id, seen.get["rows"], written))
+        # Every id keeps a row, so nothing written means that there was nothing new.
+        if written:
+            done.append(RunMetrics(run_id, seen.get["rows"], written))
 
     writer = read_new_raw(spark, raw_path).writeStream.foreachBatch(curate)
     finish(start(writer, checkpoint, available_now=True), timeout)

@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from orderflow.operators.clean import clean_orders
+from orderflow.schema import PROCESSED
+from orderflow.session import conf_scope
+from tests.conftest import rows
+
+
+def test_columns_and_types(raw):
+    clean = clean_orders(raw({}))
+    assert clean.columns == PROCESSED.fieldNames()
+    assert [f.dataType for f in clean.schema] == [f.dataType for f in PROCESSED]
+
+
+@pytest.mark.parametrize(
+    ("text", "quantity"),
+    [("2", 2), ("2.0", 2), ("2.9", 2), ("x", None), (None, None), ("99999999999", None)],
+)
+def test_quantity(raw, text, quantity):
+    assert rows(clean_orders(raw({"quantity": text})), "quantity") == [(quantity,)]
+
+
+@pytest.mark.parametrize(
+    ("text", "amount"), [("20.50", 20.5), ("abc", None), (None, None), ("1.0E7", 1e7)]
+)
+def test_amount(raw, text, amount):
+    changes = {"total_amount": text, "unit_price": text}
+    assert rows(clean_orders(raw(changes)), "total_amount", "unit_price") == [(amount, amount)]
+
+
+def test_text(raw):
+    clean = clean_orders(raw({"category": "  home ", "order_status": " cancelled"}))
+    assert rows(clean, "category", "order_status") == [("HOME", "CANCELLED")]
+    assert rows(clean_orders(raw({"category": "  "})), "category") == [("",)]
+    assert rows(clean_orders(raw({"category": "007"})), "category") == [("007",)]
+
+
+def test_offset_is_applied(raw):
+    clean = clean_orders(raw({"order_timestamp": "2026-01-02T23:30:15-05:00"}))
+    assert rows(clean, "order_hour", "order_date") == [(4, dt.date(2026, 1, 3))]
+
+
+@pytest.mark.parametrize("text", ["nope", None, ""])
+def test_bad_time(raw, text):
+    clean = clean_orders(raw({"order_timestamp": text}))
+    assert rows(clean, "order_ts", "order_hour", "order_date") == [(None, None, None)]
+
+
+def test_microseconds_are_kept(raw):
+    (row,) = clean_orders(raw({})).selectExpr("unix_micros(order_ts) % 1000000").collect()
+    assert row[0] == 678901
+
+
+def test_other_zone_is_refused(spark, raw):
+    orders = raw({})
+    with conf_scope(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        with pytest.raises(ValueError, match="UTC"):
+            clean_orders(orders)
