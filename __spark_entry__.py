@@ -34,6 +34,11 @@ from orderflow.sources.raw_zone import read_raw  # noqa: E402
 from orderflow.sources.stream import read_order_stream  # noqa: E402
 from orderflow.streaming import sinks  # noqa: E402
 from orderflow.streaming.incremental import RunMetrics, run_incremental  # noqa: E402
+from orderflow.streaming.metrics_log import (  # noqa: E402
+    metrics_lookup,
+    read_live_metrics,
+    write_live_metrics,
+)
 from orderflow.streaming.runs import finish, start  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,7 +260,7 @@ def _live_metrics_folder(spark: SparkSession, sf_dir: str) -> str:
     records = decode.parse_orders(decode.open_envelopes(stream))
     out = f"{folder}/metrics"
     finish(
-        sinks.write_live_metrics(
+        write_live_metrics(
             live_metrics(decode.countable(records)),
             out,
             f"{folder}/checkpoint",
@@ -267,13 +272,13 @@ def _live_metrics_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def rt_live_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = sinks.read_live_metrics(spark, _live_metrics_folder(spark, sf_dir))
+    metrics = read_live_metrics(spark, _live_metrics_folder(spark, sf_dir))
     return metrics.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def rt_metrics_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _live_metrics_folder(spark, sf_dir)
-    found = sinks.metrics_lookup(spark, path, "click", "2024-01-05", "2024-01-20")
+    found = metrics_lookup(spark, path, "click", "2024-01-05", "2024-01-20")
     return found.withColumn("revenue", F.col("revenue").cast("double"))
 
 

@@ -10,7 +10,7 @@ from orderflow.schema import ORDER_EVENT
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """All raw orders as text, with the landing ``year``, ``month`` and ``day``."""
-    return spark.read.schema(ORDER_EVENT).json(path)
+    return spark.read.schema(ORDER_EVENT).json(path).drop("batch")
 
 
 def read_new_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ from orderflow.schema import PROCESSED
 from orderflow.session import require_utc
 from orderflow.sources.processed import run_path, write_processed
 from orderflow.sources.raw_zone import read_new_raw
-from orderflow.streaming.runs import finish, start
+from orderflow.streaming.runs import batch_name, finish, start
 
 
 @dataclass(frozen=True)
@@ -34,17 +34,15 @@ def run_incremental(
     """Curate all new raw files as one run; the list is empty if there are none.
 
     After a failure the list may hold two: the run tried again, then a new one.
-    Ids are unique within a run, not across runs.  The run's name joins the
-    checkpoint's identity with the batch number: a retry overwrites its own
-    folder, and a new checkpoint can never overwrite an older one's.
+    Ids are unique within a run, not across runs.  A run tried again overwrites
+    its own folder.
     """
     require_utc(spark)
     done: list[RunMetrics] = []
 
     def curate(raw: DataFrame, batch_id: int) -> None:
         session = raw.sparkSession
-        stream_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        run_id = f"{stream_id}-{batch_id}"
+        run_id = batch_name(raw, batch_id)
         seen = Observation()
         orders = curate_orders(raw.observe(seen, F.count(F.lit(1)).alias("rows")))
         write_processed(orders, out_path, run_id)

@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderflow.constants import HIGH_VALUE_THRESHOLD
 from orderflow.operators import decode
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
+from orderflow.schema import ALERT
 from orderflow.streaming import sinks
+from orderflow.streaming.metrics_log import write_live_metrics
+from orderflow.streaming.runs import batch_name, start
 
 
 @dataclass(frozen=True)
@@ -26,6 +31,26 @@ class LivePaths:
     alerts: str | None = None
 
 
+def _records(opened: DataFrame, paths: LivePaths, threshold: float) -> DataFrame:
+    return decode.parse_orders(opened, threshold if paths.alerts else None)
+
+
+def _messages(records: DataFrame, threshold: float) -> DataFrame:
+    return alert_message(high_value_alerts(decode.valid(records), threshold))
+
+
+def _start_metrics(
+    records: DataFrame, paths: LivePaths, state_partitions: int | None, available_now: bool
+) -> StreamingQuery:
+    return write_live_metrics(
+        live_metrics(decode.countable(records)),
+        paths.metrics,
+        f"{paths.checkpoints}/metrics",
+        state_partitions=state_partitions,
+        available_now=available_now,
+    )
+
+
 def start_pipeline(
     opened: DataFrame,
     paths: LivePaths,
@@ -37,9 +62,9 @@ def start_pipeline(
     """Start one query per sink over opened records.
 
     Each has its own checkpoint, so a sink that fails neither holds up the
-    others nor makes them write twice.
+    others nor makes them write twice.  The price is that each parses the stream.
     """
-    records = decode.parse_orders(opened, threshold if paths.alerts else None)
+    records = _records(opened, paths, threshold)
     queries = [
         sinks.write_raw_zone(
             decode.parsed(records),
@@ -53,15 +78,9 @@ def start_pipeline(
             f"{paths.checkpoints}/rejects",
             available_now=available_now,
         ),
-        sinks.write_live_metrics(
-            live_metrics(decode.countable(records)),
-            paths.metrics,
-            f"{paths.checkpoints}/metrics",
-            state_partitions=state_partitions,
-            available_now=available_now,
-        ),
+        _start_metrics(records, paths, state_partitions, available_now),
         sinks.write_alerts(
-            alert_message(high_value_alerts(decode.valid(records), threshold)),
+            _messages(records, threshold),
             paths.alerts,
             f"{paths.checkpoints}/alerts",
             deliver=deliver,
@@ -69,3 +88,56 @@ def start_pipeline(
         ),
     ]
     return [query for query in queries if query is not None]
+
+
+def start_fan_out(
+    opened: DataFrame,
+    paths: LivePaths,
+    threshold: float = HIGH_VALUE_THRESHOLD,
+    deliver: Callable[[DataFrame, int], None] | None = None,
+    state_partitions: int | None = None,
+    available_now: bool = False,
+) -> list[StreamingQuery]:
+    """Start two queries: one for all sinks without state, one for the counters.
+
+    For streams so wide that parsing is what costs.  A batch is parsed once and
+    kept, in memory or on disk, while its sinks are written; bound its size at the
+    source.  Each sink adds the batch as last partition and overwrites just that
+    one, so a batch that is tried again replaces what it wrote.
+    """
+    records = _records(opened, paths, threshold)
+    lines = sinks.raw_lines(records, keep=records.columns)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch, batch_id)
+
+        def save(rows: DataFrame, kind: str, path: str, *partitions: str) -> None:
+            (
+                rows.withColumn("batch", F.lit(name))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*partitions, "batch")
+                .format(kind)
+                .save(path)
+            )
+
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            days = sinks.RAW_PARTITIONS
+            raw = decode.parsed(kept).select("value", *days)
+            save(raw, "text", paths.raw, *days)
+            save(decode.rejected(kept), "parquet", paths.rejects)
+            if paths.alerts:
+                save(_messages(kept, threshold), "parquet", paths.alerts)
+                if deliver is not None:
+                    alerts = batch.sparkSession.read.schema(ALERT).parquet(
+                        f"{paths.alerts}/batch={name}"
+                    )
+                    deliver(alerts, batch_id)
+        finally:
+            kept.unpersist()
+
+    return [
+        start(lines.writeStream.foreachBatch(put), f"{paths.checkpoints}/sinks", available_now),
+        _start_metrics(records, paths, state_partitions, available_now),
+    ]

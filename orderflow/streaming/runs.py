@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderflow.constants import MICRO_BATCH_SECONDS
@@ -23,3 +24,12 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuer
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} ran over {timeout} s")
     return query
+
+
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """A name for a ``foreachBatch`` batch: its checkpoint's identity and its number.
+
+    A batch tried again gets the same name; another checkpoint never does.
+    """
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}-{batch_id}"

@@ -1,4 +1,4 @@
-"""The sinks of the live path.  Each is one query with its own checkpoint.
+"""Raw zone, rejects and alerts.  Each sink is one query with its own checkpoint.
 
 A checkpoint belongs to its output folder: with a new checkpoint use a new
 folder, for batch numbers start over.
@@ -6,17 +6,15 @@ folder, for batch numbers start over.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderflow.constants import RAW_RETENTION_DAYS
-from orderflow.operators.live import latest_metrics, select_metrics
-from orderflow.schema import ALERT, METRICS, REJECT
-from orderflow.session import conf_scope, require_utc
+from orderflow.schema import ALERT, REJECT
+from orderflow.session import require_utc
 from orderflow.streaming.runs import start
 
 BATCH = "batch_id"
@@ -27,13 +25,7 @@ def _batch_path(path: str, batch_id: int) -> str:
     return f"{path}/{BATCH}={batch_id}"
 
 
-def _read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(
-        T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    ).parquet(path)
-
-
-def raw_lines(records: DataFrame) -> DataFrame:
+def raw_lines(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Each order's own JSON on one line, with the UTC day it is processed on.
 
     Line breaks in valid JSON only stand between tokens, so blanks replace them.
@@ -41,6 +33,7 @@ def raw_lines(records: DataFrame) -> DataFrame:
     require_utc(records.sparkSession)
     now = F.current_timestamp()
     return records.select(
+        *keep,
         F.translate("raw", "\r\n", "  ").alias("value"),
         *[F.date_format(now, pattern).alias(name) for name, pattern in RAW_PARTITIONS.items()],
     )
@@ -79,49 +72,6 @@ def write_rejects(
     return start(writer, checkpoint, available_now)
 
 
-def write_live_metrics(
-    metrics: DataFrame,
-    path: str,
-    checkpoint: str,
-    state_partitions: int | None = None,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Write the new totals of the keys each batch changed.
-
-    Totals are absolute and a batch replaces its own folder, so a batch that is
-    tried again changes nothing.  State holds one row per category and day;
-    ``state_partitions`` sets how many tasks share it (fixed at the first start).
-    """
-
-    def put(changed: DataFrame, batch_id: int) -> None:
-        changed.select(*METRICS.fieldNames()).write.mode("overwrite").parquet(
-            _batch_path(path, batch_id)
-        )
-
-    settings = {}
-    if state_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    with conf_scope(metrics.sparkSession, settings):
-        writer = metrics.writeStream.outputMode("update").foreachBatch(put)
-        return start(writer, checkpoint, available_now)
-
-
-def read_live_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The current count and revenue of every (category, day)."""
-    return latest_metrics(_read_batches(spark, path, METRICS))
-
-
-def metrics_lookup(
-    spark: SparkSession,
-    path: str,
-    category: str,
-    day_from: str | None = None,
-    day_to: str | None = None,
-) -> DataFrame:
-    """One category's counters, for a day or a range of days."""
-    return select_metrics(read_live_metrics(spark, path), category, day_from, day_to)
-
-
 def write_alerts(
     messages: DataFrame,
     path: str | None,
@@ -147,4 +97,4 @@ def write_alerts(
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return _read_batches(spark, path, ALERT).select(*ALERT.fieldNames())
+    return spark.read.schema(ALERT).parquet(path).select(*ALERT.fieldNames())

@@ -15,7 +15,12 @@ from orderflow.schema import REJECT
 from orderflow.sources.raw_zone import read_raw
 from orderflow.sources.stream import read_order_stream
 from orderflow.streaming import sinks
-from orderflow.streaming.pipeline import LivePaths, start_pipeline
+from orderflow.streaming.metrics_log import (
+    metrics_lookup,
+    read_live_metrics,
+    write_live_metrics,
+)
+from orderflow.streaming.pipeline import LivePaths, start_fan_out, start_pipeline
 from orderflow.streaming.runs import finish
 from tests.conftest import order, rows
 
@@ -47,13 +52,13 @@ def test_metrics_over_batches_equal_the_batch_plan(spark, sf_dir, folder):
     max_files = fixtures.stage(fixtures.order_envelopes(orders, "order_id"), staged)
     metrics = live_metrics(decode.countable(records_of(spark, staged, max_files=max_files)))
     query = finish(
-        sinks.write_live_metrics(
+        write_live_metrics(
             metrics, f"{folder}/out", f"{folder}/check", state_partitions=2, available_now=True
         ),
         TIMEOUT,
     )
     assert query.lastProgress["batchId"] >= 3
-    assert rows(sinks.read_live_metrics(spark, f"{folder}/out")) == rows(live_metrics(orders))
+    assert rows(read_live_metrics(spark, f"{folder}/out")) == rows(live_metrics(orders))
 
 
 def test_metrics_survive_a_crash_after_the_write(spark, folder):
@@ -64,7 +69,7 @@ def test_metrics_survive_a_crash_after_the_write(spark, folder):
     def run():
         metrics = live_metrics(decode.countable(records_of(spark, path)))
         finish(
-            sinks.write_live_metrics(metrics, out, check, state_partitions=2, available_now=True),
+            write_live_metrics(metrics, out, check, state_partitions=2, available_now=True),
             TIMEOUT,
         )
 
@@ -73,16 +78,16 @@ def test_metrics_survive_a_crash_after_the_write(spark, folder):
         commit.unlink()
     run()
     expected = ("CATEGORY#Home", "DATE#2026-01-02", 1, Decimal("20.50"))
-    assert rows(sinks.read_live_metrics(spark, out)) == [expected]
+    assert rows(read_live_metrics(spark, out)) == [expected]
 
     stage(spark, folder, (2, order(order_timestamp="1999-01-02T00:00:00+00:00")), (3, order()))
     run()
     run()
-    assert rows(sinks.read_live_metrics(spark, out)) == [
+    assert rows(read_live_metrics(spark, out)) == [
         ("CATEGORY#Home", "DATE#1999-01-02", 1, Decimal("20.50")),
         ("CATEGORY#Home", "DATE#2026-01-02", 2, Decimal("41.00")),
     ]
-    lookup = sinks.metrics_lookup(spark, out, "Home", "2026-01-01", "2026-01-31")
+    lookup = metrics_lookup(spark, out, "Home", "2026-01-01", "2026-01-31")
     assert rows(lookup, "order_count") == [(2,)]
 
 
@@ -122,7 +127,7 @@ def mixed(spark, folder):
     )
 
 
-def pipeline(spark, mixed, folder, alerts, deliver=None):
+def pipeline(spark, mixed, folder, alerts, deliver=None, begin=start_pipeline):
     paths = LivePaths(
         raw=f"{folder}/raw",
         rejects=f"{folder}/rejects",
@@ -131,9 +136,7 @@ def pipeline(spark, mixed, folder, alerts, deliver=None):
         alerts=alerts,
     )
     opened = decode.open_envelopes(read_order_stream(spark, mixed))
-    queries = start_pipeline(
-        opened, paths, deliver=deliver, state_partitions=2, available_now=True
-    )
+    queries = begin(opened, paths, deliver=deliver, state_partitions=2, available_now=True)
     for query in queries:
         finish(query, TIMEOUT)
     return queries
@@ -143,7 +146,8 @@ def rejects_of(spark, folder):
     return rows(spark.read.schema(REJECT).parquet(f"{folder}/rejects"), "record_id", "reason")
 
 
-def test_pipeline_fills_every_sink(spark, mixed, folder):
+@pytest.mark.parametrize(("begin", "count"), [(start_pipeline, 4), (start_fan_out, 2)])
+def test_pipeline_fills_every_sink(spark, mixed, folder, begin, count):
     delivered = []
     queries = pipeline(
         spark,
@@ -151,8 +155,9 @@ def test_pipeline_fills_every_sink(spark, mixed, folder):
         folder,
         f"{folder}/alerts",
         deliver=lambda batch, batch_id: delivered.append((batch_id, batch.count())),
+        begin=begin,
     )
-    assert len(queries) == 4
+    assert len(queries) == count
     assert read_raw(spark, f"{folder}/raw").count() == 5
     assert rejects_of(spark, folder) == [
         ("3", "missing_shipping_city"),
@@ -160,17 +165,18 @@ def test_pipeline_fills_every_sink(spark, mixed, folder):
         ("5", "bad_json"),
         ("6", "not_an_object"),
     ]
-    assert rows(sinks.read_live_metrics(spark, f"{folder}/metrics"), "order_count", "revenue") == [
+    assert rows(read_live_metrics(spark, f"{folder}/metrics"), "order_count", "revenue") == [
         (3, Decimal("620.50"))
     ]
     assert sinks.read_alerts(spark, f"{folder}/alerts").count() == 1
     assert delivered == [(0, 1)]
 
 
-def test_pipeline_without_alerts(spark, mixed, folder):
+@pytest.mark.parametrize(("begin", "count"), [(start_pipeline, 3), (start_fan_out, 2)])
+def test_pipeline_without_alerts(spark, mixed, folder, begin, count):
     """Alerts that are off also ask nothing of an order."""
-    queries = pipeline(spark, mixed, folder, "")
-    assert len(queries) == 3
+    queries = pipeline(spark, mixed, folder, "", begin=begin)
+    assert len(queries) == count
     assert [reason for _, reason in rejects_of(spark, folder)] == [
         "missing_category",
         "bad_json",
@@ -178,6 +184,49 @@ def test_pipeline_without_alerts(spark, mixed, folder):
     ]
 
 
+def test_fan_out_tried_again_replaces_what_it_wrote(spark, mixed, folder):
+    """The last sink fails after the others wrote; the second try leaves no copies."""
+    failures = ["once"]
+
+    def deliver(batch, batch_id):
+        if failures:
+            raise RuntimeError(failures.pop())
+
+    def run():
+        pipeline(spark, mixed, folder, f"{folder}/alerts", deliver, begin=start_fan_out)
+
+    with pytest.raises(Exception, match="once"):
+        run()
+    run()
+    assert read_raw(spark, f"{folder}/raw").count() == 5
+    assert len(rejects_of(spark, folder)) == 4
+    assert sinks.read_alerts(spark, f"{folder}/alerts").count() == 1
+    (totals,) = rows(read_live_metrics(spark, f"{folder}/metrics"), "order_count")
+    assert totals == (3,)
+
+
+def test_metrics_log_is_compacted(spark, folder):
+    """Old folders go, one snapshot back; the totals stay."""
+    out = f"{folder}/out"
+    for number in range(6):
+        path = stage(spark, folder, (number, order(category="ab"[number % 2])))
+    metrics = live_metrics(decode.countable(records_of(spark, path)))
+    query = write_live_metrics(
+        metrics, out, f"{folder}/check", state_partitions=2, snapshot_every=2, available_now=True
+    )
+    finish(query, TIMEOUT)
+    assert sorted(p.name for p in Path(out, "kind=changes").iterdir()) == [
+        f"batch_id={n}" for n in (2, 3, 4, 5)
+    ]
+    assert sorted(p.name for p in Path(out, "kind=snapshot").iterdir()) == [
+        f"batch_id={n}" for n in (2, 4)
+    ]
+    assert rows(read_live_metrics(spark, out), "pk", "order_count") == [
+        ("CATEGORY#a", 3),
+        ("CATEGORY#b", 3),
+    ]
+
+
 def test_alert_batch_tried_again_is_kept_once(spark, mixed, folder):
     out, check = f"{folder}/alerts", f"{folder}/check"
     failures = ["once"]
