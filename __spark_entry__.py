@@ -87,17 +87,9 @@ def etl_dedup_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_time_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fixtures.raw_orders(spark, sf_dir)
-    times = clean_orders(raw.withColumn("shipping_city", F.col("l_suppkey")))
+    times = clean_orders(fixtures.raw_orders(spark, sf_dir))
     return _comparable(
-        times.select(
-            "order_id",
-            "product_id",
-            F.col("shipping_city").alias("l_suppkey"),
-            "order_ts",
-            "order_hour",
-            "order_date",
-        )
+        times.select("order_id", "product_id", "order_ts", "order_hour", "order_date")
     )
 
 

@@ -157,7 +157,7 @@ FROM orders_processed WHERE order_status = 'PLACED'
 GROUP BY payment_method ORDER BY orders DESC, payment_method""",
     "etl_clean_orders": PROCESSED + f"SELECT {COLUMNS} FROM orders_processed",
     "etl_dedup_orders": f"WITH {DEDUP} SELECT * EXCLUDE (rn) FROM ded WHERE rn = 1",
-    "etl_time_derivation": f"""WITH {RAW} SELECT order_id, product_id, l_suppkey, {TIMES}
+    "etl_time_derivation": f"""WITH {RAW} SELECT order_id, product_id, {TIMES}
 FROM raw""",
     "etl_raw_scan": f"""WITH {EVENT_RAW} SELECT order_id, customer_id, product_id, product_name,
  category, concat(CAST(quantity AS VARCHAR), '.0') AS quantity, unit_price, total_amount, currency,

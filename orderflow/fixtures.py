@@ -163,6 +163,6 @@ def stage(records: DataFrame, path: str, batches: int = 4) -> int:
     spark = records.sparkSession
     share = max(1, records.count() // (2 * batches))
     records.write.option("maxRecordsPerFile", share).json(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return -(-files.getContentSummary(folder).getFileCount() // batches)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return -(-len(files) // batches)

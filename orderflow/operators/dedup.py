@@ -18,8 +18,8 @@ def dedup_orders(
 ) -> DataFrame:
     """One row per ``key``; rows without a key count as one key.
 
-    By default all columns take part in the order, so rows that tie are equal
-    and the result does not depend on the input's order.  The filter on
+    By default all columns take part in the order, nulls last, so rows that tie
+    are equal and the result does not depend on the input's order.  The filter on
     ``row_number`` lets Spark keep the first row per key before the shuffle, so
     a hot key sends one row per input partition.
     """
@@ -27,5 +27,6 @@ def dedup_orders(
         leading = [name for name in SURVIVOR_ORDER if name in orders.columns]
         rest = [name for name in orders.columns if name not in leading and name != key]
         order_by = [*leading, *rest]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order_by))
+    earliest = [F.asc_nulls_last(name) for name in order_by]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*earliest))
     return orders.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")

@@ -24,7 +24,11 @@ def read_order_stream(
 def read_kafka_stream(
     spark: SparkSession, servers: str, topic: str, max_records: int | None = None
 ) -> DataFrame:
-    """Messages of a topic, from its end on.  Needs Spark's Kafka package."""
+    """Messages of a topic, from its end on.  Needs Spark's Kafka package.
+
+    ``max_records`` bounds a micro-batch over all partitions of the topic.  The
+    published bound, ``MICRO_BATCH_RECORDS``, suits a single small consumer only.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

@@ -31,10 +31,40 @@ class LivePaths:
     alerts: str | None = None
 
 
+@dataclass(frozen=True)
+class BatchCounts:
+    """The records one micro-batch took in, and how many of them were rejected."""
+
+    batch_id: int
+    records: int
+    failures: int
+
+
+_COUNTS = "counts"
+
+
 def _records(opened: DataFrame, paths: LivePaths, threshold: float) -> DataFrame:
     return decode.parse_orders(opened, threshold if paths.alerts else None)
 
 
+def _counted(records: DataFrame) -> DataFrame:
+    """Count while the rows pass; this takes no extra pass."""
+    return records.observe(
+        _COUNTS,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("reason").isNotNull()).alias("failures"),
+    )
+
+
+def batch_counts(query: StreamingQuery) -> list[BatchCounts]:
+    """Counts of the latest micro-batches; the first query of a pipeline has them."""
+    return [
+        BatchCounts(progress.batchId, counts["records"], counts["failures"])
+        for progress in query.recentProgress
+        if (counts := progress.observedMetrics.get(_COUNTS))
+    ]
+
+
 def _messages(records: DataFrame, threshold: float) -> DataFrame:
     return alert_message(high_value_alerts(decode.valid(records), threshold))
 
@@ -67,7 +97,7 @@ def start_pipeline(
     records = _records(opened, paths, threshold)
     queries = [
         sinks.write_raw_zone(
-            decode.parsed(records),
+            decode.parsed(_counted(records)),
             paths.raw,
             f"{paths.checkpoints}/raw",
             available_now=available_now,
@@ -106,7 +136,7 @@ def start_fan_out(
     one, so a batch that is tried again replaces what it wrote.
     """
     records = _records(opened, paths, threshold)
-    lines = sinks.raw_lines(records, keep=records.columns)
+    lines = sinks.raw_lines(_counted(records), keep=records.columns)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(batch, batch_id)

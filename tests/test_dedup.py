@@ -20,6 +20,11 @@ def test_earliest_copy_survives(raw):
     assert rows(dedup_orders(orders), "order_id", "order_timestamp") == [("a", early), ("b", late)]
 
 
+def test_copy_with_a_time_is_preferred(raw):
+    orders = raw({"order_timestamp": "nope", "quantity": "1"}, {"quantity": "2"})
+    assert rows(curate_orders(orders), "quantity") == [(2,)]
+
+
 def test_missing_ids_are_one_key(raw):
     assert dedup_orders(raw({"order_id": None}, {"order_id": None}, {})).count() == 2
 

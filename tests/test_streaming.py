@@ -11,16 +11,25 @@ from orderflow import fixtures
 from orderflow.operators import decode
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
+from orderflow.plans import reports
 from orderflow.schema import REJECT
+from orderflow.sources.catalog import register_processed
 from orderflow.sources.raw_zone import read_raw
 from orderflow.sources.stream import read_order_stream
 from orderflow.streaming import sinks
+from orderflow.streaming.incremental import run_incremental
 from orderflow.streaming.metrics_log import (
     metrics_lookup,
     read_live_metrics,
     write_live_metrics,
 )
-from orderflow.streaming.pipeline import LivePaths, start_fan_out, start_pipeline
+from orderflow.streaming.pipeline import (
+    BatchCounts,
+    LivePaths,
+    batch_counts,
+    start_fan_out,
+    start_pipeline,
+)
 from orderflow.streaming.runs import finish
 from tests.conftest import order, rows
 
@@ -158,6 +167,7 @@ def test_pipeline_fills_every_sink(spark, mixed, folder, begin, count):
         begin=begin,
     )
     assert len(queries) == count
+    assert batch_counts(queries[0]) == [BatchCounts(0, 7, 4)]
     assert read_raw(spark, f"{folder}/raw").count() == 5
     assert rejects_of(spark, folder) == [
         ("3", "missing_shipping_city"),
@@ -252,3 +262,20 @@ def test_stream_that_overruns_is_stopped(spark, mixed, folder):
     with pytest.raises(TimeoutError):
         finish(query, timeout=1)
     assert not query.isActive
+
+
+@pytest.mark.parametrize("begin", [start_pipeline, start_fan_out])
+def test_stream_to_report(spark, mixed, folder, begin):
+    """What the pipeline lands is what the nightly run curates and the reports count."""
+    pipeline(spark, mixed, folder, "", begin=begin)
+    out, check = f"{folder}/processed", f"{folder}/curate"
+    (first,) = run_incremental(spark, f"{folder}/raw", out, check, TIMEOUT)
+    assert (first.raw_rows, first.written_rows) == (5, 1)
+    stage(spark, folder, (8, order(order_id="o2", category="Books", order_status=None)))
+    pipeline(spark, mixed, folder, "", begin=begin)
+    (second,) = run_incremental(spark, f"{folder}/raw", out, check, TIMEOUT)
+    assert (second.raw_rows, second.written_rows) == (1, 1)
+    assert run_incremental(spark, f"{folder}/raw", out, check, TIMEOUT) == []
+    name = f"db_{abs(hash(folder))}"
+    orders = register_processed(spark, out, name, database_path=f"{folder}/db")
+    assert rows(reports.cancel_rate(orders), "category", "total")[0] == ("BOOKS", 1)
