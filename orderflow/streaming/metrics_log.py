@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow.operators.live import latest_metrics, select_metrics
 from orderflow.schema import METRICS
 from orderflow.session import conf_scope
-from orderflow.streaming.runs import start
+from orderflow.streaming.runs import refuse_foreign, start
 
 CHANGES = "changes"
 SNAPSHOT = "snapshot"
@@ -91,6 +91,7 @@ def write_live_metrics(
             session = changed.sparkSession
             compact_live_metrics(session, path, batch_id, batch_id - snapshot_every)
 
+    refuse_foreign(metrics.sparkSession, f"{path}/kind={CHANGES}", checkpoint)
     settings = {}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)

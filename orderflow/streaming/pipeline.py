@@ -14,7 +14,6 @@ from orderflow.constants import HIGH_VALUE_THRESHOLD
 from orderflow.operators import decode
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
-from orderflow.schema import ALERT
 from orderflow.streaming import sinks
 from orderflow.streaming.metrics_log import write_live_metrics
 from orderflow.streaming.runs import batch_name, start
@@ -132,38 +131,24 @@ def start_fan_out(
 
     For streams so wide that parsing is what costs.  A batch is parsed once and
     kept, in memory or on disk, while its sinks are written; bound its size at the
-    source.  Each sink adds the batch as last partition and overwrites just that
-    one, so a batch that is tried again replaces what it wrote.
+    source.  A batch that is tried again replaces what it wrote.
     """
     records = _records(opened, paths, threshold)
     lines = sinks.raw_lines(_counted(records), keep=records.columns)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(batch, batch_id)
-
-        def save(rows: DataFrame, kind: str, path: str, *partitions: str) -> None:
-            (
-                rows.withColumn("batch", F.lit(name))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*partitions, "batch")
-                .format(kind)
-                .save(path)
-            )
-
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             days = sinks.RAW_PARTITIONS
             raw = decode.parsed(kept).select("value", *days)
-            save(raw, "text", paths.raw, *days)
-            save(decode.rejected(kept), "parquet", paths.rejects)
+            sinks.save_batch(raw, "text", paths.raw, name, *days)
+            sinks.save_batch(decode.rejected(kept), "parquet", paths.rejects, name)
             if paths.alerts:
-                save(_messages(kept, threshold), "parquet", paths.alerts)
+                messages = _messages(kept, threshold)
+                sinks.save_batch(messages, "parquet", paths.alerts, name)
                 if deliver is not None:
-                    alerts = batch.sparkSession.read.schema(ALERT).parquet(
-                        f"{paths.alerts}/batch={name}"
-                    )
-                    deliver(alerts, batch_id)
+                    deliver(messages, batch_id)
         finally:
             kept.unpersist()
 

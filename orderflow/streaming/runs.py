@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderflow.constants import MICRO_BATCH_SECONDS
@@ -16,6 +16,21 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> Str
     return writer.trigger(processingTime=f"{MICRO_BATCH_SECONDS} seconds").start()
 
 
+def refuse_foreign(spark: SparkSession, output: str, checkpoint: str) -> None:
+    """Raise if ``output`` was written by a stream with another checkpoint.
+
+    A new checkpoint starts over with batch 0, and a sink that goes by batch
+    numbers would take its first batches for ones it already has.
+    """
+
+    def exists(name: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    if exists(output) and not exists(checkpoint):
+        raise ValueError(f"{output} belongs to another checkpoint than {checkpoint}")
+
+
 def finish(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
     """Wait for a query that ends by itself; a failed query raises its error."""
     if timeout is None:

@@ -1,8 +1,4 @@
-"""Raw zone, rejects and alerts.  Each sink is one query with its own checkpoint.
-
-A checkpoint belongs to its output folder: with a new checkpoint use a new
-folder, for batch numbers start over.
-"""
+"""Raw zone, rejects and alerts.  Each sink is one query with its own checkpoint."""
 
 from __future__ import annotations
 
@@ -15,14 +11,28 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow.constants import RAW_RETENTION_DAYS
 from orderflow.schema import ALERT, REJECT
 from orderflow.session import require_utc
-from orderflow.streaming.runs import start
+from orderflow.streaming.runs import batch_name, refuse_foreign, start
 
-BATCH = "batch_id"
 RAW_PARTITIONS = {"year": "yyyy", "month": "MM", "day": "dd"}
+BATCH = "batch"
+
+# Where Spark's file sink lists what it has committed.
+_SINK_LOG = "_spark_metadata"
+
 
+def save_batch(rows: DataFrame, kind: str, path: str, name: str, *partitions: str) -> None:
+    """Add a batch as last partition, in place of an earlier try at the same batch.
 
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/{BATCH}={batch_id}"
+    Other batches are not touched, and a batch without rows leaves no folder.
+    """
+    (
+        rows.withColumn(BATCH, F.lit(name))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions, BATCH)
+        .format(kind)
+        .save(path)
+    )
 
 
 def raw_lines(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -52,6 +62,7 @@ def write_raw_zone(
     ``files_per_batch`` suits small batches; large ones keep a file per task.
     Files past the retention leave the sink's own file list, so they can be deleted.
     """
+    refuse_foreign(records.sparkSession, f"{path}/{_SINK_LOG}", checkpoint)
     lines = raw_lines(records)
     if files_per_batch is not None:
         lines = lines.coalesce(files_per_batch)
@@ -68,6 +79,7 @@ def write_rejects(
     rejects: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Append ``(record_id, reason, raw)`` of every rejected record, once."""
+    refuse_foreign(rejects.sparkSession, f"{path}/{_SINK_LOG}", checkpoint)
     writer = rejects.select(*REJECT.fieldNames()).writeStream.format("parquet").option("path", path)
     return start(writer, checkpoint, available_now)
 
@@ -81,17 +93,21 @@ def write_alerts(
 ) -> StreamingQuery | None:
     """Keep every alert and hand each batch to ``deliver``; no ``path`` turns alerts off.
 
-    ``deliver`` gets the stored batch as a DataFrame and should work on its
-    partitions.  After a failure it may see a batch again.
+    ``deliver`` gets the batch as a DataFrame and should work on its partitions.
+    After a failure it may see a batch again.
     """
     if not path:
         return None
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        stored = _batch_path(path, batch_id)
-        batch.select(*ALERT.fieldNames()).write.mode("overwrite").parquet(stored)
-        if deliver is not None:
-            deliver(batch.sparkSession.read.schema(ALERT).parquet(stored), batch_id)
+        # Alerts are few; keeping them spares a second pass over the stream's batch.
+        kept = batch.select(*ALERT.fieldNames()).persist()
+        try:
+            save_batch(kept, "parquet", path, batch_name(batch, batch_id))
+            if deliver is not None:
+                deliver(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     return start(messages.writeStream.foreachBatch(put), checkpoint, available_now)
 

@@ -256,6 +256,48 @@ def test_alert_batch_tried_again_is_kept_once(spark, mixed, folder):
     assert sinks.read_alerts(spark, out).count() == 1
 
 
+def test_batch_without_alerts(spark, mixed, folder):
+    """It leaves no folder, and alerts of other batches stay."""
+    stage(spark, folder, (8, order()), (9, "{bad"))
+    delivered = []
+    pipeline(
+        spark,
+        mixed,
+        folder,
+        f"{folder}/alerts",
+        lambda batch, batch_id: delivered.append(batch.count()),
+        begin=lambda opened, paths, **options: start_fan_out(
+            decode.open_envelopes(read_order_stream(spark, mixed, max_files=1)), paths, **options
+        ),
+    )
+    assert sorted(delivered) == [0, 1]
+    assert len(list(Path(folder, "alerts").glob("batch=*"))) == 1
+
+
+@pytest.mark.parametrize("name", ["raw", "rejects", "metrics"])
+def test_new_checkpoint_on_old_output_is_refused(spark, mixed, folder, name):
+    records = records_of(spark, mixed)
+    begin = {
+        "raw": lambda check: sinks.write_raw_zone(
+            decode.parsed(records), f"{folder}/out", check, available_now=True
+        ),
+        "rejects": lambda check: sinks.write_rejects(
+            decode.rejected(records), f"{folder}/out", check, available_now=True
+        ),
+        "metrics": lambda check: write_live_metrics(
+            live_metrics(decode.countable(records)),
+            f"{folder}/out",
+            check,
+            state_partitions=2,
+            available_now=True,
+        ),
+    }[name]
+    finish(begin(f"{folder}/check"), TIMEOUT)
+    finish(begin(f"{folder}/check"), TIMEOUT)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        begin(f"{folder}/check-2")
+
+
 def test_stream_that_overruns_is_stopped(spark, mixed, folder):
     records = records_of(spark, mixed)
     query = sinks.write_rejects(decode.rejected(records), f"{folder}/rejects", f"{folder}/check")
