@@ -51,7 +51,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
         F.lit(DEFAULT_CURRENCY).alias("currency"),
         F.col("o_orderpriority").alias("payment_method"),
-        F.when(F.col("l_returnflag") == "R", " cancelled").otherwise("Placed").alias("order_status"),
+        F.when(F.col("l_returnflag") == "R", " cancelled")
+        .otherwise("Placed")
+        .alias("order_status"),
         F.col("n_name").alias("shipping_city"),
         F.col("r_name").alias("shipping_state"),
         F.concat(

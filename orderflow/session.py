@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     Only a local session without that setting falls back to a temporary folder:
     on a cluster, executors could not see one.
     """
-    base = spark.conf.get(SHARED_DIR, None)
+    base = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         master = spark.conf.get("spark.master", "")
         if not (master == "local" or master.startswith("local[")):
@@ -60,6 +60,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/orderflow/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 @contextlib.contextmanager
 def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply runtime settings for the block; a stream keeps those it started with."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.constants import DATABASE, TABLE
 from orderflow.schema import PROCESSED, PROCESSED_PARTITIONS
+from orderflow.session import path_exists
 from orderflow.sources.processed import RUN
 
 
@@ -43,7 +44,8 @@ def register_processed(
         f"CREATE TABLE IF NOT EXISTS {files} ({columns}, {RUN} string) USING parquet"
         f" PARTITIONED BY ({partitions}) LOCATION {_text(path)}"
     )
-    spark.catalog.recoverPartitions(files)
+    if path_exists(spark, path):
+        spark.catalog.recoverPartitions(files)
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(PROCESSED.fieldNames())} FROM {files}"
     )

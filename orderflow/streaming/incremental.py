@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.plans.curate import curate_orders
 from orderflow.schema import PROCESSED
-from orderflow.session import require_utc
+from orderflow.session import path_exists, require_utc
 from orderflow.sources.processed import run_path, write_processed
 from orderflow.sources.raw_zone import read_new_raw
 from orderflow.streaming.runs import batch_name, finish, start
@@ -38,6 +38,8 @@ def run_incremental(
     its own folder.
     """
     require_utc(spark)
+    if not path_exists(spark, raw_path):
+        return []
     done: list[RunMetrics] = []
 
     def curate(raw: DataFrame, batch_id: int) -> None:

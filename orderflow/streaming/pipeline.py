@@ -131,7 +131,8 @@ def start_fan_out(
 
     For streams so wide that parsing is what costs.  A batch is parsed once and
     kept, in memory or on disk, while its sinks are written; bound its size at the
-    source.  A batch that is tried again replaces what it wrote.
+    source.  A batch that is tried again replaces what it wrote.  Use other folders
+    than those of ``start_pipeline``, which Spark's file sink keeps a list of.
     """
     records = _records(opened, paths, threshold)
     lines = sinks.raw_lines(_counted(records), keep=records.columns)

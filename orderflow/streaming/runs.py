@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderflow.constants import MICRO_BATCH_SECONDS
+from orderflow.session import path_exists
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -22,12 +23,7 @@ def refuse_foreign(spark: SparkSession, output: str, checkpoint: str) -> None:
     A new checkpoint starts over with batch 0, and a sink that goes by batch
     numbers would take its first batches for ones it already has.
     """
-
-    def exists(name: str) -> bool:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-    if exists(output) and not exists(checkpoint):
+    if path_exists(spark, output) and not path_exists(spark, checkpoint):
         raise ValueError(f"{output} belongs to another checkpoint than {checkpoint}")
 
 

@@ -101,7 +101,7 @@ def test_reports_group_before_they_shuffle(registered):
         ("report_cancel_rate", reports.cancel_rate),
         ("report_top_cities", reports.top_cities),
         ("report_payment_mix", reports.payment_mix),
-        ("report_daily_revenue", lambda orders: reports.daily_revenue(orders, dt.date(2026, 1, 20))),
+        ("report_daily_revenue", lambda table: reports.daily_revenue(table, dt.date(2026, 1, 20))),
     ],
 )
 def test_reports_can_be_asked_in_sql(spark, registered, name, report):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.retention import expired_days, raw_retention
 from orderflow.plans.curate import curate_orders
+from orderflow.plans.nightly import nightly_run
 from orderflow.session import conf_scope
 from orderflow.sources.processed import read_evolved, read_processed, write_processed
 from orderflow.sources.raw_zone import read_raw
@@ -66,6 +67,29 @@ def test_new_checkpoint_never_overwrites(spark, raw, folder):
     assert read_processed(spark, out).count() == 2
 
 
+def test_nightly_run_registers_what_it_wrote(spark, raw, folder):
+    name = f"db_{abs(hash(folder))}"
+
+    def night():
+        return nightly_run(
+            spark, *paths(folder), name, database_path=f"{folder}/db", timeout=TIMEOUT
+        )
+
+    raw_path, out, check = paths(folder)
+    runs, table = night()
+    assert runs == [] and table.count() == 0
+
+    land(raw, raw_path, {"order_id": "a"})
+    runs, table = night()
+    assert len(runs) == 1 and table.count() == 1
+
+    # A night that ended before its refresh is made up for by the next one.
+    land(raw, raw_path, {"order_id": "b"}, day="03")
+    run_incremental(spark, raw_path, out, check, TIMEOUT)
+    runs, table = night()
+    assert runs == [] and table.count() == 2
+
+
 def test_file_without_rows(spark, raw, folder):
     raw_path, out, check = paths(folder)
     Path(raw_path, "year=2026/month=01/day=02").mkdir(parents=True)

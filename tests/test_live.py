@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 
+from orderflow import fixtures
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import latest_metrics, live_metrics, select_metrics
 from tests.conftest import rows
@@ -35,6 +36,13 @@ def test_revenue_is_exact(raw):
     assert rows(live_metrics(orders), "revenue") == [(Decimal("3.00"),)]
 
 
+def test_hot_category_is_summed_before_the_shuffle(spark, sf_dir):
+    metrics = live_metrics(fixtures.live_orders(spark, sf_dir))
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan.split("Exchange hashpartitioning", 1)[1]
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string" in plan
+
+
 def test_latest_and_lookup(spark):
     changes = spark.createDataFrame(
         [

@@ -37,5 +37,11 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert expected
 
 
+def test_line_items_are_never_broadcast(spark, sf_dir):
+    """Even where they are small enough: both sides grow with the data."""
+    plan = registry.queries()["report_hourly"](spark, sf_dir)._jdf.queryExecution().executedPlan()
+    assert "SortMergeJoin [l_orderkey" in plan.toString()
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 6
