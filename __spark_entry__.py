@@ -41,6 +41,12 @@ from orderflow.streaming.metrics_log import (  # noqa: E402
 )
 from orderflow.streaming.runs import finish, start  # noqa: E402
 
+try:  # The training-data operators are an optional part of the package.
+    import corpus_pipeline  # noqa: E402
+    from orderflow.llm import queries as llm  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The live state is small: a row per category and day.
@@ -335,6 +341,12 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+def _optional() -> dict[str, Query]:
+    if llm is None:
+        return {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+
+
 def _in_utc(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,8 +361,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for name, query in _QUERIES.items()}
+    return {name: _in_utc(query) for name, query in {**_QUERIES, **_optional()}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle_queries.SQL)
+    if llm is None:
+        return dict(oracle_queries.SQL)
+    sql = {**oracle_queries.SQL, **llm.SQL}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
