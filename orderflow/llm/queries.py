@@ -4,13 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderflow.llm import decontaminate, lsh_forest
-from orderflow.llm.common import table
+from orderflow.llm import bpe, decontaminate, language, lsh_forest, shards, sql, url_filter
+from orderflow.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "byte_bpe_50k.json"
+# (verdict, host, path): the longest rule that fits a url decides.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+# Hosts with one of these words as a label, or a part of one between hyphens, are listed.
+LISTED_HOST = r"(^|[.-])(adult|bets|casino|porn|spam)([.-]|$)"
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contained(
@@ -19,13 +44,41 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("hash")
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.assign_shards(table(spark, sf_dir, "documents"))
+    return placed.withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), size=4).drop("hash")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_pages(pages, URL_RULES, F.col("key").rlike(LISTED_HOST))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op3_shards": op3_shards,
     "op8_near_dedup": op8_near_dedup,
+    "op9_language": op9_language,
+    "op10_url_filter": op10_url_filter,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontaminate": sql.OP2,
+    "op8_near_dedup": sql.OP8,
+    "op10_url_filter": sql.OP10,
+}
