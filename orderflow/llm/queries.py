@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, decontaminate, language, lsh_forest, shards, sql, url_filter
+from orderflow.llm import (
+    bpe,
+    decontaminate,
+    language,
+    lsh_forest,
+    shards,
+    sql,
+    suffix_dedup,
+    url_filter,
+)
 from orderflow.llm.common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +60,18 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), size=4).drop("hash")
 
@@ -72,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op3_shards": op3_shards,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
