@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from orderflow.llm import (
     bpe,
     decontaminate,
+    embedding_dedup,
     language,
     lsh_forest,
+    quality,
+    revisits,
     shards,
     sql,
     suffix_dedup,
@@ -60,6 +63,13 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    scored = quality.score_documents(table(spark, sf_dir, "documents"), labels, held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
@@ -72,6 +82,52 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Archive records derived from pages: each is a capture of its site's section.
+
+    A third are full responses.  Sections change every 64 pages; most revisits name
+    the entity tag of their time, some the modification time, some nothing.
+    """
+    page, version = F.col("page_id"), F.floor(F.col("page_id") / 64).cast("string")
+    full = (page % 10).isin(0, 4, 7)
+    tag = F.concat(F.lit('"v'), version, F.lit('"'))
+    pair = lambda name, value: F.struct(
+        F.lit(name).alias("key"), value.cast("string").alias("value")
+    )
+    response = F.array(
+        pair("ETag", F.concat(F.lit("W/"), tag)),
+        pair("Last-Modified", version),
+        pair("Content-Length", F.octet_length("html")),
+        pair("Cache-Control", F.lit("max-age=60")),
+    )
+    revisit = F.array(
+        F.when(page % 7 == 0, F.lit(None))
+        .when(page % 5 == 0, pair("Last-Modified", version))
+        .otherwise(pair("etag", tag)),
+        pair("Content-Length", F.lit("0")),
+        pair("cache-control", F.concat(F.lit("max-age="), page)),
+    )
+    headers = F.filter(F.when(full, response).otherwise(revisit), lambda p: p.isNotNull())
+    return pages.select(
+        page.alias("record_id"),
+        F.regexp_replace("url", r"(://[^/]*/[a-z]+)/[^?#]*", "$1").alias("url"),
+        page.alias("time"),
+        F.when(full, "response").otherwise("revisit").alias("type"),
+        F.map_from_entries(headers).alias("headers"),
+        F.when(full, F.md5(F.col("html").cast("binary"))).alias("digest"),
+    )
+
+
+def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    fields = F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), h["value"]))
+    return found.withColumn("headers", F.array_join(fields, ";"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), size=4).drop("hash")
 
@@ -93,7 +149,10 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op3_shards": op3_shards,
+    "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_revisits": op7_revisits,
     "op8_near_dedup": op8_near_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
@@ -101,6 +160,8 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op2_decontaminate": sql.OP2,
+    "op6_embedding_dedup": sql.OP6,
+    "op7_revisits": sql.OP7,
     "op8_near_dedup": sql.OP8,
     "op10_url_filter": sql.OP10,
 }

@@ -32,6 +32,74 @@ GROUP BY ALL
 HAVING 100 * count(*) >= 80 * item_sizes.n
 """
 
+OP6 = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT one.vec_id AS a, two.vec_id AS b
+    FROM vectors AS one JOIN vectors AS two ON one.vec_id <> two.vec_id AND len(one.v) = len(two.v)
+    WHERE list_cosine_similarity(one.v, two.v) >= 0.95
+),
+reach AS (
+    SELECT vec_id AS id, vec_id AS seen FROM embeddings
+    UNION
+    SELECT links.b, reach.seen FROM reach JOIN links ON links.a = reach.id
+),
+least AS (SELECT id, min(seen) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings AS e
+JOIN least ON least.id = e.vec_id
+LEFT JOIN counts ON counts.a = e.vec_id
+"""
+
+OP7 = r"""
+WITH split AS (
+    SELECT page_id, html, page_id // 64 AS version, page_id % 10 IN (0, 4, 7) AS whole,
+        regexp_replace(url, '(://[^/]*/[a-z]+)/[^?#]*', '\1') AS url
+    FROM pages
+),
+captures AS (
+    SELECT *,
+        regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\.', '')
+        || regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/+$', '') AS section,
+        array_to_string(list_sort(list_filter(
+            string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+            lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')
+        )), '&') AS query
+    FROM split
+),
+named AS (
+    SELECT *, section || CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical_url
+    FROM captures
+),
+pairs AS (
+    SELECT r.page_id AS record_id, r.canonical_url, s.page_id AS response,
+        r.version AS version, s.version AS stored, s.html
+    FROM (SELECT * FROM named WHERE NOT whole) AS r
+    ASOF LEFT JOIN (SELECT * FROM named WHERE whole) AS s
+        ON r.canonical_url = s.canonical_url AND r.page_id > s.page_id
+),
+judged AS (
+    SELECT *, CASE
+        WHEN response IS NULL THEN 'missing'
+        WHEN record_id % 7 = 0 THEN 'unvalidated'
+        WHEN version = stored THEN 'resolved'
+        ELSE 'changed' END AS outcome
+    FROM pairs
+)
+SELECT record_id, canonical_url, outcome,
+    CASE WHEN good THEN response END AS response_id,
+    CASE WHEN good THEN md5(html) END AS digest,
+    CASE WHEN good THEN 'cache-control=max-age=' || record_id || ';content-length=' || strlen(html)
+        || ';etag=' || CASE WHEN record_id % 7 = 0 OR record_id % 5 = 0 THEN 'W/' ELSE '' END
+        || '"v' || stored || '";last-modified=' || stored END AS headers
+FROM (SELECT *, outcome IN ('resolved', 'unvalidated') AS good FROM judged)
+"""
+
 OP8 = f"""
 WITH RECURSIVE {_shingles("doc", "documents", "doc_id", 4)},
 pairs AS (
