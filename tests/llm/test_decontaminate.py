@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+from orderflow.llm import decontaminate
+from orderflow.llm.shingles import shingle_set
+from tests.llm.conftest import DOCUMENTS, words
+
+ITEMS = "item_id bigint, text string, doc_id int"
+
+
+def _items(spark, *pairs):
+    return spark.createDataFrame([(i, t, 0) for i, t in pairs], ITEMS)
+
+
+def _brute(docs, items):
+    out = set()
+    for d, text in docs:
+        held = set(shingle_set(text, 5).tolist())
+        for i, item in items:
+            wanted = set(shingle_set(item, 5).tolist())
+            if wanted and 100 * len(wanted & held) >= 80 * len(wanted):
+                out.add((d, i, len(wanted), len(wanted & held)))
+    return out
+
+
+def test_agrees_with_brute_force_in_one_block_and_in_many(spark, documents):
+    items = [(k, words(100 * k, 6 + 3 * k)) for k in range(12)]
+    items += [(50, "a b"), (51, ""), (52, None), (53, "A  b"), (54, words(300, 15))]
+    docs = [(1, words(0, 5000)), (2, words(305, 8) + " x " + words(313, 30)), (3, "a B"),
+            (4, ""), (5, None), (6, words(300, 12) + " " + words(700, 4)), (7, words(301, 13))]
+    # Halves of one item, far apart in a long text.
+    docs.append((8, words(1100, 20) + " gap " * 3000 + words(1118, 30)))
+    expected = _brute(docs, items)
+    assert expected
+    for block in (1 << 20, 30):
+        found = decontaminate.find_contained(
+            documents(*docs), _items(spark, *items), block_shingles=block
+        ).drop("hash")
+        assert {tuple(r) for r in found.collect()} == expected
+        clean = decontaminate.decontaminate(
+            documents(*docs), _items(spark, *items), block_shingles=block
+        )
+        hit = {d for d, *_ in expected}
+        assert sorted(r["doc_id"] for r in clean.collect()) == [d for d, _ in docs if d not in hit]
+        assert clean.columns == documents().columns
+
+
+def test_repeated_rows_null_ids_and_empty_tables(spark, documents):
+    text = words(0, 40)
+    docs = documents((1, text), (1, text), (None, text), (2, "clean enough to stay in here"))
+    items = _items(spark, (9, words(10, 20)), (None, words(10, 21)))
+    found = decontaminate.find_contained(docs, items)
+    assert found.count() == 6
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()] == [2]
+    none = _items(spark)
+    assert decontaminate.find_contained(docs, none).count() == 0
+    assert decontaminate.decontaminate(docs, none).count() == 4
+    assert decontaminate.find_contained(spark.createDataFrame([], DOCUMENTS), items).count() == 0

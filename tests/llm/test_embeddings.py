@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from orderflow.llm import embedding_dedup
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, id string"
+
+
+def _brute(rows, threshold=0.95):
+    def sound(v):
+        return v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    links = {k: set() for k in range(len(rows))}
+    for a, (i, v) in enumerate(rows):
+        for b, (j, w) in enumerate(rows):
+            if a < b and sound(v) and sound(w) and len(v) == len(w) and None not in (i, j):
+                x, y = np.float32(v).astype(float), np.float32(w).astype(float)
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                    links[a].add(b)
+                    links[b].add(a)
+    out = []
+    for k, (i, _) in enumerate(rows):
+        seen, todo = {k}, [k]
+        while todo:
+            for n in links[todo.pop()] - seen:
+                seen.add(n)
+                todo.append(n)
+        low = None if i is None else min(rows[n][0] for n in seen)
+        out.append((i, len(links[k]), low, low == i))
+    return sorted(out, key=repr)
+
+
+def _found(spark, rows, **settings):
+    frame = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], SCHEMA)
+    found = embedding_dedup.near_vectors(frame, **settings)
+    assert found.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("tile", [4096, 40])
+def test_agrees_with_brute_force(spark, tile):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(5, 16))
+    rows = []
+    for k in range(300):
+        noise = rng.normal(size=16) * rng.choice([0.05, 0.2, 0.3])
+        rows.append((k * 11 % 300, (centres[k % 5] + noise).tolist()))
+    rows += [(1000 + k, rows[0][1]) for k in range(30)]
+    assert _found(spark, rows, tile=tile) == _brute(rows)
+
+
+def test_unsound_vectors_link_with_nothing(spark):
+    one = [1.0, 2.0, 3.0]
+    rows = [(1, one), (2, None), (3, []), (4, [0.0, 0.0, 0.0]), (5, [1.0, None, 3.0]),
+            (6, [1.0, float("nan"), 3.0]), (7, [float("inf"), 2.0, 3.0]), (8, [2.0, 4.0, 6.0]),
+            (9, one), (9, one), (10, [1.0, 2.0]), (11, [-1.0, -2.0, -3.0]), (12, [1e-30, 2e-30, 3e-30])]
+    assert _found(spark, rows) == _brute(rows)
+    null = _found(spark, [(None, one), (1, one)])
+    assert null == [(1, 0, 1, True), (None, 0, None, True)] or null[1][0] is None
+
+
+def test_no_vectors(spark):
+    assert _found(spark, []) == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.integers(1, 80), st.sampled_from([1e-3, 0.1, 0.35]))
+def test_the_bound_holds(seed, dim, spread):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=dim)
+    one, two = (centre + spread * rng.normal(size=(7, dim)) for _ in range(2))
+    q1, s1, e1, _ = embedding_dedup.quantise(one)
+    q2, s2, e2, n2 = embedding_dedup.quantise(two)
+    product = s1[:, None] * s2 * (q1.astype(int) @ q2.astype(int).T)
+    bound = e1[:, None] * n2 + e2 + 1e-12
+    exact = np.array([[embedding_dedup.cosines(a[None], b[None])[0] for b in two] for a in one])
+    assert (np.abs(product - exact) <= bound).all()
+    found = {(int(a), int(b)) for i, j in embedding_dedup.tile_links(one, two, 0.95)
+             for a, b in zip(i, j, strict=True)}
+    assert found == {(a, b) for a in range(7) for b in range(7) if exact[a, b] >= 0.95}

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderflow.llm import language
+from tests.llm.conftest import DOCUMENTS
+
+LETTERS = {"xa": "abcdé", "xb": "abfgß", "xc": "тестъ"}
+
+
+def _text(rng, lang, count=30):
+    alphabet = LETTERS[lang]
+    return " ".join(
+        "".join(rng.choice(alphabet) for _ in range(rng.randrange(2, 7))) for _ in range(count)
+    )
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(360):
+        lang = ["xa", "xb", "xc"][i % 3]
+        rows.append((i, _text(rng, lang), lang, "s", 1))
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+@pytest.fixture(scope="module")
+def model(corpus):
+    return language.fit(corpus.where("doc_id < 240"))
+
+
+def test_held_out_texts(corpus, model):
+    rows = language.identify(corpus.where("doc_id >= 240"), model).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) >= 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_counts_agree_with_a_plain_count(corpus, model):
+    texts = [r["text"] for r in corpus.where("doc_id < 240 and lang = 'xa'").collect()]
+    words = [w for t in texts for w in t.lower().split()]
+    word = max(set(words), key=words.count)
+    column = model.languages.index("xa")
+    total = len(words)
+    expected = np.log((words.count(word) + 0.5) / (total + 1))
+    assert np.isclose(model.rows[model.place[0][word]][column], expected)
+
+
+def test_backoff_goes_from_words_to_ever_shorter_grams():
+    rows = [("a", 0, "word", 4, 9), ("a", 4, "_abc", 2, 9), ("a", 2, "xy", 2, 9), ("a", 1, "q", 1, 9)]
+    model = language.Model({"a": 0.5, "b": 0.5}, rows)
+    place = model.place
+    assert model.known("word") == [place[0]["word"]]
+    assert model.known("abcxy") == [place[4]["_abc"]]
+    assert model.known("zxyq") == [place[2]["xy"]]
+    assert model.known("zq") == [place[1]["q"]]
+    assert model.known("zz") == []
+    assert model.words(["zz", "word"])[0].tolist() == [0, 0]
+
+
+def test_a_small_memory_changes_nothing(corpus, model):
+    texts = [r["text"] for r in corpus.limit(50).collect()]
+    one, two = language.Scorer(model), language.Scorer(model, remembered=5)
+    assert [one.predict(t) for t in texts] == [two.predict(t) for t in texts]
+
+
+def test_texts_without_letters_and_odd_rows(spark, documents, model):
+    pairs = [(1, None), (2, ""), (3, "12 34 _ ²!"), (4, "abc"), (4, "abc"), (None, "тест"),
+             (6, "中文"), (7, "abcé " * 100_000)]
+    frame = documents(*pairs)
+    found = language.identify(frame, model)
+    assert found.columns == [*frame.columns, "lang_pred", "score"]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in found.collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0)
+    assert got[None][0] == "xc" and got[7][0] == "xa" and got[6][0] in model.languages
+    assert language.identify(spark.createDataFrame([], DOCUMENTS), model).count() == 0
+
+
+def test_nothing_to_learn_from(spark, documents):
+    empty = language.fit(documents((1, None), (2, "text"), lang=None))
+    assert empty.languages == []
+    row = language.identify(documents((1, "text")), empty).first()
+    assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+
+
+def test_the_sample_is_bounded(corpus):
+    small = language.fit(corpus, sample_docs=30, per_order=10)
+    assert all(len(grams) <= 30 for grams in small.place.values())
+    assert abs(sum(np.exp(small.prior)) - 1) < 1e-9
+
+
+def test_other_columns_do_not_matter(corpus, model):
+    before = language.identify(corpus, model).select("doc_id", "lang_pred", "score").collect()
+    changed = corpus.withColumns({"lang": F.lit("zz"), "source": F.lit(None).cast("string")})
+    after = language.identify(changed, model).select("doc_id", "lang_pred", "score").collect()
+    assert sorted(before) == sorted(after)
