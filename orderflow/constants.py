@@ -55,5 +55,7 @@ ALERT_BODY = (
     "Time:     %s"
 )
 
-# Our own choice, not a published value: money is exact to the cent.
-MONEY_TYPE = "decimal(18,2)"
+# Our own choices, not published values: money is exact to ten places, up to 1e28, and
+# files of any age are read (Spark's own default forgets those of a week).
+MONEY_TYPE = "decimal(38,10)"
+ANY_AGE = "36500d"

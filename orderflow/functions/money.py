@@ -9,17 +9,28 @@ from orderflow.constants import MONEY_TYPE
 
 
 def money(amount: str = "total_amount") -> Column:
-    """The amount as a decimal; null for text that is no number, NaN and infinities."""
+    """The amount as a decimal; null for text that is no number, NaN, infinities and
+    amounts from 1e28 on."""
     return F.col(amount).try_cast(MONEY_TYPE)
 
 
+def exact_sum(amount: str = "total_amount") -> Column:
+    """Null, not an error, if the sum itself does not fit."""
+    return F.try_sum(money(amount))
+
+
+def cents(amount: str = "total_amount") -> Column:
+    """The amount as text with two places."""
+    return F.round(money(amount), 2).cast("decimal(38,2)").cast("string")
+
+
 def revenue(amount: str = "total_amount") -> Column:
-    return F.sum(money(amount)).cast("double")
+    return exact_sum(amount).cast("double")
 
 
 def average(amount: str = "total_amount") -> Column:
-    """Average to the cent; null, not an error, if a group holds no amount."""
-    return F.round(F.try_divide(revenue(amount), F.count(amount)), 2)
+    """Average to the cent of the amounts that :func:`revenue` adds up; null without any."""
+    return F.round(F.try_divide(revenue(amount), F.count(money(amount))), 2)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -11,7 +11,7 @@ from orderflow.constants import (
     DATE_PREFIX,
     DEFAULT_CURRENCY,
 )
-from orderflow.functions.money import money
+from orderflow.functions.money import cents
 
 
 def standard(name: str) -> Column:
@@ -34,7 +34,7 @@ def alert_body() -> Column:
         F.col("customer_id"),
         F.col("product_name"),
         F.col("category"),
-        money().cast("string"),
+        cents(),
         F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY)),
         F.col("shipping_city"),
         F.col("shipping_state"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.constants import CATEGORY_PREFIX, DATE_PREFIX
-from orderflow.functions.money import money
+from orderflow.functions.money import exact_sum
 from orderflow.functions.status import counts_live
 from orderflow.functions.text import category_key, day_key
 
@@ -20,7 +20,7 @@ def live_metrics(valid: DataFrame) -> DataFrame:
     return (
         valid.where(counts_live())
         .groupBy(category_key().alias("pk"), day_key().alias("sk"))
-        .agg(F.count(F.lit(1)).alias("order_count"), F.sum(money()).alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("order_count"), exact_sum().alias("revenue"))
     )
 
 

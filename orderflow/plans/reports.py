@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.constants import REPORT_DAYS, TOP_CITIES, TOP_PRODUCTS
-from orderflow.functions.money import average, money, percent, revenue
+from orderflow.functions.money import average, exact_sum, percent, revenue
 from orderflow.functions.status import is_cancelled, is_placed
 
 
@@ -50,7 +50,7 @@ def category_share(orders: DataFrame) -> DataFrame:
     return (
         orders.where(is_placed())
         .groupBy("category")
-        .agg(_count().alias("orders"), F.sum(money()).alias("exact"))
+        .agg(_count().alias("orders"), exact_sum().alias("exact"))
         .select(
             "category",
             "orders",
