@@ -19,6 +19,7 @@ UNUSABLE = (
     "missing_category",
     "missing_total_amount",
     "bad_total_amount",
+    "bad_order_timestamp",
 )
 NO_ALERT = tuple(
     f"missing_{name}"
@@ -66,6 +67,14 @@ def _parse_failure() -> Column:
     )
 
 
+def _timestamp_is_text() -> Column:
+    """A time must be a JSON string.  Only texts that could be another kind of value are
+    looked up in the payload again."""
+    value = F.try_variant_get(F.try_parse_json("payload"), "$.order_timestamp", "variant")
+    other = F.col("order.order_timestamp").rlike(r"^([-+0-9.eE]+|true|false|[\[{].*)$")
+    return F.when(other, F.schema_of_variant(value) == "STRING").otherwise(True)
+
+
 def _first_missing(names: tuple[str, ...], otherwise: Column) -> Column:
     return F.coalesce(
         *[F.when(F.col(name).isNull(), F.lit(f"missing_{name}")) for name in names],
@@ -75,7 +84,9 @@ def _first_missing(names: tuple[str, ...], otherwise: Column) -> Column:
 
 def _order_failure(threshold: float | None) -> Column:
     """Cancelled orders reach neither counters nor alerts and need no field."""
-    bad_amount = F.when(money().isNull(), F.lit("bad_total_amount"))
+    bad_amount = F.when(money().isNull(), F.lit("bad_total_amount")).when(
+        ~F.col("timestamp_is_text"), F.lit("bad_order_timestamp")
+    )
     unusable = _first_missing(("order_timestamp", "category", "total_amount"), bad_amount)
     if threshold is None:
         return F.when(counts_live(), unusable)
@@ -101,6 +112,7 @@ def parse_orders(opened: DataFrame, threshold: float | None = None) -> DataFrame
             "raw",
             *[F.col("order")[name].alias(name) for name in fields],
             F.when(F.col("order").isNull(), _parse_failure()).alias("parse_failure"),
+            F.coalesce(_timestamp_is_text(), F.lit(True)).alias("timestamp_is_text"),
         )
         .select(
             "record_id",
