@@ -26,4 +26,9 @@ def nightly_run(
     between its run and its refresh.
     """
     runs = run_incremental(spark, raw_path, out_path, checkpoint, timeout)
-    return runs, register_processed(spark, out_path, database, table, database_path)
+    # What this night wrote is added; the rest of the zone is listed only if that may
+    # not be all: at the first registration, or after a night that wrote nothing.
+    name = f"`{database}`.`{table}_files`"
+    known = spark.catalog.tableExists(name) and not spark.table(name).isEmpty()
+    new = [run.run_id for run in runs] if runs and known else None
+    return runs, register_processed(spark, out_path, database, table, database_path, new)

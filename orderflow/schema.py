@@ -43,7 +43,7 @@ METRICS = T.StructType(
         T.StructField("pk", T.StringType()),
         T.StructField("sk", T.StringType()),
         T.StructField("order_count", T.LongType()),
-        T.StructField("revenue", T.DecimalType(28, 2)),
+        T.StructField("revenue", T.DecimalType(38, 10)),
     ]
 )
 
@@ -64,3 +64,17 @@ ALERT = T.StructType(
         T.StructField("message", T.StringType()),
     ]
 )
+
+# Alerts that could not be delivered.
+FAILED = T.StructType(
+    [T.StructField("order_id", T.StringType()), T.StructField("reason", T.StringType())]
+)
+
+# What one micro-batch took in, and how many of that were rejected.
+BATCH_COUNTS = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("failures", T.LongType()),
+    ]
+)

@@ -60,6 +60,10 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/orderflow/{label}-{uuid.uuid4().hex}"
 
 
+# Inside a stream Spark turns its adaptive planning off; what a batch writes can have it.
+ADAPTIVE = {"spark.sql.adaptive.enabled": "true"}
+
+
 def path_exists(spark: SparkSession, name: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.constants import DATABASE, TABLE
 from orderflow.schema import PROCESSED, PROCESSED_PARTITIONS
 from orderflow.session import path_exists
-from orderflow.sources.processed import RUN
+from orderflow.sources.processed import RUN, run_path
+
+# How a partition without a value is written, and partitions added by one statement.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_AT_ONCE = 500
 
 
 def _quoted(*names: str) -> str:
@@ -19,18 +26,73 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _existing(spark: SparkSession, files: str) -> tuple[str, list[str]] | None:
+    """Location and columns of the table, if it is there."""
+    if not spark.catalog.tableExists(files):
+        return None
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {files}").collect()
+    location = next(row["data_type"] for row in detail if row["col_name"] == "Location")
+    return location, spark.table(files).columns
+
+
+def _qualified(spark: SparkSession, name: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _add_columns(spark: SparkSession, files: str, path: str, runs: Sequence[str]) -> None:
+    """Give the table the columns that files of these runs have and it lacks."""
+    for run_id in runs:
+        folder = run_path(path, run_id)
+        if not path_exists(spark, folder):
+            continue
+        known = {name.lower() for name in spark.table(files).columns}
+        new = [f for f in spark.read.parquet(folder).schema.fields if f.name.lower() not in known]
+        if new:
+            columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {files} ADD COLUMNS ({columns})")
+
+
+def _add_partitions(spark: SparkSession, files: str, path: str, runs: Sequence[str]) -> None:
+    """Add the partitions of these runs, without a look at older ones."""
+    for run_id in runs:
+        folder = run_path(path, run_id)
+        if not path_exists(spark, folder):
+            continue
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/order_date=*/category=*")
+        found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        specs = []
+        for status in found:
+            place = status.getPath()
+            names = (place.getParent().getName(), place.getName())
+            values = [unquote(name.partition("=")[2]) for name in names]
+            texts = ["NULL" if v == _NO_VALUE else _text(v) for v in values]
+            specs.append(
+                f"PARTITION ({RUN} = {_text(run_id)}, order_date = {texts[0]},"
+                f" category = {texts[1]}) LOCATION {_text(place.toString())}"
+            )
+        for k in range(0, len(specs), _AT_ONCE):
+            part = " ".join(specs[k : k + _AT_ONCE])
+            spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {part}")
+
+
 def register_processed(
     spark: SparkSession,
     path: str,
     database: str = DATABASE,
     table: str = TABLE,
     database_path: str | None = None,
+    runs: Sequence[str] | None = None,
 ) -> DataFrame:
     """Create or refresh ``database.table`` over the processed zone.
 
     The files are partitioned by run first; that table is ``<table>_files``, and
-    ``table`` is a view of the 16 order columns on it.  Filters on ``order_date``
-    and ``category`` pass through the view and prune partitions.
+    ``table`` is a view of the order columns on it.  Filters on ``order_date`` and
+    ``category`` pass through the view and prune partitions.
+
+    ``runs`` names the runs to take in; without it the whole zone is listed, which is
+    what repairs need.  Columns that these runs have and the table lacks are added to
+    both; older runs have null there.  A table that stands for another path is refused.
     """
     files = _quoted(database, f"{table}_files")
     view = _quoted(database, table)
@@ -40,18 +102,34 @@ def register_processed(
     partitions = ", ".join([RUN, *PROCESSED_PARTITIONS])
     location = f" LOCATION {_text(database_path)}" if database_path else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{location}")
+    found = _existing(spark, files)
+    if found is not None and found[0] != _qualified(spark, path):
+        raise ValueError(f"{database}.{table} stands for {found[0]}, not for {path}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {files} ({columns}, {RUN} string) USING parquet"
         f" PARTITIONED BY ({partitions}) LOCATION {_text(path)}"
     )
     if path_exists(spark, path):
-        spark.catalog.recoverPartitions(files)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(PROCESSED.fieldNames())} FROM {files}"
-    )
+        if runs is None:
+            _add_columns(spark, files, path, _runs(spark, path))
+            spark.catalog.recoverPartitions(files)
+        else:
+            _add_columns(spark, files, path, runs)
+            _add_partitions(spark, files, path, runs)
+    spark.catalog.refreshTable(files)
+    known = PROCESSED.fieldNames()
+    extra = [name for name in spark.table(files).columns if name not in (*known, RUN)]
+    shown = ", ".join(_quoted(name) for name in [*known, *extra])
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {files}")
     return spark.table(view)
 
 
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{RUN}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getName().partition("=")[2] for status in found)
+
+
 def list_partitions(orders: DataFrame) -> DataFrame:
     """Orders by (order_date, category), over all runs."""
     return orders.groupBy(*PROCESSED_PARTITIONS).agg(F.count(F.lit(1)).alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.constants import RAW_RETENTION_DAYS
+from orderflow.constants import ANY_AGE
 from orderflow.schema import ORDER_EVENT
 
 
@@ -16,13 +16,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 def read_new_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw zone as a stream, so that a checkpoint remembers the files read.
 
-    By default Spark skips files a week older than the newest one.  Raw files
-    live for their retention, so a late file must count for that long; past it
-    the list of files seen may forget them.
+    Files of any age are read.  The list of those seen stays as short as the raw
+    zone has few files, which is why its sinks gather a batch before they write.
     """
     return (
         spark.readStream.schema(ORDER_EVENT)
         .option("recursiveFileLookup", "true")
-        .option("maxFileAge", f"{2 * RAW_RETENTION_DAYS}d")
+        .option("maxFileAge", ANY_AGE)
         .json(path)
     )

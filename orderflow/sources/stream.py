@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.constants import ANY_AGE
 from orderflow.schema import ENVELOPE
 
 
 def read_order_stream(
-    spark: SparkSession, path: str, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Envelopes from JSON files that arrive below ``path``.
+    """Envelopes from JSON files that arrive below ``path``, whatever their age.
 
     ``max_files`` bounds a micro-batch; without it a batch takes all that is new.
+    Files that a batch has read move to ``archive``, if given: that bounds what
+    later batches list.
     """
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(ENVELOPE).option("maxFileAge", ANY_AGE)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)

@@ -12,7 +12,7 @@ from orderflow.schema import PROCESSED
 from orderflow.session import path_exists, require_utc
 from orderflow.sources.processed import run_path, write_processed
 from orderflow.sources.raw_zone import read_new_raw
-from orderflow.streaming.runs import batch_name, finish, start
+from orderflow.streaming.runs import batch_name, finish, refuse_foreign, start
 
 
 @dataclass(frozen=True)
@@ -30,14 +30,18 @@ def run_incremental(
     out_path: str,
     checkpoint: str,
     timeout: float | None = None,
+    again: bool = False,
 ) -> list[RunMetrics]:
     """Curate all new raw files as one run; the list is empty if there are none.
 
     After a failure the list may hold two: the run tried again, then a new one.
     Ids are unique within a run, not across runs.  A run tried again overwrites
-    its own folder.
+    its own folder.  A new checkpoint would read all files again, so it is refused
+    on an output that has runs, unless ``again`` asks for that.
     """
     require_utc(spark)
+    if not again:
+        refuse_foreign(spark, out_path, checkpoint)
     if not path_exists(spark, raw_path):
         return []
     done: list[RunMetrics] = []

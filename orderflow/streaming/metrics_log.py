@@ -8,7 +8,6 @@ not tell them apart, and folders older than a snapshot can go at any time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +19,7 @@ from orderflow.streaming.runs import refuse_foreign, start
 CHANGES = "changes"
 SNAPSHOT = "snapshot"
 SNAPSHOT_EVERY = 1000
+LOG_FILES = 4
 
 _LOG = T.StructType([*METRICS.fields, T.StructField("batch_id", T.LongType())])
 
@@ -29,12 +29,31 @@ def _folder(path: str, kind: str, batch_id: int) -> str:
 
 
 def _write(totals: DataFrame, folder: str) -> None:
-    totals.select(*METRICS.fieldNames()).write.mode("overwrite").parquet(folder)
+    """Few files, however many tasks hold the state: totals are small."""
+    rows = totals.select(*METRICS.fieldNames()).repartition(LOG_FILES)
+    rows.write.mode("overwrite").parquet(folder)
 
 
 def read_live_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The current count and revenue of every (category, day)."""
-    return latest_metrics(spark.read.schema(_LOG).parquet(path))
+    """The current count and revenue of every (category, day).
+
+    Reads the newest snapshot and the changes since.
+    """
+    snapshots, changes = (_numbers(spark, f"{path}/kind={kind}") for kind in (SNAPSHOT, CHANGES))
+    newest = max(snapshots, default=-1)
+    folders = [_folder(path, CHANGES, n) for n in changes if n > newest]
+    folders += [_folder(path, SNAPSHOT, newest)] if snapshots else []
+    if not folders:
+        return latest_metrics(spark.createDataFrame([], _LOG))
+    return latest_metrics(spark.read.schema(_LOG).option("basePath", path).parquet(*folders))
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Batch numbers whose folders are complete."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch_id=*/_SUCCESS")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(path) or []
+    return sorted(int(f.getPath().getParent().getName().partition("=")[2]) for f in found)
 
 
 def metrics_lookup(
@@ -55,9 +74,7 @@ def compact_live_metrics(
 
     Keep the folders back to the previous snapshot: readers may be on them.
     """
-    log = spark.read.schema(_LOG).parquet(path)
-    totals = latest_metrics(log.where(F.col("batch_id") <= batch_id))
-    _write(totals, _folder(path, SNAPSHOT, batch_id))
+    _write(read_live_metrics(spark, path), _folder(path, SNAPSHOT, batch_id))
 
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +13,7 @@ from orderflow.constants import HIGH_VALUE_THRESHOLD
 from orderflow.operators import decode
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
+from orderflow.schema import BATCH_COUNTS
 from orderflow.streaming import sinks
 from orderflow.streaming.metrics_log import write_live_metrics
 from orderflow.streaming.runs import batch_name, start
@@ -21,13 +21,15 @@ from orderflow.streaming.runs import batch_name, start
 
 @dataclass(frozen=True)
 class LivePaths:
-    """Where the live sinks write; an empty ``alerts`` turns alerts off."""
+    """Where the live sinks write; an empty ``alerts`` turns alerts off, and ``counts``
+    keeps the counts of each batch of a fan-out."""
 
     raw: str
     rejects: str
     metrics: str
     checkpoints: str
     alerts: str | None = None
+    counts: str | None = None
 
 
 @dataclass(frozen=True)
@@ -56,7 +58,8 @@ def _counted(records: DataFrame) -> DataFrame:
 
 
 def batch_counts(query: StreamingQuery) -> list[BatchCounts]:
-    """Counts of the latest micro-batches; the first query of a pipeline has them."""
+    """Counts of the latest micro-batches, as many as Spark remembers; the first query of
+    a pipeline has them.  A fan-out keeps all, see :func:`read_counts`."""
     return [
         BatchCounts(progress.batchId, counts["records"], counts["failures"])
         for progress in query.recentProgress
@@ -64,6 +67,11 @@ def batch_counts(query: StreamingQuery) -> list[BatchCounts]:
     ]
 
 
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Records and failures of every micro-batch of a fan-out."""
+    return spark.read.schema(BATCH_COUNTS).parquet(path).select(*BATCH_COUNTS.fieldNames())
+
+
 def _messages(records: DataFrame, threshold: float) -> DataFrame:
     return alert_message(high_value_alerts(decode.valid(records), threshold))
 
@@ -84,7 +92,6 @@ def start_pipeline(
     opened: DataFrame,
     paths: LivePaths,
     threshold: float = HIGH_VALUE_THRESHOLD,
-    deliver: Callable[[DataFrame, int], None] | None = None,
     state_partitions: int | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
@@ -112,7 +119,6 @@ def start_pipeline(
             _messages(records, threshold),
             paths.alerts,
             f"{paths.checkpoints}/alerts",
-            deliver=deliver,
             available_now=available_now,
         ),
     ]
@@ -123,16 +129,15 @@ def start_fan_out(
     opened: DataFrame,
     paths: LivePaths,
     threshold: float = HIGH_VALUE_THRESHOLD,
-    deliver: Callable[[DataFrame, int], None] | None = None,
     state_partitions: int | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
     """Start two queries: one for all sinks without state, one for the counters.
 
-    For streams so wide that parsing is what costs.  A batch is parsed once and
-    kept, in memory or on disk, while its sinks are written; bound its size at the
-    source.  A batch that is tried again replaces what it wrote.  Use other folders
-    than those of ``start_pipeline``, which Spark's file sink keeps a list of.
+    The usual choice.  A batch is parsed once and kept, in memory or on disk, while
+    its sinks are written; bound its size at the source.  A batch that is tried again
+    replaces what it wrote.  Alerts are only saved here: ``sinks.start_delivery``
+    sends them, in a query of its own.
     """
     records = _records(opened, paths, threshold)
     lines = sinks.raw_lines(_counted(records), keep=records.columns)
@@ -146,10 +151,14 @@ def start_fan_out(
             sinks.save_batch(raw, "text", paths.raw, name, *days)
             sinks.save_batch(decode.rejected(kept), "parquet", paths.rejects, name)
             if paths.alerts:
-                messages = _messages(kept, threshold)
-                sinks.save_batch(messages, "parquet", paths.alerts, name)
-                if deliver is not None:
-                    deliver(messages, batch_id)
+                sinks.save_batch(_messages(kept, threshold), "parquet", paths.alerts, name)
+            if paths.counts:
+                counts = kept.agg(
+                    F.lit(batch_id).cast("bigint").alias("batch_id"),
+                    F.count(F.lit(1)).alias("records"),
+                    F.count_if(F.col("reason").isNotNull()).alias("failures"),
+                )
+                sinks.save_batch(counts, "parquet", paths.counts, name)
         finally:
             kept.unpersist()
 

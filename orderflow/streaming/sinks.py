@@ -8,31 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderflow.constants import RAW_RETENTION_DAYS
-from orderflow.schema import ALERT, REJECT
-from orderflow.session import require_utc
+from orderflow.constants import ANY_AGE
+from orderflow.schema import ALERT, FAILED, REJECT
+from orderflow.session import ADAPTIVE, conf_scope, require_utc
 from orderflow.streaming.runs import batch_name, refuse_foreign, start
 
 RAW_PARTITIONS = {"year": "yyyy", "month": "MM", "day": "dd"}
 BATCH = "batch"
 
-# Where Spark's file sink lists what it has committed.
-_SINK_LOG = "_spark_metadata"
-
 
 def save_batch(rows: DataFrame, kind: str, path: str, name: str, *partitions: str) -> None:
     """Add a batch as last partition, in place of an earlier try at the same batch.
 
-    Other batches are not touched, and a batch without rows leaves no folder.
+    Other batches are not touched, and a batch without rows leaves no folder.  The
+    hint gathers the rows of many small tasks into few files.
     """
-    (
-        rows.withColumn(BATCH, F.lit(name))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, BATCH)
-        .format(kind)
-        .save(path)
-    )
+    with conf_scope(rows.sparkSession, ADAPTIVE):
+        (
+            rows.hint("rebalance", *partitions)
+            .withColumn(BATCH, F.lit(name))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partitions, BATCH)
+            .format(kind)
+            .save(path)
+        )
 
 
 def raw_lines(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -50,66 +50,89 @@ def raw_lines(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def write_raw_zone(
-    records: DataFrame,
-    path: str,
-    checkpoint: str,
-    files_per_batch: int | None = None,
-    retention_days: int = RAW_RETENTION_DAYS,
-    available_now: bool = False,
+    records: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Land parsed records as JSON lines, each record exactly once.
+    """Land parsed records as JSON lines, each record exactly once, in few files a batch.
 
-    ``files_per_batch`` suits small batches; large ones keep a file per task.
-    Files past the retention leave the sink's own file list, so they can be deleted.
+    A batch that is tried again replaces its own files.  Nothing else lists the
+    zone's files, so expired days can be deleted as folders.
     """
-    refuse_foreign(records.sparkSession, f"{path}/{_SINK_LOG}", checkpoint)
-    lines = raw_lines(records)
-    if files_per_batch is not None:
-        lines = lines.coalesce(files_per_batch)
-    writer = (
-        lines.writeStream.format("text")
-        .partitionBy(*RAW_PARTITIONS)
-        .option("path", path)
-        .option("retention", f"{retention_days + 1}d")
-    )
-    return start(writer, checkpoint, available_now)
+    refuse_foreign(records.sparkSession, path, checkpoint)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        save_batch(batch, "text", path, batch_name(batch, batch_id), *RAW_PARTITIONS)
+
+    return start(raw_lines(records).writeStream.foreachBatch(put), checkpoint, available_now)
 
 
 def write_rejects(
     rejects: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Append ``(record_id, reason, raw)`` of every rejected record, once."""
-    refuse_foreign(rejects.sparkSession, f"{path}/{_SINK_LOG}", checkpoint)
-    writer = rejects.select(*REJECT.fieldNames()).writeStream.format("parquet").option("path", path)
-    return start(writer, checkpoint, available_now)
+    refuse_foreign(rejects.sparkSession, path, checkpoint)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        save_batch(batch, "parquet", path, batch_name(batch, batch_id))
+
+    rows = rejects.select(*REJECT.fieldNames())
+    return start(rows.writeStream.foreachBatch(put), checkpoint, available_now)
 
 
 def write_alerts(
-    messages: DataFrame,
-    path: str | None,
+    messages: DataFrame, path: str | None, checkpoint: str, available_now: bool = False
+) -> StreamingQuery | None:
+    """Keep every alert; no ``path`` turns alerts off."""
+    if not path:
+        return None
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        save_batch(batch, "parquet", path, batch_name(batch, batch_id))
+
+    rows = messages.select(*ALERT.fieldNames())
+    return start(rows.writeStream.foreachBatch(put), checkpoint, available_now)
+
+
+def start_delivery(
+    spark: SparkSession,
+    alerts: str,
     checkpoint: str,
-    deliver: Callable[[DataFrame, int], None] | None = None,
+    deliver: Callable[[DataFrame, int], DataFrame | None],
+    failures: str,
     available_now: bool = False,
-) -> StreamingQuery | None:
-    """Keep every alert and hand each batch to ``deliver``; no ``path`` turns alerts off.
+) -> StreamingQuery:
+    """Hand saved alerts to ``deliver``, in a query that no other sink waits for.
 
-    ``deliver`` gets the batch as a DataFrame and should work on its partitions.
-    After a failure it may see a batch again.
+    ``deliver`` gets a batch as a DataFrame, should work on its partitions, and may
+    return the alerts it could not deliver, as ``order_id`` and ``reason``.  If it
+    raises, all of the batch's are taken for that.  They are kept in ``failures``,
+    and the query goes on.  Delivery is at least once.
     """
-    if not path:
-        return None
+    saved = spark.readStream.schema(ALERT).option("maxFileAge", ANY_AGE)
+    saved = saved.option("recursiveFileLookup", "true").parquet(alerts)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        # Alerts are few; keeping them spares a second pass over the stream's batch.
-        kept = batch.select(*ALERT.fieldNames()).persist()
+        # Alerts are few; keeping them spares a second read.
+        kept = batch.persist()
         try:
-            save_batch(kept, "parquet", path, batch_name(batch, batch_id))
-            if deliver is not None:
-                deliver(kept, batch_id)
+            try:
+                failed = deliver(kept, batch_id)
+            except Exception as error:  # noqa: BLE001  whatever the receiver raises
+                failed = kept.select("order_id", F.lit(str(error)).alias("reason"))
+            if failed is not None:
+                rows = failed.select(*FAILED.fieldNames())
+                save_batch(rows, "parquet", failures, batch_name(batch, batch_id))
         finally:
             kept.unpersist()
 
-    return start(messages.writeStream.foreachBatch(put), checkpoint, available_now)
+    return start(saved.writeStream.foreachBatch(put), checkpoint, available_now)
+
+
+def read_failed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FAILED).parquet(path).select(*FAILED.fieldNames())
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REJECT).parquet(path).select(*REJECT.fieldNames())
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
