@@ -39,6 +39,7 @@ from orderflow.streaming.metrics_log import (  # noqa: E402
     read_live_metrics,
     write_live_metrics,
 )
+from orderflow.streaming.pipeline import LivePaths, read_counts, start_fan_out  # noqa: E402
 from orderflow.streaming.runs import finish, start  # noqa: E402
 
 try:  # The training-data operators are an optional part of the package.
@@ -74,8 +75,11 @@ def _last_day(orders: DataFrame) -> Column:
 
 
 def report_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # All copies of an order share its date, so the raw orders know the last day.
-    today = _last_day(clean_orders(fixtures.raw_orders(spark, sf_dir)))
+    # Orders with a line item know the last day; the other joins add nothing to that.
+    placed = fixtures.table(spark, sf_dir, "orders")
+    lines = fixtures.table(spark, sf_dir, "lineitem").hint("merge")
+    sold = placed.join(lines, placed["o_orderkey"] == lines["l_orderkey"], "left_semi")
+    today = sold.agg(F.max(F.to_date("o_orderdate"))).scalar()
     return reports.daily_revenue(fixtures.processed_orders(spark, sf_dir), as_of=today)
 
 
@@ -159,13 +163,29 @@ def catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run's files have one column more than the first's."""
+    path, later = _evolving(spark, sf_dir)
+    later()
+    return _comparable(read_evolved(spark, path))
+
+
+def _evolving(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[], None]]:
+    """A zone with one run, and what adds a second run with a further column."""
     path = shared_dir(spark, "evolved")
     orders = fixtures.event_orders(spark, sf_dir)
     second = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
     write_processed(curate_orders(orders.where(~second)), path, "0")
     segment = F.concat(F.lit("S-"), "customer_id")
-    write_processed(curate_orders(orders.where(second)).withColumn("segment", segment), path, "1")
-    return _comparable(read_evolved(spark, path))
+    more = curate_orders(orders.where(second)).withColumn("segment", segment)
+    return path, lambda: write_processed(more, path, "1")
+
+
+def catalog_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered table takes up the column of a later run."""
+    path, later = _evolving(spark, sf_dir)
+    name = f"orders_{uuid.uuid4().hex}"
+    register_processed(spark, path, name, database_path=f"{path}_{name}")
+    later()
+    return _comparable(register_processed(spark, path, name, runs=["1"]))
 
 
 # Retention: raw orders, landed on the day they ship.
@@ -212,19 +232,34 @@ def rt_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _decoded(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        "order_id",
-        "customer_id",
-        "category",
-        F.col("total_amount").cast("double").alias("total_amount"),
+def _decoded_columns() -> list[Column]:
+    return [
+        F.col("order_id"),
+        F.col("customer_id"),
+        F.col("category"),
+        F.col("total_amount").try_cast("double").alias("total_amount"),
         F.substring("order_timestamp", 1, 10).alias("order_day"),
-    )
+    ]
+
+
+def rt_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the files is three months older than what was read before it."""
+    folder = shared_dir(spark, "late")
+    records = fixtures.envelopes(spark, sf_dir)
+    early = F.col("sequence_number").cast("bigint") % 2 == 0
+    for wave, days_ago in ((early, 0), (~early, 90)):
+        staged = f"{folder}/staged-{days_ago}"
+        fixtures.stage(records.where(wave), staged)
+        fixtures.move_files(spark, staged, f"{folder}/stream", days_ago)
+        stream = read_order_stream(spark, f"{folder}/stream")
+        writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
+        finish(start(writer, f"{folder}/checkpoint", available_now=True))
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
 def rt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, _ = decode.decode_orders(fixtures.envelopes(spark, sf_dir))
-    return _decoded(orders)
+    return orders.select(*_decoded_columns())
 
 
 def rt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +267,7 @@ def rt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejects = decode.decode_orders(stream)
     out = f"{folder}/rejects"
     finish(sinks.write_rejects(rejects, out, f"{folder}/checkpoint", available_now=True))
-    return spark.read.schema(rejects.schema).parquet(out)
+    return sinks.read_rejects(spark, out)
 
 
 def rt_raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +279,8 @@ def rt_raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
             decode.parsed(records), out, f"{folder}/checkpoint", available_now=True
         )
     )
-    return _decoded(read_raw(spark, out))
+    raw = read_raw(spark, out)
+    return raw.select(*_decoded_columns(), "year", "month", "day")
 
 
 def rt_live_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +323,7 @@ def rt_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rt_alert_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alert_message(high_value_alerts(fixtures.raw_orders(spark, sf_dir)))
+    return alert_message(high_value_alerts(fixtures.raw_orders(spark, sf_dir), 50_000))
 
 
 def rt_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,6 +344,52 @@ def rt_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_alerts(spark, out)
 
 
+def rt_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in every sink of one stream whose alerts cannot be delivered."""
+    orders = fixtures.event_orders(spark, sf_dir)
+    good = fixtures.order_envelopes(orders, "order_id", "order_timestamp")
+    stream, folder = _stream(spark, good.unionByName(fixtures.envelopes(spark, sf_dir)))
+    names = ("raw", "rejects", "metrics", "checkpoints", "alerts", "counts")
+    paths = LivePaths(**{name: f"{folder}/{name}" for name in names})
+    for query in start_fan_out(
+        decode.open_envelopes(stream),
+        paths,
+        state_partitions=STATE_PARTITIONS,
+        available_now=True,
+    ):
+        finish(query)
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        raise ConnectionError("receiver is down")
+
+    failures, checkpoint = f"{folder}/failed", f"{folder}/checkpoints/delivery"
+    finish(
+        sinks.start_delivery(
+            spark, paths.alerts, checkpoint, deliver, failures, available_now=True
+        )
+    )
+    counts = read_counts(spark, paths.counts)
+    empty, one = F.lit(""), F.lit(1)
+    found = [
+        ("raw", read_raw(spark, paths.raw), empty, one),
+        ("rejects", sinks.read_rejects(spark, paths.rejects), F.col("reason"), one),
+        ("alerts", sinks.read_alerts(spark, paths.alerts), empty, one),
+        ("failed", sinks.read_failed(spark, failures), F.col("reason"), one),
+        ("counted", counts, F.lit("records"), F.col("records")),
+        ("counted", counts, F.lit("failures"), F.col("failures")),
+        ("metrics", read_live_metrics(spark, paths.metrics), empty, F.col("order_count")),
+    ]
+    return functools.reduce(
+        DataFrame.unionByName,
+        [
+            rows.groupBy(F.lit(sink).alias("sink"), detail.alias("detail")).agg(
+                F.sum(n).cast("bigint").alias("n")
+            )
+            for sink, rows, detail, n in found
+        ],
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "report_daily_revenue": report_daily_revenue,
     "report_category_share": _report(reports.category_share),
@@ -326,9 +408,12 @@ _QUERIES: dict[str, Query] = {
     "catalog_partitions": catalog_partitions,
     "catalog_daily_revenue": catalog_daily_revenue,
     "catalog_merge_schema": catalog_merge_schema,
+    "catalog_evolved": catalog_evolved,
     "raw_retention": raw_retention_days,
     "raw_expired_days": raw_expired_days,
     "rt_stream_ingest": rt_stream_ingest,
+    "rt_late_files": rt_late_files,
+    "rt_fan_out": rt_fan_out,
     "rt_decode": rt_decode,
     "rt_quarantine": rt_quarantine,
     "rt_raw_zone": rt_raw_zone,

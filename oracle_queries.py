@@ -47,8 +47,8 @@ raw AS (
   concat('Item ', json_extract_string(props, '$.k')) AS product_name,
   concat(' ', event_type, '  ') AS category,
   CAST(json_extract_string(props, '$.k') AS INT) AS quantity,
-  value AS unit_price, value AS total_amount, 'USD' AS currency,
-  upper(event_type) AS payment_method,
+  value AS unit_price, value AS total_amount,
+  CASE WHEN user_id % 3 > 0 THEN 'USD' END AS currency, upper(event_type) AS payment_method,
   CASE WHEN value < 10 THEN 'cancelled ' ELSE ' Placed' END AS order_status,
   concat('City ', CAST(user_id AS VARCHAR)) AS shipping_city, 'NY' AS shipping_state,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS order_timestamp, ts
@@ -80,17 +80,22 @@ COLUMNS = """order_id, customer_id, product_id, product_name, category, quantity
  total_amount, currency, payment_method, order_status, shipping_city, shipping_state,
  order_ts, order_hour, order_date"""
 
-REVENUE = "CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
+# By way of text, which holds a double exactly; what is no number adds nothing.
+AMOUNT = "TRY_CAST(CAST(total_amount AS STRING) AS DECIMAL(38,10))"
+REVENUE = f"CAST(CAST(SUM({AMOUNT}) AS STRING) AS DOUBLE)"
+AVERAGE = f"ROUND({REVENUE} / COUNT({AMOUNT}), 2)"
 
 DAILY = f"""SELECT order_date, COUNT(*) AS total_orders, {REVENUE} AS gross_revenue,
- ROUND({REVENUE} / COUNT(total_amount), 2) AS avg_order_value
+ {AVERAGE} AS avg_order_value
 FROM orders_processed WHERE order_status = 'PLACED'
  AND order_date >= CAST((SELECT MAX(order_date) FROM orders_processed) - INTERVAL '7' DAY AS DATE)
 GROUP BY order_date ORDER BY order_date DESC"""
 
 LIVE = """WITH ev AS (
  SELECT CAST(event_id AS VARCHAR) AS order_id, concat('C', CAST(user_id AS VARCHAR)) AS customer_id,
-  event_type AS category, value AS total_amount,
+  event_type AS category,
+  CASE WHEN event_id % 103 = 0 THEN 2e16 WHEN event_id % 7 = 0 THEN 0.004
+   ELSE value END AS total_amount,
   CASE WHEN event_id % 5 = 0 THEN 'CANCELLED' WHEN event_id % 11 = 0 THEN NULL
    ELSE 'PLACED' END AS order_status, ts FROM events)
 """
@@ -99,28 +104,57 @@ LIVE_METRICS = f"""{LIVE} SELECT concat('CATEGORY#', category) AS pk,
  concat('DATE#', strftime(ts, '%Y-%m-%d')) AS sk, COUNT(*) AS order_count, {REVENUE} AS revenue
 FROM ev WHERE order_status IS DISTINCT FROM 'CANCELLED' GROUP BY 1, 2"""
 
-# the payload of every stream record.
-PAYLOAD = """CASE WHEN event_id % 13 = 0 THEN '{bad' WHEN event_id % 17 = 0 THEN '[1]'
- ELSE concat('{"order_id":"', CAST(event_id AS VARCHAR), '","customer_id":"C',
-  CAST(user_id AS VARCHAR), '","category":"', event_type, '","total_amount":',
-  CAST(value AS VARCHAR), ',"order_status":"PLACED","order_timestamp":"',
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00"}') END"""
+# the payload of every stream record, and why it is rejected.
+FAULTS = """SELECT *, event_id % 23 = 0 AS no_category, event_id % 29 = 0 AS bad_amount,
+  event_id % 31 = 0 AS no_amount, event_id % 37 = 0 AS number_time, event_id % 41 = 0 AS no_time,
+  CASE WHEN event_id % 19 = 0 THEN 'bad_base64' WHEN event_id % 13 = 0 THEN 'bad_json'
+   WHEN event_id % 17 = 0 THEN 'not_an_object' END AS broken,
+  broken IS NULL AND event_id % 43 = 0 AS cancelled
+ FROM events"""
 
-DECODED = """SELECT CAST(event_id AS VARCHAR) AS order_id,
- concat('C', CAST(user_id AS VARCHAR)) AS customer_id, event_type AS category,
- value AS total_amount, strftime(ts, '%Y-%m-%d') AS order_day
-FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0"""
+PAYLOADS = f"""payloads AS (SELECT *,
+ CASE WHEN event_id % 13 = 0 THEN '{{bad' WHEN event_id % 17 = 0 THEN '[1]'
+  WHEN event_id % 43 = 0
+   THEN concat('{{"order_id":"', event_id, '","order_status":"CANCELLED"}}')
+  ELSE concat('{{"order_id":"', event_id, '","customer_id":"C', user_id, '"',
+   CASE WHEN no_category THEN '' ELSE concat(',"category":"', event_type, '"') END,
+   CASE WHEN bad_amount THEN ',"total_amount":"abc"' WHEN no_amount THEN ''
+    ELSE concat(',"total_amount":', value) END,
+   ',"order_status":"PLACED"',
+   CASE WHEN number_time THEN ',"order_timestamp":1767322245' WHEN no_time THEN ''
+    ELSE strftime(ts, ',"order_timestamp":"%Y-%m-%dT%H:%M:%S.%f+00:00"') END, '}}') END AS payload,
+ CASE WHEN broken IS NOT NULL THEN broken WHEN cancelled THEN NULL
+  WHEN no_time AND NOT number_time THEN 'missing_order_timestamp'
+  WHEN no_category THEN 'missing_category' WHEN bad_amount THEN 'bad_total_amount'
+  WHEN no_amount THEN 'missing_total_amount' WHEN number_time THEN 'bad_order_timestamp'
+ END AS reason
+FROM ({FAULTS}) AS faults)"""
+
+
+def _decoded(more: str, which: str) -> str:
+    return f"""WITH {PAYLOADS} SELECT CAST(event_id AS VARCHAR) AS order_id,
+ CASE WHEN NOT cancelled THEN concat('C', user_id) END AS customer_id,
+ CASE WHEN NOT cancelled AND NOT no_category THEN event_type END AS category,
+ CASE WHEN NOT cancelled AND NOT bad_amount AND NOT no_amount THEN value END AS total_amount,
+ CASE WHEN cancelled THEN NULL WHEN number_time THEN '1767322245' WHEN no_time THEN NULL
+  ELSE strftime(ts, '%Y-%m-%d') END AS order_day{more}
+FROM payloads WHERE {which}"""
+
+
+ENVELOPES = f"""WITH {PAYLOADS} SELECT CAST(event_id AS VARCHAR) AS sequence_number,
+ CASE WHEN event_id % 19 = 0 THEN '@@@' ELSE to_base64(encode(payload)) END AS data FROM payloads"""
 
 MESSAGE = """concat('High-value order detected', chr(10), 'Order ID: ', order_id, chr(10),
  'Customer: ', customer_id, chr(10), 'Product:  ', product_name, ' (', category, ')', chr(10),
- 'Amount:   $', CAST(CAST(total_amount AS DECIMAL(18,2)) AS VARCHAR), ' ', currency, chr(10),
+ 'Amount:   $', CAST(CAST(total_amount AS DECIMAL(18,2)) AS VARCHAR), ' ',
+ coalesce(currency, 'USD'), chr(10),
  'City:     ', shipping_city, ', ', shipping_state, chr(10), 'Time:     ', order_timestamp)"""
 
 
-def _alerts(raw: str) -> str:
+def _alerts(raw: str, threshold: int = 250) -> str:
     return f"""WITH {raw} SELECT order_id, customer_id, category,
  'High-value order alert' AS subject, {MESSAGE} AS message
-FROM raw WHERE order_status IS DISTINCT FROM 'CANCELLED' AND total_amount > 250"""
+FROM raw WHERE order_status IS DISTINCT FROM 'CANCELLED' AND total_amount > {threshold}"""
 
 
 SQL = {
@@ -128,7 +162,7 @@ SQL = {
     "report_category_share": PROCESSED
     + f"""SELECT category, COUNT(*) AS orders, {REVENUE} AS revenue,
  ROUND({REVENUE} * 100.0
-  / CAST(SUM(SUM(CAST(total_amount AS DECIMAL(18,2)))) OVER () AS DOUBLE), 2) AS pct_of_revenue
+  / CAST(CAST(SUM(SUM({AMOUNT})) OVER () AS STRING) AS DOUBLE), 2) AS pct_of_revenue
 FROM orders_processed WHERE order_status = 'PLACED'
 GROUP BY category ORDER BY revenue DESC, category""",
     "report_top_products": PROCESSED
@@ -138,14 +172,14 @@ FROM orders_processed WHERE order_status = 'PLACED' GROUP BY product_id, product
 ORDER BY revenue DESC, product_id, product_name LIMIT 10""",
     "report_hourly": PROCESSED
     + f"""SELECT order_hour, COUNT(*) AS orders,
- ROUND({REVENUE} / COUNT(total_amount), 2) AS avg_order_value
+ {AVERAGE} AS avg_order_value
 FROM orders_processed WHERE order_status = 'PLACED' GROUP BY order_hour ORDER BY order_hour""",
     "report_cancel_rate": PROCESSED
-    + """SELECT category, COUNT(*) AS total,
- CAST(SUM(CASE WHEN order_status = 'CANCELLED' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled,
- ROUND(CAST(100.0 AS DOUBLE) * CAST(SUM(CASE WHEN order_status = 'CANCELLED' THEN 1 ELSE 0 END)
-  AS DOUBLE) / COUNT(*), 2) AS cancel_rate_pct
-FROM orders_processed GROUP BY category ORDER BY cancel_rate_pct DESC, category""",
+    + """SELECT *, round(CAST(cancelled AS DOUBLE) * 100 / total, 2) AS cancel_rate_pct
+FROM (SELECT category, count(*) AS total,
+  count(*) FILTER (WHERE order_status = 'CANCELLED') AS cancelled
+ FROM orders_processed GROUP BY category) AS counted
+ORDER BY cancel_rate_pct DESC, category""",
     "report_top_cities": PROCESSED
     + f"""SELECT shipping_state, shipping_city, COUNT(*) AS orders, {REVENUE} AS revenue
 FROM orders_processed WHERE order_status = 'PLACED' GROUP BY shipping_state, shipping_city
@@ -176,6 +210,9 @@ GROUP BY order_date, category""",
     "catalog_daily_revenue": TWO_RUNS + DAILY,
     "catalog_merge_schema": TWO_RUNS
     + f"""SELECT {COLUMNS}, CASE WHEN run = 1 THEN concat('S-', customer_id) END AS segment
+FROM orders_processed""",
+    "catalog_evolved": TWO_RUNS
+    + f"""SELECT {COLUMNS}, CASE WHEN run = 1 THEN concat('S-', customer_id) END AS segment
 FROM orders_processed""",
     "raw_retention": f"""WITH {RAW}, landed AS (
  SELECT *, CAST(l_shipdate AS DATE) AS landing_day FROM raw)
@@ -188,19 +225,37 @@ SELECT CAST(year(landing_day) AS INT) AS year, CAST(month(landing_day) AS INT) A
  CAST(day(landing_day) AS INT) AS day, COUNT(*) AS orders FROM landed
 WHERE landing_day < CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '30' DAY AS DATE)
 GROUP BY landing_day""",
-    "rt_stream_ingest": f"""SELECT CAST(event_id AS VARCHAR) AS sequence_number,
- to_base64(encode({PAYLOAD})) AS data FROM events""",
-    "rt_decode": DECODED,
-    "rt_quarantine": f"""SELECT CAST(event_id AS VARCHAR) AS record_id,
- CASE WHEN event_id % 13 = 0 THEN 'bad_json' ELSE 'not_an_object' END AS reason, {PAYLOAD} AS raw
-FROM events WHERE event_id % 13 = 0 OR event_id % 17 = 0""",
-    "rt_raw_zone": DECODED,
+    "rt_stream_ingest": ENVELOPES,
+    "rt_late_files": ENVELOPES,
+    "rt_decode": _decoded("", "reason IS NULL"),
+    "rt_quarantine": f"""WITH {PAYLOADS} SELECT CAST(event_id AS VARCHAR) AS record_id, reason,
+ CASE WHEN event_id % 19 = 0 THEN '@@@' ELSE payload END AS raw
+FROM payloads WHERE reason IS NOT NULL""",
+    "rt_raw_zone": _decoded(
+        """, CAST(year(today) AS INT) AS year, CAST(month(today) AS INT) AS month,
+ CAST(day(today) AS INT) AS day""",
+        "broken IS NULL",
+    ).replace("FROM payloads", "FROM payloads, (SELECT timezone('UTC', now()) AS today) AS t"),
+    "rt_fan_out": f"""WITH {PAYLOADS}, high AS (
+ SELECT count(*) AS n FROM events WHERE value > 250)
+SELECT 'raw' AS sink, '' AS detail, (SELECT count(*) FROM events)
+ + (SELECT count(*) FROM payloads WHERE broken IS NULL) AS n
+UNION ALL SELECT 'rejects', why, count(*) FROM (SELECT CASE WHEN reason IS NOT NULL THEN reason
+  WHEN NOT cancelled AND value > 250 THEN 'missing_product_name' END AS why FROM payloads) AS r
+ WHERE why IS NOT NULL GROUP BY why
+UNION ALL SELECT 'alerts', '', n FROM high
+UNION ALL SELECT 'failed', 'receiver is down', n FROM high
+UNION ALL SELECT 'counted', 'records', 2 * count(*) FROM events
+UNION ALL SELECT 'counted', 'failures', count(*) FROM payloads
+ WHERE reason IS NOT NULL OR (NOT cancelled AND value > 250)
+UNION ALL SELECT 'metrics', '', (SELECT count(*) FROM events)
+ + (SELECT count(*) FROM payloads WHERE reason IS NULL AND NOT cancelled)""",
     "rt_live_metrics": LIVE_METRICS,
     "rt_live_metrics_stream": LIVE_METRICS,
     "rt_metrics_lookup": f"""SELECT * FROM ({LIVE_METRICS}) m
 WHERE pk = 'CATEGORY#click' AND sk BETWEEN 'DATE#2024-01-05' AND 'DATE#2024-01-20'""",
     "rt_alerts": f"""{LIVE} SELECT order_id, customer_id, category, total_amount FROM ev
 WHERE order_status IS DISTINCT FROM 'CANCELLED' AND total_amount > 250""",
-    "rt_alert_message": _alerts(RAW),
+    "rt_alert_message": _alerts(RAW, 50_000),
     "rt_alert_stream": _alerts(EVENT_RAW),
 }

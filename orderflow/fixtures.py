@@ -69,6 +69,12 @@ def processed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_orders(dedup_orders(raw_orders(spark, sf_dir), order_by=RAW_TIE_BREAK))
 
 
+def _odd_amount(key: Column) -> Column:
+    """Some amounts are very large, some below a cent."""
+    large = F.when(key % 103 == 0, F.lit(2e16))
+    return large.when(key % 7 == 0, F.lit(0.004)).otherwise(F.col("value"))
+
+
 def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one order per event; some are cancelled, some lack a status."""
     key = F.col("event_id")
@@ -76,7 +82,7 @@ def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string").alias("order_id"),
         F.concat(F.lit("C"), "user_id").alias("customer_id"),
         F.col("event_type").alias("category"),
-        F.col("value").alias("total_amount"),
+        _odd_amount(key).alias("total_amount"),
         F.when(key % 5 == 0, CANCELLED)
         .when(key % 11 == 0, F.lit(None))
         .otherwise(PLACED)
@@ -86,19 +92,29 @@ def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """one stream record per event; some are broken text, some a JSON array."""
+    """one stream record per event, some of them with one of the known faults."""
     key = F.col("event_id")
     order = F.concat(
         F.lit('{"order_id":"'), key,
         F.lit('","customer_id":"C'), "user_id",
-        F.lit('","category":"'), "event_type",
-        F.lit('","total_amount":'), "value",
-        F.lit(',"order_status":"PLACED","order_timestamp":"'), F.date_format("ts", ISO_MICROS),
-        F.lit('"}'),
+        F.when(key % 23 == 0, '"').otherwise(F.concat(F.lit('","category":"'), "event_type", F.lit('"'))),
+        F.when(key % 29 == 0, ',"total_amount":"abc"').when(key % 31 == 0, "")
+        .otherwise(F.concat(F.lit(',"total_amount":'), "value")),
+        F.lit(',"order_status":"PLACED"'),
+        F.when(key % 37 == 0, ',"order_timestamp":1767322245').when(key % 41 == 0, "")
+        .otherwise(F.concat(F.lit(',"order_timestamp":"'), F.date_format("ts", ISO_MICROS), F.lit('"'))),
+        F.lit("}"),
     )
+    cancelled = F.concat(F.lit('{"order_id":"'), key, F.lit('","order_status":"CANCELLED"}'))
+    payload = (
+        F.when(key % 13 == 0, "{bad")
+        .when(key % 17 == 0, "[1]")
+        .when(key % 43 == 0, cancelled)
+        .otherwise(order)
+    )
     return table(spark, sf_dir, "events").select(
         key.cast("string").alias("sequence_number"),
-        _base64(F.when(key % 13 == 0, "{bad").when(key % 17 == 0, "[1]").otherwise(order)),
+        F.when(key % 19 == 0, "@@@").otherwise(_base64(payload)).alias("data"),
     )
 
 
@@ -117,7 +133,7 @@ def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.get_json_object("props", "$.k"), F.lit(".0")).alias("quantity"),
         F.col("value").alias("unit_price"),
         F.col("value").alias("total_amount"),
-        F.lit(DEFAULT_CURRENCY).alias("currency"),
+        F.when(F.col("user_id") % 3 > 0, DEFAULT_CURRENCY).alias("currency"),
         F.upper("event_type").alias("payment_method"),
         F.when(F.col("value") < 10, "cancelled ").otherwise(" Placed").alias("order_status"),
         F.concat(F.lit("City "), "user_id").alias("shipping_city"),
@@ -168,3 +184,15 @@ def stage(records: DataFrame, path: str, batches: int = 4) -> int:
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
     files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
     return -(-len(files) // batches)
+
+
+def move_files(spark: SparkSession, source: str, target: str, days_ago: int) -> None:
+    """Move staged files into a stream's folder, as if written some days ago."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(target))
+    now = spark._jvm.java.lang.System.currentTimeMillis()
+    for status in files.globStatus(path(f"{source}/part-*")):
+        place = path(target, status.getPath().getName())
+        files.rename(status.getPath(), place)
+        files.setTimes(place, now - days_ago * 86_400_000, -1)

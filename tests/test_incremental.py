@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators.retention import expired_days, raw_retention
@@ -59,11 +60,14 @@ def test_run_tried_again_adds_nothing(spark, raw, folder):
     assert rows(read_processed(spark, out), "order_id") == [("a",), ("b",), ("c",)]
 
 
-def test_new_checkpoint_never_overwrites(spark, raw, folder):
+def test_new_checkpoint_is_refused_unless_asked_for(spark, raw, folder):
     raw_path, out, check = paths(folder)
     land(raw, raw_path, {"order_id": "a"})
     run_incremental(spark, raw_path, out, check, TIMEOUT)
-    run_incremental(spark, raw_path, out, f"{check}-2", TIMEOUT)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run_incremental(spark, raw_path, out, f"{check}-2", TIMEOUT)
+    assert read_processed(spark, out).count() == 1
+    run_incremental(spark, raw_path, out, f"{check}-2", TIMEOUT, again=True)
     assert read_processed(spark, out).count() == 2
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from decimal import Decimal
 from pathlib import Path
 
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from orderflow import fixtures
 from orderflow.operators import decode
-from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
 from orderflow.plans import reports
 from orderflow.schema import REJECT
@@ -19,6 +19,7 @@ from orderflow.sources.stream import read_order_stream
 from orderflow.streaming import sinks
 from orderflow.streaming.incremental import run_incremental
 from orderflow.streaming.metrics_log import (
+    LOG_FILES,
     metrics_lookup,
     read_live_metrics,
     write_live_metrics,
@@ -27,6 +28,7 @@ from orderflow.streaming.pipeline import (
     BatchCounts,
     LivePaths,
     batch_counts,
+    read_counts,
     start_fan_out,
     start_pipeline,
 )
@@ -106,16 +108,14 @@ def test_raw_zone_keeps_every_object_as_it_came(spark, folder):
     out = f"{folder}/orders"
     records = decode.parsed(records_of(spark, path))
     for _ in range(2):
-        query = sinks.write_raw_zone(
-            records, out, f"{folder}/check", files_per_batch=1, available_now=True
-        )
+        query = sinks.write_raw_zone(records, out, f"{folder}/check", available_now=True)
         finish(query, TIMEOUT)
     lines = rows(spark.read.text(out), "value")
     assert lines == [
         ('{"order_id": "a",  "coupon": {"x": 10.50}, "category": null}',),
         (json.dumps(order()),),
     ]
-    assert len(list(Path(out).glob("year=*/month=*/day=*/*.txt"))) == 1
+    assert len(list(Path(out).glob("year=*/month=*/day=*/batch=*/*.txt"))) == 1
     (day,) = {tuple(row) for row in read_raw(spark, out).select("year", "month", "day").collect()}
     (now,) = spark.sql("SELECT year(current_date()), month(current_date())").collect()
     assert day[:2] == tuple(now)
@@ -136,16 +136,17 @@ def mixed(spark, folder):
     )
 
 
-def pipeline(spark, mixed, folder, alerts, deliver=None, begin=start_pipeline):
+def pipeline(spark, mixed, folder, alerts, begin=start_pipeline, max_files=None):
     paths = LivePaths(
         raw=f"{folder}/raw",
         rejects=f"{folder}/rejects",
         metrics=f"{folder}/metrics",
         checkpoints=f"{folder}/checks",
         alerts=alerts,
+        counts=f"{folder}/counts",
     )
-    opened = decode.open_envelopes(read_order_stream(spark, mixed))
-    queries = begin(opened, paths, deliver=deliver, state_partitions=2, available_now=True)
+    opened = decode.open_envelopes(read_order_stream(spark, mixed, max_files))
+    queries = begin(opened, paths, state_partitions=2, available_now=True)
     for query in queries:
         finish(query, TIMEOUT)
     return queries
@@ -157,15 +158,7 @@ def rejects_of(spark, folder):
 
 @pytest.mark.parametrize(("begin", "count"), [(start_pipeline, 4), (start_fan_out, 2)])
 def test_pipeline_fills_every_sink(spark, mixed, folder, begin, count):
-    delivered = []
-    queries = pipeline(
-        spark,
-        mixed,
-        folder,
-        f"{folder}/alerts",
-        deliver=lambda batch, batch_id: delivered.append((batch_id, batch.count())),
-        begin=begin,
-    )
+    queries = pipeline(spark, mixed, folder, f"{folder}/alerts", begin=begin)
     assert len(queries) == count
     assert batch_counts(queries[0]) == [BatchCounts(0, 7, 4)]
     assert read_raw(spark, f"{folder}/raw").count() == 5
@@ -179,7 +172,8 @@ def test_pipeline_fills_every_sink(spark, mixed, folder, begin, count):
         (3, Decimal("620.50"))
     ]
     assert sinks.read_alerts(spark, f"{folder}/alerts").count() == 1
-    assert delivered == [(0, 1)]
+    if begin is start_fan_out:
+        assert rows(read_counts(spark, f"{folder}/counts")) == [(0, 7, 4)]
 
 
 @pytest.mark.parametrize(("begin", "count"), [(start_pipeline, 3), (start_fan_out, 2)])
@@ -194,20 +188,13 @@ def test_pipeline_without_alerts(spark, mixed, folder, begin, count):
     ]
 
 
-def test_fan_out_tried_again_replaces_what_it_wrote(spark, mixed, folder):
-    """The last sink fails after the others wrote; the second try leaves no copies."""
-    failures = ["once"]
-
-    def deliver(batch, batch_id):
-        if failures:
-            raise RuntimeError(failures.pop())
-
-    def run():
-        pipeline(spark, mixed, folder, f"{folder}/alerts", deliver, begin=start_fan_out)
-
-    with pytest.raises(Exception, match="once"):
-        run()
-    run()
+@pytest.mark.parametrize("begin", [start_pipeline, start_fan_out])
+def test_batches_tried_again_replace_what_they_wrote(spark, mixed, folder, begin):
+    """The sinks wrote, the commits are lost: a second try leaves no copies."""
+    for _ in range(2):
+        pipeline(spark, mixed, folder, f"{folder}/alerts", begin=begin)
+        for commit in Path(folder, "checks").glob("*/commits/*0*"):
+            commit.unlink()
     assert read_raw(spark, f"{folder}/raw").count() == 5
     assert len(rejects_of(spark, folder)) == 4
     assert sinks.read_alerts(spark, f"{folder}/alerts").count() == 1
@@ -215,6 +202,97 @@ def test_fan_out_tried_again_replaces_what_it_wrote(spark, mixed, folder):
     assert totals == (3,)
 
 
+def deliver_all(spark, folder, deliver):
+    query = sinks.start_delivery(
+        spark, f"{folder}/alerts", f"{folder}/sent", deliver, f"{folder}/failed", available_now=True
+    )
+    finish(query, TIMEOUT)
+
+
+def test_alerts_are_delivered_once_and_failures_kept(spark, mixed, folder):
+    pipeline(spark, mixed, folder, f"{folder}/alerts", begin=start_fan_out)
+    seen = []
+
+    def deliver(batch, batch_id):
+        seen.append(batch.count())
+        if len(seen) > 1:
+            raise ConnectionError("receiver is down")
+
+    deliver_all(spark, folder, deliver)
+    deliver_all(spark, folder, deliver)
+    assert seen == [1]
+    stage(spark, folder, (8, order(order_id="o8", total_amount=900)))
+    pipeline(spark, mixed, folder, f"{folder}/alerts", begin=start_fan_out)
+    deliver_all(spark, folder, deliver)
+    # The failure concerns its own alert only; landing went on.
+    assert rows(sinks.read_failed(spark, f"{folder}/failed")) == [("o8", "receiver is down")]
+    assert read_raw(spark, f"{folder}/raw").count() == 6
+
+
+def test_single_alerts_can_fail(spark, mixed, folder):
+    stage(spark, folder, (8, order(order_id="o8", total_amount=900)))
+    pipeline(spark, mixed, folder, f"{folder}/alerts", begin=start_fan_out)
+    deliver_all(
+        spark,
+        folder,
+        lambda batch, batch_id: batch.where("order_id = 'o8'").select(
+            "order_id", F.lit("refused").alias("reason")
+        ),
+    )
+    assert rows(sinks.read_failed(spark, f"{folder}/failed")) == [("o8", "refused")]
+
+
+def test_files_of_any_age_are_read(spark, folder):
+    """In the stream and in the raw zone, whatever was read before."""
+    records = [fixtures_row(spark, n) for n in (1, 2)]
+    landed = []
+    for days_ago, record in zip((0, 400), records, strict=True):
+        fixtures.stage(record, f"{folder}/staged-{days_ago}")
+        fixtures.move_files(spark, f"{folder}/staged-{days_ago}", f"{folder}/stream", days_ago)
+        pipeline(spark, f"{folder}/stream", folder, "", begin=start_fan_out)
+        landed.append(read_raw(spark, f"{folder}/raw").count())
+    assert landed == [1, 2]
+    # The same for curation: the second file is a year older than the first.
+    one, two = sorted(Path(folder, "raw").rglob("*.txt"))
+    held = two.read_text()
+    two.unlink()
+    (first,) = run_incremental(spark, f"{folder}/raw", f"{folder}/out", f"{folder}/c", TIMEOUT)
+    late = one.with_name("late.txt")
+    late.write_text(held)
+    year_ago = one.stat().st_mtime - 400 * 86_400
+    os.utime(late, (year_ago, year_ago))
+    (second,) = run_incremental(spark, f"{folder}/raw", f"{folder}/out", f"{folder}/c", TIMEOUT)
+    assert (first.raw_rows, second.raw_rows) == (1, 1)
+
+
+def fixtures_row(spark, number):
+    text = json.dumps(order(order_id=f"o{number}"))
+    frame = spark.createDataFrame([(str(number), text)], "sequence_number string, payload string")
+    return frame.select("sequence_number", F.base64(F.encode("payload", "UTF-8")).alias("data"))
+
+
+def test_a_batch_leaves_few_files(spark, folder):
+    """However many tasks hold the state or the rows."""
+    envelopes = [(n, order(order_id=f"o{n}", category=f"c{n % 40}")) for n in range(200)]
+    path = stage(spark, folder, *envelopes)
+    records = records_of(spark, path).repartition(50)
+    finish(
+        write_live_metrics(
+            live_metrics(decode.countable(records)),
+            f"{folder}/out",
+            f"{folder}/check",
+            state_partitions=50,
+            available_now=True,
+        ),
+        TIMEOUT,
+    )
+    assert len(list(Path(folder, "out").rglob("*.parquet"))) <= LOG_FILES
+    raw = sinks.write_raw_zone(decode.parsed(records), f"{folder}/raw", f"{folder}/c", True)
+    finish(raw, TIMEOUT)
+    assert len(list(Path(folder, "raw").rglob("*.txt"))) == 1
+    assert not list(Path(folder, "raw").rglob("_spark_metadata"))
+
+
 def test_metrics_log_is_compacted(spark, folder):
     """Old folders go, one snapshot back; the totals stay."""
     out = f"{folder}/out"
@@ -237,41 +315,15 @@ def test_metrics_log_is_compacted(spark, folder):
     ]
 
 
-def test_alert_batch_tried_again_is_kept_once(spark, mixed, folder):
-    out, check = f"{folder}/alerts", f"{folder}/check"
-    failures = ["once"]
-
-    def deliver(batch, batch_id):
-        if failures:
-            raise RuntimeError(failures.pop())
-
-    def run():
-        orders = decode.valid(records_of(spark, mixed, threshold=250))
-        messages = alert_message(high_value_alerts(orders))
-        finish(sinks.write_alerts(messages, out, check, deliver, available_now=True), TIMEOUT)
-
-    with pytest.raises(Exception, match="once"):
-        run()
-    run()
-    assert sinks.read_alerts(spark, out).count() == 1
-
-
 def test_batch_without_alerts(spark, mixed, folder):
     """It leaves no folder, and alerts of other batches stay."""
     stage(spark, folder, (8, order()), (9, "{bad"))
-    delivered = []
-    pipeline(
-        spark,
-        mixed,
-        folder,
-        f"{folder}/alerts",
-        lambda batch, batch_id: delivered.append(batch.count()),
-        begin=lambda opened, paths, **options: start_fan_out(
-            decode.open_envelopes(read_order_stream(spark, mixed, max_files=1)), paths, **options
-        ),
-    )
-    assert sorted(delivered) == [0, 1]
+    pipeline(spark, mixed, folder, f"{folder}/alerts", begin=start_fan_out, max_files=1)
     assert len(list(Path(folder, "alerts").glob("batch=*"))) == 1
+    assert rows(read_counts(spark, f"{folder}/counts"), "records", "failures") in (
+        [(2, 1), (7, 4)],
+        [(7, 4), (2, 1)],
+    )
 
 
 @pytest.mark.parametrize("name", ["raw", "rejects", "metrics"])
