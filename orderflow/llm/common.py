@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from orderflow.session import shared_dir
 
-# Texts are handled in blocks of about this many bytes; only a longer text makes a larger one.
-BLOCK_BYTES = 1 << 20
+# Texts are handled in blocks of about this many bytes, whose arrays stay in the processor's
+# caches; only a longer text makes a larger one.
+BLOCK_BYTES = 1 << 17
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

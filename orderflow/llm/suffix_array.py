@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-# Lanes that walk through the text side by side in Kasai's algorithm.
-_LANES = 4096
+# Places that each lane of Kasai's algorithm walks through; all lanes go side by side.
+_LANE = 256
 
 
 def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +62,7 @@ def common_prefixes(
         return out
     # Both ends are padded with different bytes, so that a match ends with the text.
     one = np.concatenate([data, np.zeros(most + 1, np.uint8)])
-    at = np.arange(0, n, max(1, -(-n // _LANES)))
+    at = np.arange(0, n, _LANE)
     stop = np.append(at[1:], n)
     have = np.zeros(len(at), np.int64)
     while len(at):

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import mix, saved, text_blocks
+from orderflow.llm.common import BLOCK_BYTES, mix, saved, text_blocks
 from orderflow.llm.suffix_array import common_prefixes, suffix_order
 
 LENGTH = 100
@@ -42,7 +42,7 @@ GRAM = 24
 # Different contexts of one anchor that a shard takes.
 SHARD_CONTEXTS = 4096
 # Bytes of contexts that are sorted at once; a shard of one anchor is never cut.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 17
 
 _ANCHORS = "anchor bigint, context bigint, id bigint, hash bigint, at int, span int"
 _CONTEXTS = "anchor bigint, part bigint, split boolean, id bigint, hash bigint, start int, text binary"
@@ -123,13 +123,13 @@ def _context_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.
 
 
 def _only_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, data, bounds in text_blocks(batches):
+    for _, data, bounds in text_blocks(batches, limit=BLOCK_BYTES // 2):
         found = anchors(data, bounds)[1]
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["anchor"])
 
 
 def _with_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, bounds in text_blocks(batches):
+    for rows, data, bounds in text_blocks(batches, limit=BLOCK_BYTES // 2):
         text, anchor, place, first, last = anchors(data, bounds)
         context = _context_hashes(data, first, last + LENGTH)
         key = rows.select(["id", "hash"]).take(pa.array(text))
