@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import functools
 import sys
 import uuid
@@ -188,29 +189,27 @@ def catalog_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(register_processed(spark, path, name, runs=["1"]))
 
 
-# Retention: raw orders, landed on the day they ship.
+# Retention, on a landed raw zone.  A month of days, so a week is kept.
+KEPT_DAYS = 7
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
-    raw = fixtures.raw_orders(spark, sf_dir).withColumns(
-        {
-            "year": F.year("l_shipdate"),
-            "month": F.month("l_shipdate"),
-            "day": F.day("l_shipdate"),
-        }
-    )
-    return raw, raw.agg(F.max(landing_day())).scalar()
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, datetime.date]:
+    path = shared_dir(spark, "raw")
+    fixtures.land(fixtures.event_orders(spark, sf_dir), path)
+    raw = read_raw(spark, path)
+    # The last day as a value, not a subquery: it then prunes folders.
+    return raw, raw.agg(F.max(landing_day())).first()[0]
 
 
 def raw_retention_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, today = _landed(spark, sf_dir)
-    kept = raw_retention(raw, as_of=today)
+    kept = raw_retention(raw, as_of=today, days=KEPT_DAYS)
     return kept.groupBy(landing_day().alias("landing_day")).agg(F.count("*").alias("orders"))
 
 
 def raw_expired_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, today = _landed(spark, sf_dir)
-    return expired_days(raw, as_of=today)
+    return expired_days(raw, as_of=today, days=KEPT_DAYS)
 
 
 # Live path.

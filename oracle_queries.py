@@ -214,16 +214,16 @@ FROM orders_processed""",
     "catalog_evolved": TWO_RUNS
     + f"""SELECT {COLUMNS}, CASE WHEN run = 1 THEN concat('S-', customer_id) END AS segment
 FROM orders_processed""",
-    "raw_retention": f"""WITH {RAW}, landed AS (
- SELECT *, CAST(l_shipdate AS DATE) AS landing_day FROM raw)
+    "raw_retention": f"""WITH {EVENT_RAW}, landed AS (
+ SELECT CAST(ts AS DATE) AS landing_day FROM raw)
 SELECT landing_day, COUNT(*) AS orders FROM landed
-WHERE landing_day >= CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '30' DAY AS DATE)
+WHERE landing_day >= CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '7' DAY AS DATE)
 GROUP BY landing_day""",
-    "raw_expired_days": f"""WITH {RAW}, landed AS (
- SELECT *, CAST(l_shipdate AS DATE) AS landing_day FROM raw)
+    "raw_expired_days": f"""WITH {EVENT_RAW}, landed AS (
+ SELECT CAST(ts AS DATE) AS landing_day FROM raw)
 SELECT CAST(year(landing_day) AS INT) AS year, CAST(month(landing_day) AS INT) AS month,
  CAST(day(landing_day) AS INT) AS day, COUNT(*) AS orders FROM landed
-WHERE landing_day < CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '30' DAY AS DATE)
+WHERE landing_day < CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '7' DAY AS DATE)
 GROUP BY landing_day""",
     "rt_stream_ingest": ENVELOPES,
     "rt_late_files": ENVELOPES,

@@ -46,5 +46,11 @@ def test_line_items_are_never_broadcast(spark, sf_dir):
     assert "SortMergeJoin [l_orderkey" in plan.toString()
 
 
+def test_retention_prunes_the_landed_folders(spark, sf_dir):
+    for name in ("raw_retention", "raw_expired_days"):
+        plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan()
+        assert "make_date(" in plan.toString().split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 6
