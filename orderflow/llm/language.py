@@ -28,8 +28,9 @@ ORDERS = (4, 3, 2, 1)
 SAMPLE_DOCS = 20_000
 PER_ORDER = 20_000
 UNKNOWN = "und"
-# Scores of unseen words that a task remembers.
-REMEMBERED = 200_000
+# Words that a task remembers, and words of a text that are looked up at once.
+REMEMBERED = 300_000
+_AT_ONCE = 10_000
 
 _COUNTS = "lang string, kind int, gram string, n bigint"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -73,38 +74,79 @@ class Model:
         for lang, kind, gram, n, total in rows:
             counts.setdefault((kind, gram), np.zeros(len(place)))[place[lang]] = n
             totals.setdefault(kind, np.ones(len(place)))[place[lang]] = total
-        self.scores: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *ORDERS)}
-        for (kind, gram), seen in counts.items():
-            self.scores[kind][gram] = np.log((seen + 0.5) / (totals[kind] + 1))
-
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequencies of a word by language; None if nothing of it is known."""
-        known = self.scores[0].get(word)
-        if known is not None:
-            return known
+        # Where each gram's log frequencies by language stand in ``rows``.
+        self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
+        self.rows = np.zeros((len(counts), len(place)))
+        for row, ((kind, gram), seen) in enumerate(counts.items()):
+            self.place[kind][gram] = row
+            self.rows[row] = np.log((seen + 0.5) / (totals[kind] + 1))
+
+    def known(self, word: str) -> list[int]:
+        """Rows of the word itself, or else of its longest n-grams; none if nothing is known."""
+        row = self.place[0].get(word)
+        if row is not None:
+            return [row]
         for order in ORDERS:
-            table = self.scores[order]
-            found = [table[gram] for gram in grams(word, order) if gram in table]
+            places = self.place[order]
+            found = [places[gram] for gram in grams(word, order) if gram in places]
             if found:
-                return np.mean(found, axis=0)
-        return None
-
-    def predict(self, text: str | None, memory: dict) -> tuple[str, float]:
-        words = Counter(_LETTERS.findall(text.lower())) if text else None
-        if not words or not self.languages:
+                return found
+        return []
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Mean log frequencies of each word's rows; zeros if nothing of it is known."""
+        rows = [self.known(word) for word in words]
+        sizes = np.array([len(r) for r in rows])
+        out = np.zeros((len(words), len(self.languages)))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            starts = np.cumsum(sizes[some]) - sizes[some]
+            flat = self.rows[[k for r in rows for k in r]]
+            out[some] = np.add.reduceat(flat, starts) / sizes[some, None]
+        return out
+
+
+class _Places(dict):
+    """Numbers words as they come; ``new`` holds those that came since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = place = len(self)
+        return place
+
+
+class Scorer:
+    """Scores texts, and remembers the words it has met."""
+
+    def __init__(self, model: Model, remembered: int = REMEMBERED):
+        self.model = model
+        self.place = _Places()
+        self.scores = np.zeros((remembered + _AT_ONCE, len(model.languages)))
+
+    def _sum(self, words: list[str]) -> np.ndarray:
+        place = self.place
+        if len(place) > len(self.scores) - _AT_ONCE:
+            place.clear()
+        places = [place[word] for word in words]
+        if place.new:
+            self.scores[len(place) - len(place.new) : len(place)] = self.model.words(place.new)
+            place.new.clear()
+        return self.scores[places].sum(axis=0)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        words = _LETTERS.findall(text.lower()) if text else []
+        if not words or not self.model.languages:
             return UNKNOWN, 0.0
-        total = self.prior.copy()
-        for word, n in words.items():
-            if word in memory:
-                score = memory[word]
-            else:
-                score = self.word(word)
-                if len(memory) < REMEMBERED:
-                    memory[word] = score
-            if score is not None:
-                total += n * score
+        # Words stay in order: sums do not depend on what was met before.
+        total = self.model.prior.copy()
+        for low in range(0, len(words), _AT_ONCE):
+            total += self._sum(words[low : low + _AT_ONCE])
         best = int(np.argmax(total))
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def fit(
@@ -144,10 +186,11 @@ def identify(docs: DataFrame, model: Model, text: Column | None = None) -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, memory = Model.__new__(Model), {}
+        own = Model.__new__(Model)
         vars(own).update(shared.value)
+        scorer = Scorer(own)
         for part in parts:
-            found = [own.predict(value, memory) for value in part]
+            found = [scorer.predict(value) for value in part]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     predict = F.pandas_udf(run, "lang_pred string, score double")
