@@ -3,7 +3,8 @@
 Texts are cut where a rolling hash of the last bytes says so, so equal passages of
 different documents have equal chunks.  A chunk that occurs more than once is
 encoded once, from its first occurrence, and its tokens are sent to all others;
-what is not shared is encoded where it stands.
+what is not shared is encoded where it stands, and texts without a shared chunk are
+not moved at all.
 
 Joins are then repaired.  Pre-tokens never continue over a place where a visible
 ASCII character is followed by a space or a line feed, whatever stands around it:
@@ -16,14 +17,16 @@ token.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import mix, saved, text_blocks
@@ -33,16 +36,21 @@ WINDOW = 32
 MEAN_CHUNK = 1024
 LEAST_CHUNK = 256
 
-# Texts of these characters only are split alike by both libraries (see the tests).
-_PLAIN = regex.compile(r"[\x00-ɏ]*\Z")
+# Texts of characters below U+0240, whose bytes are not above this one, are split alike by
+# both libraries (see the tests).
+_PLAIN = 0xC8
 # Pieces this long are left to the library whose merges stay fast on them.
-_LONG_PIECE = regex.compile(r"\S{400}|\s{400}")
+_LONG_PIECE = 400
 _PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 _BYTE_VALUES = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED270B)).astype(np.uint32)
 
+# Bits of the filter that tells which texts have no shared chunk: 8 MB, whatever the corpus.
+FILTER_BITS = 1 << 26
+
 _CHUNKS = "id bigint, hash bigint, start int, end int, key binary"
+_SHARED = "array<struct<start:int,end:int,ids:binary>>"
 _ENCODED = "doc_id bigint, n_tokens bigint, ids binary"
 
 
@@ -57,9 +65,6 @@ class Codec:
     """Encodes and decodes as the tokenizer file says; made in the task that uses it."""
 
     def __init__(self, path: str):
-        import tiktoken
-        import tokenizers
-
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         split = spec.get("pre_tokenizer") or {}
@@ -74,28 +79,40 @@ class Codec:
             or spaced
         ):
             raise ValueError(f"{path} is not a plain byte-level BPE")
-        self.whole = tokenizers.Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        self.special = [token["content"] for token in spec["added_tokens"]]
+        self.path = path
+        self.special = [token["content"].encode() for token in spec["added_tokens"]]
         byte_of = _byte_of_character()
         vocabulary = spec["model"]["vocab"]
         spelled = {k: bytes(byte_of[c] for c in token) for token, k in vocabulary.items()
-                   if token not in self.special}
+                   if token.encode() not in self.special}
         size = 1 + max([*vocabulary.values(), *(t["id"] for t in spec["added_tokens"])])
         self.pieces = [spelled.get(k, b"") for k in range(size)]
         for token in spec["added_tokens"]:
             self.pieces[token["id"]] = token["content"].encode()
         self.lengths = np.array([len(piece) for piece in self.pieces], np.int64)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
-        self.ranked = None
+        self.ranks = None
         if self._ids_are_ranks(spec["model"], vocabulary):
-            self.ranked = tiktoken.Encoding(
-                "own",
-                pat_str=_PATTERN,
-                mergeable_ranks={piece: k for k, piece in spelled.items()},
-                special_tokens={},
-            )
+            self.ranks = {piece: k for k, piece in spelled.items()}
+
+    @functools.cached_property
+    def whole(self):
+        """The file's own tokenizer, which encodes any text."""
+        import tokenizers
+
+        tokenizer = tokenizers.Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    @functools.cached_property
+    def ranked(self):
+        """A faster one for plain texts, with the same merges."""
+        import tiktoken
+
+        return tiktoken.Encoding(
+            "own", pat_str=_PATTERN, mergeable_ranks=self.ranks, special_tokens={}
+        )
 
     @staticmethod
     def _ids_are_ranks(model: dict, vocabulary: dict[str, int]) -> bool:
@@ -104,22 +121,28 @@ class Codec:
         ids = [vocabulary.get(token, -1) for token in made]
         return ids == list(range(256, 256 + len(ids)))
 
-    def encode(self, text: str) -> list[int]:
-        plain = (
-            self.ranked is not None
-            and not any(token in text for token in self.special)
-            and _PLAIN.match(text)
-            and not _LONG_PIECE.search(text)
-        )
-        if plain:
-            return self.ranked.encode_ordinary(text)
-        return self.whole.encode(text, add_special_tokens=False).ids
+    def encode(self, text: bytes) -> list[int]:
+        """The ids of a text in UTF-8."""
+        data = np.frombuffer(text, np.uint8)
+        if self.ranks is not None and _is_plain(data):
+            if not any(token in text for token in self.special):
+                return self.ranked.encode_ordinary(text.decode())
+        return self.whole.encode(text.decode(), add_special_tokens=False).ids
 
     def decode(self, ids) -> str:
         """Special tokens stay; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _is_plain(data: np.ndarray) -> bool:
+    if not len(data):
+        return True
+    space = data <= 0x20
+    ends = np.flatnonzero(space[1:] != space[:-1])
+    longest = np.diff(ends, prepend=-1, append=len(data) - 1).max()
+    return data.max() <= _PLAIN and longest < _LONG_PIECE
+
+
 def chunk_ends(data: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
     """Where each text's chunks end, counted from the text's first byte."""
     value = _BYTE_VALUES[data]
@@ -172,11 +195,11 @@ def assemble(codec: Codec, text: bytes, shared: dict[int, tuple[int, bytes]]) ->
         if ends[-1] != end or ends[a] != low or ends[b] != high:
             continue  # no exact agreement: the text is encoded with what follows
         if done < low:
-            out.append(codec.encode(text[done:low].decode()))
+            out.append(codec.encode(text[done:low]))
         out.append(ids[a:b])
         done = high
     if done < len(data):
-        out.append(codec.encode(text[done:].decode()))
+        out.append(codec.encode(text[done:]))
     return np.concatenate([np.asarray(ids, "<u4") for ids in out] or [np.zeros(0, "<u4")])
 
 
@@ -216,8 +239,8 @@ def _encode_once(path: str):
                 keys, ids = [], []
                 for chunk in chunks.as_py():
                     keys.append(chunk["key"])
-                    part = whole[chunk["start"] : chunk["end"]].decode()
-                    ids.append(np.asarray(codec.encode(part), codec.dtype).tobytes())
+                    part = codec.encode(whole[chunk["start"] : chunk["end"]])
+                    ids.append(np.asarray(part, codec.dtype).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.binary()), pa.array(ids, pa.binary())], ["key", "ids"]
                 )
@@ -248,6 +271,30 @@ def _assemble(path: str):
     return run
 
 
+def _filter_places() -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(k), "id", "hash"), F.lit(FILTER_BITS)) for k in (1, 2)]
+
+
+def _may_be_in(keys: DataFrame) -> Column:
+    """A condition that holds for all rows whose ``id`` and ``hash`` are in ``keys``.
+
+    A Bloom filter of fixed size: the more keys, the more other rows pass too.
+    """
+    place = F.explode(F.array(*_filter_places())).alias("place")
+    words = keys.select(place).groupBy(F.shiftright("place", 6).alias("word"))
+    mask = F.expr("shiftleft(1L, cast(place & 63 AS int))")
+    rows = words.agg(F.bit_or(mask).alias("bits")).toArrow()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(held)
+
+    def run(one: pd.Series, two: pd.Series) -> pd.Series:
+        hit = [shared.value[p >> 6] >> (p & 63) & 1 for p in (one.to_numpy(), two.to_numpy())]
+        return pd.Series((hit[0] & hit[1]) == 1)
+
+    return F.pandas_udf(run, "boolean")(*_filter_places())
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (unsigned 32-bit, little-endian) of each row.
 
@@ -267,6 +314,15 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     chunks = saved(source.select("id", "hash", "text").mapInArrow(_chunks, _CHUNKS), "chunks")
     first = F.min(F.struct("id", "hash", "start", "end")).alias("first")
     repeated = chunks.groupBy("key").agg(F.count("*").alias("n"), first).where("n > 1")
+    repeated = saved(repeated, "repeated")
+    holders = chunks.join(repeated.select("key"), "key").select("id", "hash").distinct()
+    # Only texts with a shared chunk are shuffled; the rest are encoded where they stand.
+    flagged = source.withColumn("holds", _may_be_in(holders))
+    apart = flagged.where("not holds").select(
+        "doc_id", "text", F.lit(None).cast(_SHARED).alias("chunks")
+    )
+    source = flagged.where("holds").drop("holds")
+
     owned = repeated.select("key", "first.*").groupBy("id", "hash")
     owned = owned.agg(F.collect_list(F.struct("start", "end", "key")).alias("chunks"))
     # With the columns of the last join, so that Spark can use the shuffle again.
@@ -277,7 +333,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = chunks.join(once, "key").groupBy("id", "hash")
     shared = shared.agg(F.collect_list(F.struct("start", "end", "ids")).alias("chunks"))
     rows = source.join(shared, ["id", "hash"], "left").select("doc_id", "text", "chunks")
-    return rows.mapInArrow(_assemble(path), _ENCODED)
+    return rows.mapInArrow(_assemble(path), _ENCODED).unionByName(
+        apart.mapInArrow(_assemble(path), _ENCODED)
+    )
 
 
 def _decode(path: str, schema_names: list[str]):

@@ -24,8 +24,8 @@ def library():
 
 def test_both_libraries_split_plain_characters_alike():
     codec = _CODEC
-    assert codec.ranked is not None
-    for point in range(0x250):
+    assert codec.ranks is not None
+    for point in range(0x240):
         c = chr(point)
         for text in (c, f"a{c}", f"{c}a", f" {c}", f"{c} ", f"a{c}{c}b", f"{c}1", f"1{c} ",
                      f"  {c}\n{c}  x", f"!{c}?", f"'{c}", f"'{c}l l", f"{c}'s {c}"):
@@ -47,7 +47,7 @@ def test_assembled_chunks_agree_with_the_whole_text(parts, cuts):
     shared = {}
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if (a + b) % 3:
-            ids = codec.encode(data[a:b].decode())
+            ids = codec.encode(data[a:b])
             shared[a] = (b, np.asarray(ids, codec.dtype).tobytes())
     whole = codec.whole.encode(text, add_special_tokens=False).ids
     assert bpe.assemble(codec, data, shared).tolist() == whole
