@@ -61,6 +61,9 @@ def test_good_order(envelopes):
         (json.dumps(order(category=None)), "missing_category"),
         (json.dumps(order(total_amount=None)), "missing_total_amount"),
         (json.dumps(order(total_amount="abc")), "bad_total_amount"),
+        (json.dumps(order(order_timestamp=1767322245)), "bad_order_timestamp"),
+        (json.dumps(order(order_timestamp=True)), "bad_order_timestamp"),
+        (json.dumps(order(order_timestamp=["2026-01-02"])), "bad_order_timestamp"),
         (json.dumps(order(total_amount=float("nan"))), "bad_total_amount"),
         (json.dumps(order(total_amount=True)), "bad_total_amount"),
         (json.dumps(order(total_amount="abc", order_status="CANCELLED")), None),

@@ -111,3 +111,18 @@ def test_sums_ignore_input_order(orders):
 def test_reports_after_dedup(orders):
     twice = orders({"order_id": "x"}, {"order_id": "x"}, {"order_id": "y"})
     assert found(reports.payment_mix(dedup_orders(twice))) == [("PAYPAL", 2, 100.0)]
+
+
+@pytest.mark.parametrize(
+    ("amounts", "count", "average"),
+    [(("10", "NaN"), 2, 10.0), (("10", "1e29"), 2, 10.0), (("10", "1e17"), 2, 5e16 + 5),
+     (("NaN", "x"), 2, None), (("0.004",) * 10, 10, 0.0)],
+)
+def test_averages_are_over_what_is_summed(orders, amounts, count, average):
+    report = reports.hourly_pattern(orders(*({"total_amount": a} for a in amounts)))
+    assert found(report) == [(3, count, average)]
+
+
+def test_sums_keep_parts_of_a_cent(orders):
+    report = reports.category_share(orders(*({"total_amount": "0.004"} for _ in range(10))))
+    assert found(report) == [("HOME", 10, 0.04, 100.0)]
