@@ -355,7 +355,7 @@ def removed_spans(size: int, ranges: list[dict] | None) -> list[tuple[int, int]]
 def _without(whole_characters: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, bounds in text_blocks([batch], "_text"):
+            for rows, data, bounds in text_blocks([batch]):
                 whole = data.tobytes()
                 kept, spans = [], []
                 for k, ranges in enumerate(rows.column("_ranges")):
@@ -369,7 +369,7 @@ def _without(whole_characters: bool, names: list[str]):
                 kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *rows.columns[:-2],
+                        *rows.columns[:-1],
                         pa.array([int(n) for n in np.diff(bounds)], pa.int64()),
                         pa.array(spans, kind),
                         pa.array(kept, pa.binary()),
@@ -406,9 +406,9 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
     ranges = saved(ranges, "ranges").select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("ranges").alias("_ranges")
     )
-    keyed = docs.withColumns({"_id": key[0], "_hash": key[1], "_text": text})
+    keyed = docs.withColumns({"_id": key[0], "_hash": key[1]})
     joined = keyed.join(ranges, ["_id", "_hash"], "left")
-    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), "_text", "_ranges")
+    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), "_ranges")
     spans = F.lit(None).cast("array<struct<begin:int,end:int>>")
     schema = docs.withColumns(
         {"n_bytes": F.lit(None).cast("bigint"), "removed": spans, "kept": F.lit(b"")}
