@@ -26,24 +26,43 @@ def _step(edges: DataFrame, both_ways: bool) -> DataFrame:
     return moved.where("a <> low").select("a", F.col("low").alias("b")).distinct()
 
 
-def connected(edges: DataFrame, label: str = "component") -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """``id`` and ``component`` (smallest id reachable) of every node of ``a``-``b`` edges.
 
     Edges may repeat, point either way or be loops; a node with loops only is
     left out, as is one with a null end.  Each round is a table in the shared
-    folder; rounds end when no edge moves.
+    folder.  Steps keep what is connected so, and point to smaller nodes; rounds end
+    when edges form stars: every left node has one edge, and none is a right node.
     """
     edges = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    state = None
-    edges = saved(edges.distinct(), label)
+    edges = saved(edges.distinct(), "component")
     while True:
-        edges = saved(_step(_step(edges, True), False), label)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == now:
+        roles = edges.select(F.col("a").alias("id"), F.lit(1).alias("left")).unionByName(
+            edges.select(F.col("b").alias("id"), F.lit(0).alias("left"))
+        )
+        roles = roles.groupBy("id").agg(
+            F.sum("left").alias("lefts"), F.min("left").alias("least")
+        )
+        # More than one edge as left node, or left and right node at once.
+        if roles.where("lefts > 1 or lefts = 1 and least = 0").isEmpty():
             break
-        state = now
+        edges = saved(_step(_step(edges, True), False), "component")
+    heads = edges.select(F.col("b").alias("id")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+        heads.withColumn("component", F.col("id"))
     )
+
+
+def nearby(edges: DataFrame) -> DataFrame:
+    """``id`` and ``component``: the least node within two edges, or close to that.
+
+    Nodes with one component are connected, but connected nodes may have several.
+    Members of a star have one.
+    """
+    sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = _least(sides)
+    far = sides.join(low.select(F.col("a").alias("b"), "low"), "b")
+    far = far.groupBy(F.col("a").alias("id")).agg(F.min("low").alias("component"))
+    return far

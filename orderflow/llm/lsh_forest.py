@@ -12,28 +12,35 @@ region:
 1. Documents with equal shingle sets become one class; only its first stays.
 2. Each member of a region is compared with the region's first member.  The links
    found join documents to components.
-3. Regions that still hold several components go deeper: the same at the longest
-   common prefix of up to ``DEEP`` values, where the closest neighbours meet.
-4. What is left at base depth, pairs of a region in different components whose
-   set sizes allow a link, is compared one by one.  Pairs within a component need
-   no comparison: they change nothing in the result.
+3. In regions that still hold several components, shingles are counted that occur in
+   another of their documents: only these can be common to a pair.  Members are
+   compared with the one that has the largest share of them, the likeliest centre;
+   then, at greater depth, with the one of their longest common prefixes.
+4. What is left at base depth, pairs of a region in different components, is compared
+   one by one if set sizes and countable shingles allow a link, and if of ``BITS``
+   further MinHash values, one bit of each, not so many differ that similarity enough
+   is out of the question (a chance below 1e-6, like that of a miss by the forest).
+   Pairs within a component need no comparison: they change nothing in the result.
 
 Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import mix, same_row, saved, text_blocks, texts
-from orderflow.llm.components import connected
-from orderflow.llm.shingles import shingle_hashes, shingle_set
+from orderflow.llm.components import connected, nearby
+from orderflow.llm.shingles import shingle_hashes, shingle_set, shingle_sets
 
 SHINGLE = 5
 PERCENT = 80
@@ -41,12 +48,19 @@ TREES = 40
 BASE = 6
 DEEP = 9
 
+# One-bit MinHash values of documents in open regions, and standard deviations allowed.
+BITS = 2048
+_DEVIATIONS = 5.2
+
 _SIGNED = (
     "doc_id bigint, hash bigint, n_shingles bigint, digest binary, "
     "base array<bigint>, deep array<bigint>"
 )
 # Shingles signed at once: keeps a block of values in the processor's cache.
 _AT_ONCE = 1 << 15
+_BIT_COLUMNS = [f"bits{k}" for k in range(BITS // 64)]
+# Shingles of confirmed pairs that a task holds.
+_KEPT = 1 << 22
 
 
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,27 +131,86 @@ def _confirm(size: int, percent: int):
     """Of pairs with both texts, those whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
+        # Sets are kept for the pairs that follow, up to a number of shingles.
+        kept, room = {}, _KEPT
+
+        def shingles(key: int, text: str) -> np.ndarray:
+            nonlocal room
+            if key not in kept:
+                found = shingle_set(text, size)
+                room -= len(found)
+                if room < 0:
+                    kept.clear()
+                    room = _KEPT - len(found)
+                kept[key] = found
+            return kept[key]
+
         for batch in batches:
             linked = []
-            for a, left, right in zip(
-                *(batch.column(name) for name in ("a", "left", "right")), strict=True
-            ):
-                if last != a.as_py():
-                    last, held = a.as_py(), shingle_set(left.as_py(), size)
-                other = shingle_set(right.as_py(), size)
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                linked.append(100 * both >= percent * (len(held) + len(other) - both))
+            for a, b, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one, two = shingles(a, left), shingles(b, right)
+                at = np.searchsorted(two, one)
+                both = np.count_nonzero(two[np.minimum(at, len(two) - 1)] == one)
+                linked.append(100 * both >= percent * (len(one) + len(two) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
-def _star(members: DataFrame, depth: str) -> DataFrame:
-    """Each member of a region beside the region's first member."""
-    first = members.groupBy(depth).agg(F.min("id").alias("a"), F.count("*").alias("size"))
-    pairs = members.join(first.where("size > 1"), depth)
-    return pairs.select("a", F.col("id").alias("b")).where("a <> b").distinct()
+def _star(members: DataFrame, depth: str, best: Column) -> DataFrame:
+    """Each member of a region beside the region's best member, a struct that ends in its id."""
+    first = members.groupBy(depth).agg(F.max(best).alias("best"), F.count("*").alias("size"))
+    first = first.where("size > 1").select(depth, F.col("best.id").alias("a"))
+    pairs = members.join(first, depth).select("a", F.col("id").alias("b"))
+    return pairs.where("a <> b").distinct()
+
+
+def _list_shingles(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in text_blocks(batches):
+            sets = shingle_sets(data, bounds, size)
+            row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id").take(pa.array(row)), pa.array(np.concatenate(sets).view(np.int64))],
+                ["id", "shingle"],
+            )
+
+    return run
+
+
+def _list_bits(size: int):
+    """One bit of ``BITS`` MinHash values of each text, as 64-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in text_blocks(batches):
+            hashes, begin = shingle_hashes(data, bounds, size)
+            odd = (signatures(hashes, begin, BITS) >> np.uint32(16)).astype(np.uint8) & 1
+            bits = np.packbits(odd, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("id"),
+                    rows.column("hash"),
+                    *(pa.array(bits[:, k].copy()) for k in range(BITS // 64)),
+                ],
+                ["id", "hash", *_BIT_COLUMNS],
+            )
+
+    return run
+
+
+def _with_common(members: DataFrame, near: DataFrame, size: int, percent: int) -> DataFrame:
+    """Members with ``common``: their shingles that another member has.  A link to a set
+    of n needs percent / (100 + percent) of the two sizes' sum in common; members whose
+    common shingles cannot be enough for any set are left out."""
+    ids = members.select("id").distinct()
+    shingles = near.join(ids, "id", "left_semi").mapInArrow(
+        _list_shingles(size), "id bigint, shingle bigint"
+    )
+    shingles = saved(shingles, "shingles")
+    often = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    common = shingles.join(often.select("shingle"), "shingle").groupBy("id")
+    common = common.agg(F.count("*").alias("common"))
+    return members.join(common, "id").where(100 * F.col("common") >= percent * F.col("n_shingles"))
 
 
 def _open_regions(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -197,10 +270,10 @@ def near_duplicates(
         source.withColumnRenamed("doc_id", "id")
         .join(wanted, ["id", "hash"], "left_semi")
         .dropDuplicates(["id", "hash"])
-        .select("id", "text"),
+        .select("id", "hash", "text"),
         "candidates",
     )
-    members = members.select("id", "n_shingles", "base", "deep")
+    orders = keyed.select(F.col("doc_id").alias("id"), "hash", F.col("base").alias("orders"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         right = near.select(F.col("id").alias("b"), F.col("text").alias("right"))
@@ -208,13 +281,32 @@ def near_duplicates(
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
         return saved(both.mapInArrow(_confirm(size, percent), "a bigint, b bigint"), "links")
 
-    links = confirmed(_star(members, "base"))
-    components = saved(connected(links), "components")
-    open_ = saved(_open_regions(members, components), "open")
-    links = links.unionByName(confirmed(_star(open_, "deep")))
-    components = saved(connected(links), "components")
-    open_ = saved(_open_regions(open_, components), "open")
-    one, two = open_.alias("one"), open_.alias("two")
+    links = confirmed(_star(members, "base", F.struct((-F.col("id")).alias("low"), "id")))
+    components = saved(nearby(links), "components")
+    open_ = _open_regions(members, components)
+    open_ = saved(_with_common(open_, near, size, percent), "open")
+    central = F.struct(
+        (F.col("common") / F.col("n_shingles")).alias("share"), (-F.col("id")).alias("low"), "id"
+    )
+    for depth in ("base", "deep"):
+        links = links.unionByName(confirmed(_star(open_, depth, central)))
+        components = saved(nearby(links), "components")
+        open_ = saved(_open_regions(open_, components), "open")
+    key = ["id", "hash"]
+    bits = near.join(open_.select(*key).distinct(), key, "left_semi").mapInArrow(
+        _list_bits(size), ", ".join(f"{name} bigint" for name in [*key, *_BIT_COLUMNS])
+    )
+    rest = saved(open_.join(bits, key).join(orders, key), "rest")
+    one, two = rest.alias("one"), rest.alias("two")
+    both_sizes = F.col("one.n_shingles") + F.col("two.n_shingles")
+    differ = functools.reduce(
+        operator.add,
+        (F.bit_count(F.col(f"one.{n}").bitwiseXOR(F.col(f"two.{n}"))) for n in _BIT_COLUMNS),
+    )
+    # Bits of two documents agree with a chance of (1 + similarity) / 2.
+    chance = (1 - percent / 100) / 2
+    most = math.ceil(BITS * chance + _DEVIATIONS * math.sqrt(BITS * chance * (1 - chance)))
+    same = F.zip_with("one.orders", "two.orders", lambda x, y: x == y)
     rest = one.join(two, F.col("one.base") == F.col("two.base")).where(
         (F.col("one.id") < F.col("two.id"))
         & (F.col("one.component") != F.col("two.component"))
@@ -222,6 +314,10 @@ def near_duplicates(
             100 * F.least("one.n_shingles", "two.n_shingles")
             >= percent * F.greatest("one.n_shingles", "two.n_shingles")
         )
+        & ((100 + percent) * F.least("one.common", "two.common") >= percent * both_sizes)
+        & (differ <= most)
+        # Once only: in the first order where the two meet.
+        & (F.element_at("one.orders", F.array_position(same, True).cast("int")) == F.col("one.base"))
     )
     rest = rest.select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
     links = links.unionByName(confirmed(rest))
