@@ -37,7 +37,7 @@ def connected(edges: DataFrame) -> DataFrame:
     edges = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    edges = saved(edges.distinct(), "component")
+    edges = saved(edges.distinct(), "component", narrow=True)
     while True:
         roles = edges.select(F.col("a").alias("id"), F.lit(1).alias("left")).unionByName(
             edges.select(F.col("b").alias("id"), F.lit(0).alias("left"))
@@ -48,7 +48,7 @@ def connected(edges: DataFrame) -> DataFrame:
         # More than one edge as left node, or left and right node at once.
         if roles.where("lefts > 1 or lefts = 1 and least = 0").isEmpty():
             break
-        edges = saved(_step(_step(edges, True), False), "component")
+        edges = saved(_step(_step(edges, True), False), "component", narrow=True)
     heads = edges.select(F.col("b").alias("id")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         heads.withColumn("component", F.col("id"))

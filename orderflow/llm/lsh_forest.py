@@ -14,8 +14,8 @@ region:
    found join documents to components.
 3. In regions that still hold several components, shingles are counted that occur in
    another of their documents: only these can be common to a pair.  Members are
-   compared with the one that has the largest share of them, the likeliest centre;
-   then, at greater depth, with the one of their longest common prefixes.
+   compared with the one that has the largest share of them, the likeliest centre, of
+   the region and, deeper, of those with whom they share longer prefixes.
 4. What is left at base depth, pairs of a region in different components, is compared
    one by one if set sizes and countable shingles allow a link, and if of ``BITS``
    further MinHash values, one bit of each, not so many differ that similarity enough
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import mix, same_row, saved, text_blocks, texts
+from orderflow.llm.common import mix, saved, text_blocks, texts
 from orderflow.llm.components import connected, nearby
 from orderflow.llm.shingles import shingle_hashes, shingle_set, shingle_sets
 
@@ -279,19 +279,20 @@ def near_duplicates(
         right = near.select(F.col("id").alias("b"), F.col("text").alias("right"))
         left = near.select(F.col("id").alias("a"), F.col("text").alias("left"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-        return saved(both.mapInArrow(_confirm(size, percent), "a bigint, b bigint"), "links")
+        found = both.mapInArrow(_confirm(size, percent), "a bigint, b bigint")
+        return saved(found, "links", narrow=True)
 
     links = confirmed(_star(members, "base", F.struct((-F.col("id")).alias("low"), "id")))
-    components = saved(nearby(links), "components")
+    components = saved(nearby(links), "components", narrow=True)
     open_ = _open_regions(members, components)
-    open_ = saved(_with_common(open_, near, size, percent), "open")
+    open_ = saved(_with_common(open_, near, size, percent), "open", narrow=True)
     central = F.struct(
         (F.col("common") / F.col("n_shingles")).alias("share"), (-F.col("id")).alias("low"), "id"
     )
-    for depth in ("base", "deep"):
-        links = links.unionByName(confirmed(_star(open_, depth, central)))
-        components = saved(nearby(links), "components")
-        open_ = saved(_open_regions(open_, components), "open")
+    pairs = _star(open_, "base", central).unionByName(_star(open_, "deep", central))
+    links = links.unionByName(confirmed(pairs.distinct()))
+    components = saved(nearby(links), "components", narrow=True)
+    open_ = saved(_open_regions(open_, components), "open", narrow=True)
     key = ["id", "hash"]
     bits = near.join(open_.select(*key).distinct(), key, "left_semi").mapInArrow(
         _list_bits(size), ", ".join(f"{name} bigint" for name in [*key, *_BIT_COLUMNS])
