@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import bpe, decontaminate, language, lsh_forest, suffix_dedup
-from orderflow.llm.common import saved, table
+from orderflow.llm.common import long_rows, saved, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The model learns from the documents that have a language.
     """
+    long_rows(spark)
     docs = docs.select(*COLUMNS)
     found = language.identify(docs, language.fit(docs))
     known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
@@ -33,6 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies stays."""
+    long_rows(spark)
     return lsh_forest.keep_first(docs.select(*COLUMNS))
 
 
@@ -41,6 +43,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A document of which nothing is left goes.
     """
+    long_rows(spark)
     cut = suffix_dedup.remove_repeats(docs.select(*COLUMNS), whole_characters=True)
     text = F.when(F.size("removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
     cut = cut.withColumn("text", text).where((F.size("removed") == 0) | (F.length("text") > 0))
@@ -50,11 +53,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    long_rows(spark)
     return decontaminate.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's tokens, and a digest of the text that they decode to."""
+    long_rows(spark)
     path = public_tokenizers.path(TOKENIZER)
     decoded = bpe.decode(bpe.encode(docs, path), path)
     return decoded.select(

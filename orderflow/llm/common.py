@@ -14,9 +14,19 @@ from orderflow.session import shared_dir
 # Texts are handled in blocks of about this many bytes, whose arrays stay in the processor's
 # caches; only a longer text makes a larger one.
 BLOCK_BYTES = 1 << 17
+ROWS_PER_BATCH = 1000
+
+
+def long_rows(spark: SparkSession) -> None:
+    """Send texts to Python in batches of a thousand rows at most, not Spark's 10,000:
+    that bounds what a task holds."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_PER_BATCH:
+        spark.conf.set(name, ROWS_PER_BATCH)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    long_rows(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import saved
@@ -29,7 +30,7 @@ SAMPLE_DOCS = 20_000
 PER_ORDER = 20_000
 UNKNOWN = "und"
 # Words that a task remembers, and words of a text that are looked up at once.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _AT_ONCE = 10_000
 
 _COUNTS = "lang string, kind int, gram string, n bigint"
@@ -177,25 +178,30 @@ def fit(
     return Model({k: n / docs for k, n in shares.items()}, [tuple(r) for r in rows.collect()])
 
 
-def identify(docs: DataFrame, model: Model, text: Column | None = None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), all columns kept.
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), all other columns kept.
 
     A text that is null, empty or without a letter is ``und`` with score 0, as is
     every text if nothing was learned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    # Part of the function, not a broadcast, which workers would hold for good.
+    state = vars(model)
+    rows = docs.drop("lang_pred", "score")
+    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    names = schema.names
 
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.__new__(Model)
-        vars(own).update(shared.value)
+        vars(own).update(state)
         scorer = Scorer(own)
-        for part in parts:
-            found = [scorer.predict(value) for value in part]
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
-
-    predict = F.pandas_udf(run, "lang_pred string, score double")
-    column = (F.col("text") if text is None else text).cast("string")
-    found = docs.withColumn("_found", predict(column))
-    return found.withColumns(
-        {"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}
-    ).drop("_found")
+        for batch in batches:
+            # Few rows at a time: only theirs are held as Python texts.
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                found = [scorer.predict(text.as_py()) for text in part.column("text")]
+                langs, scores = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names
+                )
+
+    return rows.mapInArrow(run, schema)
