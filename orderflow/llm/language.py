@@ -5,9 +5,14 @@ word that was learned in any language scores by its word frequencies; another
 word scores by its longest learned n-grams, at the order where any is known.  A
 text's score is the sum over its words, turned into a probability over languages.
 
-The model is fitted on a bounded sample: about ``sample_docs`` labelled documents,
-chosen by a hash of the id, and ``per_order`` words and n-grams of each order and
-language.  Scoring reads every whole text.
+What a language has not shown scores the same for all languages, and less than
+anything that one has shown: little data is no advantage.  A language without a
+single learned word or n-gram is never predicted.
+
+The model is fitted on a bounded sample, chosen by a hash of the id: about
+``sample_docs`` labelled documents in all, but of each language at least about
+``least_docs``, or all that it has; and ``per_order`` words and n-grams of each
+order and language.  Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from orderflow.llm.common import saved
 
 ORDERS = (4, 3, 2, 1)
 SAMPLE_DOCS = 20_000
+LEAST_DOCS = 1_000
 PER_ORDER = 20_000
 UNKNOWN = "und"
 # Words that a task remembers, and words of a text that are looked up at once.
@@ -68,19 +74,25 @@ class Model:
 
     def __init__(self, shares: dict[str, float], rows: list[tuple[str, int, str, int, int]]):
         self.languages = sorted(shares)
-        self.prior = np.log([shares[lang] for lang in self.languages])
         place = {lang: k for k, lang in enumerate(self.languages)}
         counts: dict[tuple[int, str], np.ndarray] = {}
         totals: dict[int, np.ndarray] = {}
         for lang, kind, gram, n, total in rows:
             counts.setdefault((kind, gram), np.zeros(len(place)))[place[lang]] = n
-            totals.setdefault(kind, np.ones(len(place)))[place[lang]] = total
+            totals.setdefault(kind, np.zeros(len(place)))[place[lang]] = total
+        # A language of which nothing was learned has no chance.
+        learned = sum(totals.values(), np.zeros(len(place))) > 0
+        weights = np.where(learned, [shares[lang] for lang in self.languages], 0.0)
+        with np.errstate(divide="ignore"):
+            self.prior = np.log(weights / (weights.sum() or 1.0))
         # Where each gram's log frequencies by language stand in ``rows``.
         self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
         self.rows = np.zeros((len(counts), len(place)))
         for row, ((kind, gram), seen) in enumerate(counts.items()):
             self.place[kind][gram] = row
-            self.rows[row] = np.log((seen + 0.5) / (totals[kind] + 1))
+            # What is not seen counts as half a time in the largest total, in every language.
+            own = np.where(seen > 0, totals[kind], totals[kind].max())
+            self.rows[row] = np.log((seen + 0.5) / (own + 1))
 
     def known(self, word: str) -> list[int]:
         """Rows of the word itself, or else of its longest n-grams; none if nothing is known."""
@@ -147,27 +159,41 @@ class Scorer:
         for low in range(0, len(words), _AT_ONCE):
             total += self._sum(words[low : low + _AT_ONCE])
         best = int(np.argmax(total))
+        if total[best] == -np.inf:
+            return UNKNOWN, 0.0
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def fit(
-    labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, per_order: int = PER_ORDER
+    labelled: DataFrame,
+    sample_docs: int = SAMPLE_DOCS,
+    per_order: int = PER_ORDER,
+    least_docs: int = LEAST_DOCS,
 ) -> Model:
     """Learn from ``text`` and ``lang``; rows where either is null are left out.
 
-    ``doc_id`` only chooses the sample.  Of words and n-grams with equal counts
+    ``doc_id`` only chooses the sample, by language: a rare one keeps more of its rows,
+    up to all, so that the sample leaves no language out.  Of words and n-grams with equal counts
     the first in code point order are kept.
     """
     usable = labelled.where("text is not null and lang is not null").select(
         "doc_id", "text", "lang"
     )
-    shares = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
-    docs = sum(shares.values())
+    sizes = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
+    docs = sum(sizes.values())
     if not docs:
         return Model({}, [])
     grain = 1 << 30
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < math.ceil(sample_docs / docs * grain)
-    counts = usable.where(chosen).select("lang", "text").mapInPandas(_count, _COUNTS)
+    limits = labelled.sparkSession.createDataFrame(
+        [
+            (lang, math.ceil(min(1, max(sample_docs / docs, least_docs / n)) * grain))
+            for lang, n in sizes.items()
+        ],
+        "lang string, limit bigint",
+    )
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < F.col("limit")
+    sample = usable.join(F.broadcast(limits), "lang").where(chosen).select("lang", "text")
+    counts = sample.mapInPandas(_count, _COUNTS)
     counts = saved(counts.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
@@ -175,7 +201,7 @@ def fit(
         F.col("place") <= per_order
     )
     rows = kept.join(totals, ["lang", "kind"]).select("lang", "kind", "gram", "n", "total")
-    return Model({k: n / docs for k, n in shares.items()}, [tuple(r) for r in rows.collect()])
+    return Model({k: n / docs for k, n in sizes.items()}, [tuple(r) for r in rows.collect()])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

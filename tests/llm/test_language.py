@@ -98,3 +98,33 @@ def test_other_columns_do_not_matter(corpus, model):
     changed = corpus.withColumns({"lang": F.lit("zz"), "source": F.lit(None).cast("string")})
     after = language.identify(changed, model).select("doc_id", "lang_pred", "score").collect()
     assert sorted(before) == sorted(after)
+
+
+@pytest.mark.parametrize("rare", [1, 3, 5])
+def test_a_rare_language_beside_a_sampled_one(spark, rare):
+    rng = random.Random(rare)
+    rows = [(i, _text(rng, "xa"), "xa", "s", 1) for i in range(600)]
+    rows += [(1000 + i, _text(rng, "xc", 20), "xc", "s", 1) for i in range(rare)]
+    rows += [(2000, "12 34", "xb", "s", 1)]
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    # A sample of all documents would leave the rare one out, or keep a row of it.
+    for bounds in ({"sample_docs": 20}, {"sample_docs": 300, "least_docs": 10}):
+        model = language.fit(frame, **bounds)
+        scorer = language.Scorer(model)
+        for _, text, lang, _, _ in rows[:-1]:
+            assert scorer.predict(text)[0] == lang
+        # Nothing was learned of a language without a letter, so it is never found.
+        assert scorer.predict("\u4e2d\u6587")[0] == "xa"
+        assert model.prior[model.languages.index("xb")] == -np.inf
+
+
+def test_little_data_is_no_advantage():
+    """What a language has not shown never scores above what another has."""
+    rows = [("large", 0, "rare", 1, 100_000), ("large", 0, "often", 9_000, 100_000),
+            ("small", 0, "often", 1, 20), ("small", 0, "own", 2, 20)]
+    model = language.Model({"large": 0.5, "none": 0.2, "small": 0.3}, rows)
+    scorer = language.Scorer(model)
+    assert scorer.predict("rare rare often")[0] == "large"
+    assert scorer.predict("own often")[0] == "small"
+    unlearned = language.Scorer(language.Model({"none": 1.0}, []))
+    assert unlearned.predict("text") == ("und", 0.0)
