@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.constants import DATABASE, TABLE
-from orderflow.sources.catalog import register_processed
+from orderflow.sources.catalog import register_processed, unregistered_runs
 from orderflow.streaming.incremental import RunMetrics, run_incremental
 
 
@@ -21,14 +21,14 @@ def nightly_run(
 ) -> tuple[list[RunMetrics], DataFrame]:
     """The runs made and the registered table.
 
-    A run that fails raises its error, and the table stays as it was.  A night
-    without new files refreshes the table too, in case an earlier night ended
-    between its run and its refresh.
+    A run that fails raises its error, and the table stays as it was.  If an earlier
+    night ended between its run and its refresh, or during that, this night makes up
+    for it, with new files or without.
     """
     runs = run_incremental(spark, raw_path, out_path, checkpoint, timeout)
-    # What this night wrote is added; the rest of the zone is listed only if that may
-    # not be all: at the first registration, or after a night that wrote nothing.
-    name = f"`{database}`.`{table}_files`"
-    known = spark.catalog.tableExists(name) and not spark.table(name).isEmpty()
-    new = [run.run_id for run in runs] if runs and known else None
+    # What this night wrote is added, and what the table lacks of earlier nights.  All
+    # partitions are listed only after a night that wrote nothing, or if names cannot tell.
+    new = unregistered_runs(spark, out_path, database, table) if runs else None
+    if new is not None:
+        new = sorted({*new, *(run.run_id for run in runs)})
     return runs, register_processed(spark, out_path, database, table, database_path, new)

@@ -16,6 +16,8 @@ from orderflow.sources.processed import RUN, run_path
 # How a partition without a value is written, and partitions added by one statement.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _AT_ONCE = 500
+# A property that the table has while partitions are added to it.
+_UNFINISHED = "orderflow.unfinished"
 
 
 def _quoted(*names: str) -> str:
@@ -44,7 +46,7 @@ def _add_columns(spark: SparkSession, files: str, path: str, runs: Sequence[str]
     """Give the table the columns that files of these runs have and it lacks."""
     for run_id in runs:
         folder = run_path(path, run_id)
-        if not path_exists(spark, folder):
+        if not _days(spark, folder):
             continue
         known = {name.lower() for name in spark.table(files).columns}
         new = [f for f in spark.read.parquet(folder).schema.fields if f.name.lower() not in known]
@@ -110,12 +112,15 @@ def register_processed(
         f" PARTITIONED BY ({partitions}) LOCATION {_text(path)}"
     )
     if path_exists(spark, path):
+        # Partitions are added in several steps; if one fails, the mark stays.
+        spark.sql(f"ALTER TABLE {files} SET TBLPROPERTIES ({_text(_UNFINISHED)} = 'true')")
         if runs is None:
             _add_columns(spark, files, path, _runs(spark, path))
             spark.catalog.recoverPartitions(files)
         else:
             _add_columns(spark, files, path, runs)
             _add_partitions(spark, files, path, runs)
+        spark.sql(f"ALTER TABLE {files} UNSET TBLPROPERTIES IF EXISTS ({_text(_UNFINISHED)})")
     spark.catalog.refreshTable(files)
     known = PROCESSED.fieldNames()
     extra = [name for name in spark.table(files).columns if name not in (*known, RUN)]
@@ -124,10 +129,38 @@ def register_processed(
     return spark.table(view)
 
 
+def unregistered_runs(
+    spark: SparkSession, path: str, database: str = DATABASE, table: str = TABLE
+) -> list[str] | None:
+    """Runs of the zone that the table lacks, by the names of run folders and partitions.
+
+    None if names cannot tell: the table has no partition yet, or a registration ended
+    half way and may have left a run with some of its partitions only.
+    """
+    files = _quoted(database, f"{table}_files")
+    if not spark.catalog.tableExists(files):
+        return None
+    if not spark.sql(f"SHOW TBLPROPERTIES {files}").where(F.col("key") == _UNFINISHED).isEmpty():
+        return None
+    partitions = spark.sql(f"SHOW PARTITIONS {files}")
+    names = partitions.select(F.substring_index("partition", "/", 1)).distinct().collect()
+    known = {unquote(name.partition("=")[2]) for (name,) in names}
+    return [run for run in _runs(spark, path) if run not in known] if known else None
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(status.getPath().getName() for status in found or [])
+
+
 def _runs(spark: SparkSession, path: str) -> list[str]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{RUN}=*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(status.getPath().getName().partition("=")[2] for status in found)
+    return [name.partition("=")[2] for name in _folders(spark, f"{path}/{RUN}=*")]
+
+
+def _days(spark: SparkSession, folder: str) -> list[str]:
+    """A run's folders by day; a run without a row has none."""
+    return _folders(spark, f"{folder}/{PROCESSED_PARTITIONS[0]}=*")
 
 
 def list_partitions(orders: DataFrame) -> DataFrame:

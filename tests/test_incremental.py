@@ -10,6 +10,7 @@ from orderflow.operators.retention import expired_days, raw_retention
 from orderflow.plans.curate import curate_orders
 from orderflow.plans.nightly import nightly_run
 from orderflow.session import conf_scope
+from orderflow.sources import catalog
 from orderflow.sources.processed import read_evolved, read_processed, write_processed
 from orderflow.sources.raw_zone import read_raw
 from orderflow.streaming.incremental import run_incremental
@@ -94,6 +95,60 @@ def test_nightly_run_registers_what_it_wrote(spark, raw, folder):
     assert runs == [] and table.count() == 2
 
 
+@pytest.fixture
+def night(spark, folder):
+    name = f"db_{abs(hash(folder))}"
+    return lambda: nightly_run(
+        spark, *paths(folder), name, database_path=f"{folder}/db", timeout=TIMEOUT
+    )
+
+
+def test_nights_with_files_make_up_for_earlier_ones(spark, raw, folder, night):
+    raw_path, out, check = paths(folder)
+    land(raw, raw_path, {"order_id": "a"})
+    night()
+    land(raw, raw_path, {"order_id": "b"}, day="03")
+    (missed,) = run_incremental(spark, raw_path, out, check, TIMEOUT)
+    land(raw, raw_path, {"order_id": "c"}, day="04")
+    name = f"db_{abs(hash(folder))}"
+    (tonight, *more), table = night()
+    assert more == [] and tonight.run_id != missed.run_id
+    assert rows(table, "order_id") == [("a",), ("b",), ("c",)]
+    assert catalog.unregistered_runs(spark, out, name) == []
+
+
+def test_nights_make_up_for_half_a_refresh(spark, raw, folder, night, monkeypatch):
+    raw_path, _, _ = paths(folder)
+    land(raw, raw_path, {"order_id": "a"})
+    night()
+    added = catalog._add_partitions
+
+    def half(spark, files, path, runs):
+        added(spark, files, path, runs)
+        (run,) = runs
+        gone = f"run_id = '{run}', order_date = '2026-01-02', category = 'LAST'"
+        spark.sql(f"ALTER TABLE {files} DROP PARTITION ({gone})")
+        raise RuntimeError("ended")
+
+    land(raw, raw_path, {"order_id": "b"}, {"order_id": "c", "category": "last"}, day="03")
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="ended"):
+        patch.setattr(catalog, "_add_partitions", half)
+        night()
+    land(raw, raw_path, {"order_id": "d"}, day="04")
+    runs, table = night()
+    assert len(runs) == 1 and rows(table, "order_id") == [(k,) for k in "abcd"]
+
+
+def test_a_run_without_rows_is_no_hindrance(raw, folder, night):
+    raw_path, _, _ = paths(folder)
+    land(raw, raw_path, {"order_id": "a"})
+    night()
+    (Path(raw_path) / "year=2026/month=01/day=02/empty.json").write_text("")
+    assert night()[0] == []
+    land(raw, raw_path, {"order_id": "b"}, day="03")
+    assert rows(night()[1], "order_id") == [("a",), ("b",)]
+
+
 def test_file_without_rows(spark, raw, folder):
     raw_path, out, check = paths(folder)
     Path(raw_path, "year=2026/month=01/day=02").mkdir(parents=True)
