@@ -1,8 +1,9 @@
-"""Near-duplicate documents by an LSH forest over MinHash signatures.
+"""Near-duplicate documents by MinHash banding, in place of an LSH forest.
 
-Each of ``trees`` orders sorts documents by a tuple of MinHash values.  A region
-of an order is a run of documents whose tuples share a prefix.  At Jaccard
-similarity s two documents share a prefix of length d in one order with chance
+Each of ``trees`` orders has a tuple of MinHash values for a document.  A region of
+an order is the documents whose tuples share a prefix of a fixed length, ``BASE``
+or ``DEEP``: they are grouped by a hash of it, nothing is sorted, and the length
+does not adapt to the region.  At Jaccard similarity s two documents share a prefix of length d in one order with chance
 s**d, so with 40 orders at depth 6 a pair at s = 0.8 is missed with a chance of
 5e-6, and a closer one far more rarely.
 
