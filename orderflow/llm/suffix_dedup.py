@@ -19,8 +19,8 @@ prefixes computed (Kasai).  Suffixes that share ``LENGTH`` bytes are one class;
 but the first are repeats.
 
 *Across shards* of a split anchor, what each shard has found first is merged: the
-shards' classes, sorted by digest and dealt out in ranges, are matched by binary
-search.
+shards' classes are dealt out in ranges of their digests and sorted, and equal
+neighbours are compared.  No shard is searched for another's classes.
 """
 
 from __future__ import annotations
