@@ -16,7 +16,8 @@ from orderflow.llm.common import long_rows, saved, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER = "byte_bpe_50k.json"
-# A text whose language is less likely than this is rejected.
+# A text whose language is less likely than this is rejected; a long one also if it has
+# less than this share of the words that texts of the language let expect.
 LEAST_SCORE = 0.5
 
 

@@ -3,7 +3,9 @@
 Every language has a log frequency for each word and n-gram that was learned.  A
 word that was learned in any language scores by its word frequencies; another
 word scores by its longest learned n-grams, at the order where any is known.  A
-text's score is the sum over its words, turned into a probability over languages.
+text's sum over its words is turned into a probability over languages, which is lowered
+if the text holds fewer words of the language found than its texts do: long texts in a
+language that was not learned come out near 0, as does one of which nothing is known.
 
 What a language has not shown scores the same for all languages, and less than
 anything that one has shown: little data is no advantage.  A language without a
@@ -85,14 +87,22 @@ class Model:
         weights = np.where(learned, [shares[lang] for lang in self.languages], 0.0)
         with np.errstate(divide="ignore"):
             self.prior = np.log(weights / (weights.sum() or 1.0))
+        # Share of a new text's words that are known: of those learned, words met twice.
+        self.expected = np.zeros(len(place))
+        for lang, kind, _, n, total in rows:
+            if kind == 0 and n > 1:
+                self.expected[place[lang]] += n / total
         # Where each gram's log frequencies by language stand in ``rows``.
         self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
         self.rows = np.zeros((len(counts), len(place)))
+        # What a language has shown of each row: 0 nothing, 1 an n-gram, 3 a word.
+        self.shown = np.zeros((len(counts), len(place)), np.uint8)
         for row, ((kind, gram), seen) in enumerate(counts.items()):
             self.place[kind][gram] = row
             # What is not seen counts as half a time in the largest total, in every language.
             own = np.where(seen > 0, totals[kind], totals[kind].max())
             self.rows[row] = np.log((seen + 0.5) / (own + 1))
+            self.shown[row] = (seen > 0) * (1 if kind else 3)
 
     def known(self, word: str) -> list[int]:
         """Rows of the word itself, or else of its longest n-grams; none if nothing is known."""
@@ -108,15 +118,31 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Mean log frequencies of each word's rows; zeros if nothing of it is known."""
+        return self.look_up(words)[0]
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Mean log frequencies of each word's rows, and the most shown of them."""
         rows = [self.known(word) for word in words]
         sizes = np.array([len(r) for r in rows])
         out = np.zeros((len(words), len(self.languages)))
+        shown = np.zeros(out.shape, np.uint8)
         some = np.flatnonzero(sizes)
         if len(some):
             starts = np.cumsum(sizes[some]) - sizes[some]
-            flat = self.rows[[k for r in rows for k in r]]
-            out[some] = np.add.reduceat(flat, starts) / sizes[some, None]
-        return out
+            flat = [k for r in rows for k in r]
+            out[some] = np.add.reduceat(self.rows[flat], starts) / sizes[some, None]
+            shown[some] = np.maximum.reduceat(self.shown[flat], starts)
+        return out, shown
+
+    def trust(self, language: int, words: int, known: int) -> float:
+        """1 if as many words are known as the language's texts let expect, else the share.
+
+        One word and two standard deviations fewer are no reason for doubt.
+        """
+        share = min(self.expected[language], 1.0)
+        wanted = words * share
+        allowed = known + 1 + 2 * math.sqrt(wanted * (1 - share))
+        return min(1.0, allowed / wanted) if wanted else 1.0
 
 
 class _Places(dict):
@@ -139,16 +165,21 @@ class Scorer:
         self.model = model
         self.place = _Places()
         self.scores = np.zeros((remembered + _AT_ONCE, len(model.languages)))
+        self.shown = np.zeros(self.scores.shape, np.uint8)
 
-    def _sum(self, words: list[str]) -> np.ndarray:
+    def _sum(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By language: the sum of scores, words known, and those with anything known."""
         place = self.place
         if len(place) > len(self.scores) - _AT_ONCE:
             place.clear()
         places = [place[word] for word in words]
         if place.new:
-            self.scores[len(place) - len(place.new) : len(place)] = self.model.words(place.new)
+            new = slice(len(place) - len(place.new), len(place))
+            self.scores[new], self.shown[new] = self.model.look_up(place.new)
             place.new.clear()
-        return self.scores[places].sum(axis=0)
+        shown = self.shown[places]
+        known, some = np.count_nonzero(shown == 3, axis=0), np.count_nonzero(shown, axis=0)
+        return self.scores[places].sum(axis=0), known, some
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _LETTERS.findall(text.lower()) if text else []
@@ -156,12 +187,19 @@ class Scorer:
             return UNKNOWN, 0.0
         # Words stay in order: sums do not depend on what was met before.
         total = self.model.prior.copy()
+        known, some = np.zeros((2, len(total)), int)
         for low in range(0, len(words), _AT_ONCE):
-            total += self._sum(words[low : low + _AT_ONCE])
+            sums, *found = self._sum(words[low : low + _AT_ONCE])
+            total += sums
+            known += found[0]
+            some += found[1]
         best = int(np.argmax(total))
         if total[best] == -np.inf:
             return UNKNOWN, 0.0
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        # The prior alone decides nothing: a language that has shown nothing of it scores 0.
+        score = 1 / np.exp(total - total[best]).sum() if some[best] else 0.0
+        trust = self.model.trust(best, len(words), int(known[best]))
+        return self.model.languages[best], float(score * trust)
 
 
 def fit(
@@ -208,7 +246,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), all other columns kept.
 
     A text that is null, empty or without a letter is ``und`` with score 0, as is
-    every text if nothing was learned.
+    every text if nothing was learned.  One of which nothing is known has score 0 too.
     """
     # Part of the function, not a broadcast, which workers would hold for good.
     state = vars(model)

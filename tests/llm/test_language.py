@@ -128,3 +128,31 @@ def test_little_data_is_no_advantage():
     assert scorer.predict("own often")[0] == "small"
     unlearned = language.Scorer(language.Model({"none": 1.0}, []))
     assert unlearned.predict("text") == ("und", 0.0)
+
+
+@pytest.mark.parametrize("share", [0.4, 0.6])
+def test_the_prior_alone_never_decides(share):
+    rows = [("a", 0, "word", 4, 9), ("a", 1, "w", 4, 9), ("b", 0, "wort", 4, 9)]
+    scorer = language.Scorer(language.Model({"a": share, "b": 1 - share}, rows))
+    assert scorer.predict("\u4e2d\u6587")[1] == 0
+    assert scorer.predict("word")[0] == "a" and scorer.predict("word")[1] > 0.5
+
+
+def test_long_texts_in_a_language_not_learned_are_in_doubt(spark):
+    rng = random.Random(5)
+
+    def texts(letters, count):
+        words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(300)]
+        return [" ".join(rng.choices(words, k=60)) for _ in range(count)]
+
+    learned = {"xa": texts("abcde", 60), "xb": texts("abfgh", 60)}
+    rows = [(i, t, lang, "s", 1) for lang in learned for i, t in enumerate(learned[lang][:40])]
+    scorer = language.Scorer(language.fit(spark.createDataFrame(rows, DOCUMENTS)))
+    for lang, own in learned.items():
+        for text in own[40:]:
+            assert scorer.predict(text)[0] == lang and scorer.predict(text)[1] > 0.9
+            # One unknown word is no reason to reject a text.
+            assert scorer.predict(text.split()[0])[1] > 0.5
+    # All its letters are known, its words are not.
+    for text in texts("abcfg", 20):
+        assert scorer.predict(text)[1] < 0.5
