@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     embedding_dedup,
     language,
@@ -145,6 +146,40 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(pages, URL_RULES, F.col("key").rlike(LISTED_HOST))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut off, repeated or given a wrong role by a hash of their place."""
+    text = {name: F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in conversations.columns}
+    fault = F.crc32(F.concat(text["conv_id"], F.lit(":"), text["turn"])) % 20
+    copies = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(text["role"]).alias("role"),
+        F.when(fault == 1, "")
+        .when(fault == 2, F.translate(text["text"], ".!?", ""))
+        .otherwise(text["text"])
+        .alias("text"),
+        F.explode(F.array_repeat(F.lit(True), copies)).alias("copy"),
+    ).drop("copy")
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    faults, repaired = conversation_repair.repair(damaged(conversations))
+    digests = conversation_repair.digests(repaired)
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    found = every.join(faults, F.col("id").eqNullSafe(faults["conv_id"]), "left").drop("conv_id")
+    found = found.join(digests, F.col("id").eqNullSafe(digests["conv_id"]), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        F.col("id").alias("conv_id"),
+        # A conversation without a row has no fault; a span beyond 64 bits stays null.
+        *[F.when(F.col("audit").isNull(), 0).otherwise(F.col(n)).cast("bigint").alias(n) for n in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -156,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op11_repair": op11_repair,
 }
 
 SQL: dict[str, str] = {
