@@ -20,6 +20,7 @@ from orderflow.llm import (
     shards,
     sql,
     suffix_dedup,
+    token_files,
     url_filter,
 )
 from orderflow.llm.common import in_fold, table
@@ -180,6 +181,13 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    path = token_files.write_tokens(documents, public_tokenizers.path(TOKENIZER))
+    rows = token_files.read_tokens(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -192,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
     "op11_repair": op11_repair,
+    "op12_token_files": op12_token_files,
 }
 
 SQL: dict[str, str] = {
