@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from orderflow.llm.bpe import Codec
+from orderflow.llm.bpe import Codec, _is_plain
 from orderflow.llm.common import long_rows
 from orderflow.session import shared_dir
 
@@ -31,7 +31,7 @@ END_ID = 2
 SHARD_IDS = 1 << 21
 # A round makes at most so many rules, each for a pair that is replaced so often at least;
 # rounds end when one saves less than this share of the symbols.
-ROUND_RULES = 4096
+ROUND_RULES = 5200
 LEAST_USES = 4
 LEAST_GAIN = 0.03
 _SLOT_BITS = 18
@@ -62,6 +62,16 @@ _DECODED = pa.schema(
 )
 
 
+class Encoder(Codec):
+    """The codec with ids as arrays, without a list of them in between."""
+
+    def array(self, text: bytes) -> np.ndarray:
+        plain = self.ranks is not None and _is_plain(np.frombuffer(text, np.uint8))
+        if plain and not any(token in text for token in self.special):
+            return self.ranked.encode_to_numpy(text.decode(), disallowed_special=())
+        return np.array(self.encode(text), np.uint32)
+
+
 def _slot(keys: np.ndarray) -> np.ndarray:
     factor, bits = keys.dtype.type(0x9E3779B1), 8 * keys.itemsize
     return (keys * factor) >> keys.dtype.type(bits - _SLOT_BITS)
@@ -94,14 +104,15 @@ def compress(symbols: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         # The more frequent of two pairs takes a slot; the other waits for a later round.
         table = np.full(1 << _SLOT_BITS, len(pairs), np.int32)
         table[_slot(pairs[::-1])] = np.arange(len(pairs) - 1, -1, -1, dtype=np.int32)
-        rank = np.full(len(key) + 2, len(pairs), np.int32)  # one more at either side
-        found = table[_slot(key)]
-        at = np.flatnonzero(found < len(pairs))
-        found = found[at]
-        same = pairs[found] == key[at]
-        at, found = at[same], found[same]
-        rank[at + 1] = found
-        best = (found < rank[at]) & (found <= rank[at + 2])
+        rank = table[_slot(key)]
+        # An empty slot stands for a pair of ends, which no key is.
+        at = np.flatnonzero(np.append(pairs, kind((end << shift) + end))[rank] == key)
+        found = rank[at]
+        next_to = at[1:] == at[:-1] + 1
+        first_wins = found[:-1] <= found[1:]
+        best = np.ones(len(at), bool)
+        best[1:] &= ~(next_to & first_wins)
+        best[:-1] &= ~next_to | first_wins
         at, found = at[best], found[best]
         uses = np.bincount(found, minlength=len(pairs))
         kept = np.flatnonzero(uses >= LEAST_USES)
@@ -112,7 +123,9 @@ def compress(symbols: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         new = number[found]
         at, new = at[new > 0], new[new > 0]
         body[at] = new
-        body = np.delete(body, at + 1)
+        stay = np.ones(len(body), bool)
+        stay[at + 1] = False
+        body = body[stay]
         low = kind((1 << shift) - 1)
         made = np.stack([pairs[kept] >> kind(shift), pairs[kept] & low], axis=1).astype(np.uint32)
         rules = np.concatenate([rules, made])
@@ -201,7 +214,7 @@ def _shard(ids: list[np.ndarray], docs: list, end: int, end_id: int, head: tuple
 
 def _encode(path: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, part = Codec(path), TaskContext.get().partitionId()
+        codec, part = Encoder(path), TaskContext.get().partitionId()
         end = len(codec.pieces)
         mark = np.array([end], np.uint32)
         ids: list[np.ndarray] = []
@@ -209,7 +222,7 @@ def _encode(path: str, end_id: int, shard_ids: int):
         shard = first = held = 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                mine = np.array(codec.encode(text.as_py().encode()), np.uint32)
+                mine = codec.array(text.as_buffer().to_pybytes())
                 if held and held + len(mine) >= shard_ids:
                     yield _shard(ids, docs, end, end_id, (part, shard, first))
                     shard, first, held, ids, docs = shard + 1, first + held, 0, [], []
