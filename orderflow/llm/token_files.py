@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from orderflow.llm.bpe import Codec, _is_plain
+from orderflow.llm.bpe import _LONG_PIECE, _PLAIN, Codec, _is_plain
 from orderflow.llm.common import long_rows
 from orderflow.session import shared_dir
 
@@ -35,6 +35,8 @@ ROUND_RULES = 5200
 LEAST_USES = 4
 LEAST_GAIN = 0.03
 _SLOT_BITS = 18
+# Any longer run of spaces or of other bytes covers a whole block of this many.
+_RUN = _LONG_PIECE // 2
 
 SHARDS = pa.schema(
     [
@@ -66,12 +68,21 @@ class Encoder(Codec):
     """The codec with ids as arrays, without a list of them in between."""
 
     def array(self, text: bytes) -> np.ndarray:
-        plain = self.ranks is not None and _is_plain(np.frombuffer(text, np.uint8))
+        plain = self.ranks is not None and _plain(np.frombuffer(text, np.uint8))
         if plain and not any(token in text for token in self.special):
             return self.ranked.encode_to_numpy(text.decode(), disallowed_special=())
         return np.array(self.encode(text), np.uint32)
 
 
+def _plain(data: np.ndarray) -> bool:
+    """As the codec asks, but without a look at every word where no run of bytes is long."""
+    whole = data[: len(data) // _RUN * _RUN].reshape(-1, _RUN)
+    spaces = np.count_nonzero(whole <= 0x20, axis=1)
+    if (spaces % _RUN != 0).all() and len(data) > _RUN:
+        return data.max() <= _PLAIN
+    return _is_plain(data)
+
+
 def _slot(keys: np.ndarray) -> np.ndarray:
     factor, bits = keys.dtype.type(0x9E3779B1), 8 * keys.itemsize
     return (keys * factor) >> keys.dtype.type(bits - _SLOT_BITS)
@@ -134,12 +145,23 @@ def compress(symbols: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return rules, body
 
 
+def _levels(rules: np.ndarray, base: int) -> Iterator[tuple[int, int]]:
+    """Runs of rules that only use what stands before the run, as those of a round do."""
+    highest, start = rules.max(axis=1, initial=0).astype(np.int64), 0
+    while start < len(rules):
+        later = np.flatnonzero(highest[start:] >= base + start)
+        end = start + int(later[0]) if len(later) else len(rules)
+        yield start, end
+        start = end
+
+
 def rule_lengths(rules: np.ndarray, end: int) -> np.ndarray:
     """How many ids each rule expands to; a rule only uses earlier ones."""
-    lengths = np.ones(end + 1 + len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[end + 1 + k] = lengths[a] + lengths[b]
-    return lengths[end + 1 :]
+    base = end + 1
+    lengths = np.ones(base + len(rules), np.int64)
+    for a, b in _levels(rules, base):
+        lengths[base + a : base + b] = lengths[rules[a:b]].sum(axis=1)
+    return lengths[base:]
 
 
 class Grammar:
@@ -147,24 +169,25 @@ class Grammar:
 
     def __init__(self, rules: np.ndarray, lengths: np.ndarray, end: int, end_id: int):
         base = end + 1
-        lengths = lengths.astype(np.int64)
-        self.length = np.concatenate([np.ones(base, np.int64), lengths])
-        self.start = np.concatenate([np.arange(base), base + np.cumsum(lengths) - lengths])
-        flat = np.zeros(base + int(lengths.sum()), np.uint32)
-        flat[:base] = np.arange(base)
-        flat[end] = end_id
-        start, length = self.start.tolist(), self.length.tolist()
-        for k, (a, b) in enumerate(rules.tolist()):
-            at = start[base + k]
-            flat[at : at + length[a]] = flat[start[a] : start[a] + length[a]]
-            flat[at + length[a] : at + length[a] + length[b]] = flat[start[b] : start[b] + length[b]]
-        self.flat = flat
+        lengths = lengths.astype(np.int32)
+        self.length = np.concatenate([np.ones(base, np.int32), lengths])
+        self.start = np.cumsum(self.length, dtype=np.int32) - self.length
+        self.flat = np.zeros(base + int(lengths.sum()), np.uint32)
+        self.flat[:base] = np.arange(base)
+        self.flat[end] = end_id
+        for a, b in _levels(rules, base):
+            at = self.start[base + a]
+            found = self.expand(rules[a:b].reshape(-1))
+            self.flat[at : at + len(found)] = found
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of so many symbols as have less than 2**31 of them."""
         length = self.length[symbols]
-        ends = np.cumsum(length)
+        ends = np.cumsum(length, dtype=np.int32)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.start[symbols] - ends + length, length) + np.arange(total)]
+        from_to = np.repeat(self.start[symbols] - ends + length, length)
+        from_to += np.arange(total, dtype=np.int32)
+        return self.flat[from_to]
 
 
 def _parts(row: dict) -> tuple[np.ndarray, Grammar]:
@@ -283,7 +306,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 upto = max(done + 1, int(np.searchsorted(ends, low + (1 << 20), "right")))
                 symbols = body[low : ends[upto - 1]]
                 ids = grammar.expand(symbols)
-                until = np.cumsum(grammar.length[symbols])[ends[done:upto] - low - 1]
+                until = np.cumsum(grammar.length[symbols], dtype=np.int64)[ends[done:upto] - low - 1]
                 counts = np.diff(until, prepend=0)
                 offsets = np.concatenate(([0], 4 * until)).astype(np.int32)
                 data = ids.astype("<u4").tobytes()

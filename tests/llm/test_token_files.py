@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
+from orderflow.llm import bpe
 from orderflow.llm import token_files as tf
 from orderflow.llm.common import table
 from tests.llm.conftest import words
@@ -110,3 +111,13 @@ def test_query_agrees_with_the_library(spark, sf_dir, library):
     assert rows == [(i, s, n, zlib.crc32(ids)) for i, s, n, ids in expected(library, docs)]
     assert dict(got.dtypes) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"}
     assert got.where(F.col("n_tokens") < 1).isEmpty()
+
+
+def test_plain_texts_are_told_as_the_codec_does():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        run = int(rng.integers(1, 900))
+        text = b"ab cd " * int(rng.integers(0, 90)) + bytes([rng.choice([0x20, 0x61])]) * run
+        text += b" ef gh" * int(rng.integers(0, 90)) + ("é" if rng.random() < 0.5 else "漢").encode()
+        data = np.frombuffer(text, np.uint8)
+        assert tf._plain(data) == bpe._is_plain(data)
