@@ -18,6 +18,7 @@ from orderflow.llm import (
     quality,
     revisits,
     shards,
+    spelling,
     sql,
     suffix_dedup,
     token_files,
@@ -188,6 +189,11 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return spelling.group_variants(spelling.count_words(documents, spelling.drop_letters))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -201,6 +207,7 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
     "op11_repair": op11_repair,
     "op12_token_files": op12_token_files,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
