@@ -216,4 +216,6 @@ SQL: dict[str, str] = {
     "op7_revisits": sql.OP7,
     "op8_near_dedup": sql.OP8,
     "op10_url_filter": sql.OP10,
+    "op11_repair": sql.OP11,
+    "op13_spelling": sql.OP13,
 }

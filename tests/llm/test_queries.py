@@ -17,12 +17,12 @@ from orderflow.llm.shingles import shingle_set
 from tests.llm.test_near_dedup import _brute as near_brute
 from tests.llm.test_suffix_dedup import brute as suffix_brute
 
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def test_each_operator_has_one_query():
     names = registry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 
