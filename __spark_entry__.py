@@ -41,6 +41,7 @@ from orderflow.streaming.metrics_log import (  # noqa: E402
     write_live_metrics,
 )
 from orderflow.streaming.pipeline import LivePaths, read_counts, start_fan_out  # noqa: E402
+from orderflow.streaming.retry import read_attempts, retry_failed  # noqa: E402
 from orderflow.streaming.runs import finish, start  # noqa: E402
 
 try:  # The training-data operators are an optional part of the package.
@@ -138,6 +139,23 @@ def etl_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_processed(spark, out))
 
 
+def _halves() -> tuple[Column, Column]:
+    second = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    return ~second, second
+
+
+def etl_retried_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, each saved once more after a curation run has taken it."""
+    folder = shared_dir(spark, "retried")
+    raw, out, checkpoint = (f"{folder}/{name}" for name in ("raw", "processed", "checkpoint"))
+    orders = fixtures.event_orders(spark, sf_dir)
+    for name, wave in zip(("first", "second"), _halves(), strict=True):
+        for _ in range(2):
+            fixtures.land_batch(orders.where(wave), raw, name)
+            run_incremental(spark, raw, out, checkpoint)
+    return _comparable(read_processed(spark, out))
+
+
 def etl_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, runs = _two_runs(spark, sf_dir)
     rows = [(number, run.raw_rows, run.written_rows) for number, run in enumerate(runs)]
@@ -389,6 +407,39 @@ def rt_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rt_retried_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A receiver that is down at first, then refuses any batch with one customer's alerts."""
+    orders = fixtures.event_orders(spark, sf_dir)
+    stream, folder = _stream(
+        spark, fixtures.order_envelopes(orders, "order_id", "order_timestamp")
+    )
+    accepted, _ = decode.decode_orders(stream, threshold=250)
+    saved, failures, attempts = (f"{folder}/{name}" for name in ("alerts", "failed", "attempts"))
+    messages = alert_message(high_value_alerts(accepted))
+    finish(sinks.write_alerts(messages, saved, f"{folder}/checkpoint", available_now=True))
+    number = F.substring("customer_id", 2, 20).cast("bigint")
+    refused = f"C{sinks.read_alerts(spark, saved).agg(F.max(number)).first()[0]}"
+
+    def down(alerts: DataFrame, batch_id: int) -> None:
+        raise ConnectionError("receiver is down")
+
+    def picky(alerts: DataFrame, call: int) -> None:
+        if not alerts.where(F.col("customer_id") == refused).isEmpty():
+            raise ValueError("refused")
+
+    finish(
+        sinks.start_delivery(
+            spark, saved, f"{folder}/sent", down, failures, available_now=True
+        )
+    )
+    while retry_failed(spark, failures, attempts, picky).calls:
+        pass
+    states = read_attempts(spark, failures, attempts)
+    return states.groupBy("order_id", "attempts", "state", "reason").agg(
+        F.sum("copies").alias("n")
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "report_daily_revenue": report_daily_revenue,
     "report_category_share": _report(reports.category_share),
@@ -403,6 +454,7 @@ _QUERIES: dict[str, Query] = {
     "etl_raw_scan": etl_raw_scan,
     "etl_processed_roundtrip": etl_processed_roundtrip,
     "etl_incremental": etl_incremental,
+    "etl_retried_batch": etl_retried_batch,
     "etl_run_metrics": etl_run_metrics,
     "catalog_partitions": catalog_partitions,
     "catalog_daily_revenue": catalog_daily_revenue,
@@ -422,6 +474,7 @@ _QUERIES: dict[str, Query] = {
     "rt_alerts": rt_alerts,
     "rt_alert_message": rt_alert_message,
     "rt_alert_stream": rt_alert_stream,
+    "rt_retried_alerts": rt_retried_alerts,
 }
 
 

@@ -200,6 +200,7 @@ FROM raw""",
 FROM raw""",
     "etl_processed_roundtrip": ONE_RUN + f"SELECT {COLUMNS} FROM orders_processed",
     "etl_incremental": TWO_RUNS + f"SELECT {COLUMNS} FROM orders_processed",
+    "etl_retried_batch": TWO_RUNS + f"SELECT {COLUMNS} FROM orders_processed",
     "etl_run_metrics": TWO_RUNS
     + f""", seen AS (SELECT {EVENT_RUN} AS run, COUNT(*) AS raw_rows FROM raw GROUP BY 1),
  kept AS (SELECT run, COUNT(*) AS written_rows FROM orders_processed GROUP BY 1)
@@ -258,4 +259,13 @@ WHERE pk = 'CATEGORY#click' AND sk BETWEEN 'DATE#2024-01-05' AND 'DATE#2024-01-2
 WHERE order_status IS DISTINCT FROM 'CANCELLED' AND total_amount > 250""",
     "rt_alert_message": _alerts(RAW, 50_000),
     "rt_alert_stream": _alerts(EVENT_RAW),
+    "rt_retried_alerts": f"""WITH {EVENT_RAW}, failed AS (
+ SELECT order_id, CAST(substring(customer_id, 2) AS BIGINT) AS customer FROM raw
+ WHERE order_status IS DISTINCT FROM 'CANCELLED' AND total_amount > 250),
+judged AS (
+ SELECT order_id, customer = (SELECT max(customer) FROM failed) AS refused FROM failed)
+SELECT order_id, CASE WHEN refused THEN 5 ELSE 2 END AS attempts,
+ CASE WHEN refused THEN 'given_up' ELSE 'delivered' END AS state,
+ CASE WHEN refused THEN 'refused' ELSE 'receiver is down' END AS reason, count(*) AS n
+FROM judged GROUP BY ALL""",
 }

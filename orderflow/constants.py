@@ -37,6 +37,7 @@ TOP_CITIES = 15
 RAW_RETENTION_DAYS = 30
 MICRO_BATCH_RECORDS = 100
 MICRO_BATCH_SECONDS = 10
+MAX_ATTEMPTS = 5
 
 # Names in the catalog.
 DATABASE = "analytics_db"

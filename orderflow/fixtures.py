@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow.constants import CANCELLED, DEFAULT_CURRENCY, ORDER_FIELDS, PLACED
 from orderflow.operators.clean import clean_orders
 from orderflow.operators.dedup import dedup_orders
+from orderflow.streaming.sinks import save_batch
 
 RAW_TIE_BREAK = ("order_timestamp", "product_id", "l_suppkey", "total_amount", "l_shipdate")
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -171,6 +172,13 @@ def land(orders: DataFrame, path: str) -> None:
     )
 
 
+def land_batch(orders: DataFrame, path: str, name: str) -> None:
+    """Land orders as a sink does: a batch of JSON lines with a name, complete at the end."""
+    days = ("year", "month", "day")
+    lines = orders.select(F.to_json(F.struct(*ORDER_FIELDS)).alias("value"), *days)
+    save_batch(lines, "text", path, name, *days)
+
+
 def stage(records: DataFrame, path: str, batches: int = 4) -> int:
     """Write stream records as JSON files; returns the files that make one of ``batches``.
 

@@ -70,6 +70,19 @@ FAILED = T.StructType(
     [T.StructField("order_id", T.StringType()), T.StructField("reason", T.StringType())]
 )
 
+# The whole alerts, as they are kept to be tried again.
+FAILED_ALERT = T.StructType([*ALERT.fields, T.StructField("reason", T.StringType())])
+
+# What became of a failed alert in a round of retries.
+ATTEMPT = T.StructType(
+    [
+        T.StructField("failure_id", T.StringType()),
+        T.StructField("round", T.IntegerType()),
+        T.StructField("delivered", T.BooleanType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
 # What one micro-batch took in, and how many of that were rejected.
 BATCH_COUNTS = T.StructType(
     [
@@ -78,3 +91,12 @@ BATCH_COUNTS = T.StructType(
         T.StructField("failures", T.LongType()),
     ]
 )
+
+# What one curation run read and wrote.
+RUN_COUNTS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("raw_rows", T.LongType()),
+        T.StructField("written_rows", T.LongType()),
+    ]
+)

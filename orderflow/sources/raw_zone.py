@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.constants import ANY_AGE
 from orderflow.schema import ORDER_EVENT
 
 
@@ -13,15 +12,6 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ORDER_EVENT).json(path).drop("batch")
 
 
-def read_new_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw zone as a stream, so that a checkpoint remembers the files read.
-
-    Files of any age are read.  The list of those seen stays as short as the raw
-    zone has few files, which is why its sinks gather a batch before they write.
-    """
-    return (
-        spark.readStream.schema(ORDER_EVENT)
-        .option("recursiveFileLookup", "true")
-        .option("maxFileAge", ANY_AGE)
-        .json(path)
-    )
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The raw orders of these files, as text."""
+    return spark.read.schema(ORDER_EVENT).json(files)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -15,8 +16,8 @@ from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import live_metrics
 from orderflow.schema import BATCH_COUNTS
 from orderflow.streaming import sinks
-from orderflow.streaming.metrics_log import write_live_metrics
-from orderflow.streaming.runs import batch_name, start
+from orderflow.streaming.metrics_log import CHANGES, write_live_metrics
+from orderflow.streaming.runs import batch_name, refuse_foreign, start
 
 
 @dataclass(frozen=True)
@@ -101,28 +102,63 @@ def start_pipeline(
     others nor makes them write twice.  The price is that each parses the stream.
     """
     records = _records(opened, paths, threshold)
-    queries = [
-        sinks.write_raw_zone(
+    spark, checks = opened.sparkSession, paths.checkpoints
+    _refuse(
+        spark,
+        {
+            paths.raw: f"{checks}/raw",
+            paths.rejects: f"{checks}/rejects",
+            paths.alerts: f"{checks}/alerts",
+            _changes(paths): f"{checks}/metrics",
+        },
+    )
+    return _start_all(
+        lambda: sinks.write_raw_zone(
             decode.parsed(_counted(records)),
             paths.raw,
-            f"{paths.checkpoints}/raw",
+            f"{checks}/raw",
             available_now=available_now,
         ),
-        sinks.write_rejects(
+        lambda: sinks.write_rejects(
             decode.rejected(records),
             paths.rejects,
-            f"{paths.checkpoints}/rejects",
+            f"{checks}/rejects",
             available_now=available_now,
         ),
-        _start_metrics(records, paths, state_partitions, available_now),
-        sinks.write_alerts(
+        lambda: _start_metrics(records, paths, state_partitions, available_now),
+        lambda: sinks.write_alerts(
             _messages(records, threshold),
             paths.alerts,
-            f"{paths.checkpoints}/alerts",
+            f"{checks}/alerts",
             available_now=available_now,
         ),
-    ]
-    return [query for query in queries if query is not None]
+    )
+
+
+def _refuse(spark: SparkSession, outputs: dict[str | None, str]) -> None:
+    """Ask of all outputs, before any query starts, whether they are another stream's."""
+    for output, checkpoint in outputs.items():
+        if output:
+            refuse_foreign(spark, output, checkpoint)
+
+
+def _changes(paths: LivePaths) -> str:
+    return f"{paths.metrics}/kind={CHANGES}"
+
+
+def _start_all(*starts: Callable[[], StreamingQuery | None]) -> list[StreamingQuery]:
+    """Start all queries or none: if one cannot start, those before it are stopped."""
+    running: list[StreamingQuery] = []
+    try:
+        for begin in starts:
+            query = begin()
+            if query is not None:
+                running.append(query)
+    except BaseException:
+        for query in running:
+            query.stop()
+        raise
+    return running
 
 
 def start_fan_out(
@@ -136,7 +172,7 @@ def start_fan_out(
 
     The usual choice.  A batch is parsed once and kept, in memory or on disk, while
     its sinks are written; bound its size at the source.  A batch that is tried again
-    replaces what it wrote.  Alerts are only saved here: ``sinks.start_delivery``
+    writes only what it had not completed.  Alerts are only saved here: ``sinks.start_delivery``
     sends them, in a query of its own.
     """
     records = _records(opened, paths, threshold)
@@ -162,7 +198,13 @@ def start_fan_out(
         finally:
             kept.unpersist()
 
-    return [
-        start(lines.writeStream.foreachBatch(put), f"{paths.checkpoints}/sinks", available_now),
-        _start_metrics(records, paths, state_partitions, available_now),
-    ]
+    checks = paths.checkpoints
+    outputs = (paths.raw, paths.rejects, paths.alerts, paths.counts)
+    _refuse(
+        opened.sparkSession,
+        {output: f"{checks}/sinks" for output in outputs} | {_changes(paths): f"{checks}/metrics"},
+    )
+    return _start_all(
+        lambda: start(lines.writeStream.foreachBatch(put), f"{checks}/sinks", available_now),
+        lambda: _start_metrics(records, paths, state_partitions, available_now),
+    )

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderflow.constants import MICRO_BATCH_SECONDS
 from orderflow.session import path_exists
+from orderflow.sources.records import folder_names
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -21,9 +27,10 @@ def refuse_foreign(spark: SparkSession, output: str, checkpoint: str) -> None:
     """Raise if ``output`` was written by a stream with another checkpoint.
 
     A new checkpoint starts over with batch 0, and a sink that goes by batch
-    numbers would take its first batches for ones it already has.
+    numbers would take its first batches for ones it already has.  A folder that
+    holds nothing but its log of batches was written by none.
     """
-    if path_exists(spark, output) and not path_exists(spark, checkpoint):
+    if folder_names(spark, output) and not path_exists(spark, checkpoint):
         raise ValueError(f"{output} belongs to another checkpoint than {checkpoint}")
 
 
@@ -44,3 +51,30 @@ def batch_name(batch: DataFrame, batch_id: int) -> str:
     """
     stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     return f"{stream}-{batch_id}"
+
+
+@contextlib.contextmanager
+def time_limit(spark: SparkSession, seconds: float | None) -> Iterator[None]:
+    """Cancel the block's Spark jobs after so many seconds and raise ``TimeoutError``."""
+    if seconds is None:
+        yield
+        return
+    context, group, late = spark.sparkContext, uuid.uuid4().hex, threading.Event()
+
+    def end() -> None:
+        late.set()
+        # Those that start later, too: a run is many jobs, with pauses between them.
+        context._jsc.sc().cancelJobGroupAndFutureJobs(group)
+
+    timer = threading.Timer(seconds, end)
+    context.setJobGroup(group, "limited in time", interruptOnCancel=True)
+    timer.start()
+    try:
+        yield
+    except Exception as error:
+        if late.is_set():
+            raise TimeoutError(f"jobs ran over {seconds} s") from error
+        raise
+    finally:
+        timer.cancel()
+        context.setLocalProperty("spark.jobGroup.id", None)
