@@ -25,7 +25,12 @@ from orderflow.operators.retention import expired_days, landing_day, raw_retenti
 from orderflow.plans import reports  # noqa: E402
 from orderflow.plans.curate import curate_orders  # noqa: E402
 from orderflow.session import pin_utc, shared_dir  # noqa: E402
-from orderflow.sources.catalog import list_partitions, register_processed  # noqa: E402
+from orderflow.sources.catalog import (  # noqa: E402
+    compact_runs,
+    files_table,
+    list_partitions,
+    register_processed,
+)
 from orderflow.sources.processed import (  # noqa: E402
     read_evolved,
     read_processed,
@@ -207,6 +212,23 @@ def catalog_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(register_processed(spark, path, name, runs=["1"]))
 
 
+def catalog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and partitions by day and category, after runs of the same days were merged."""
+    folder = shared_dir(spark, "compacted")
+    path, name = f"{folder}/processed", f"orders_{uuid.uuid4().hex}"
+    orders = fixtures.event_orders(spark, sf_dir)
+    for number in range(3):
+        # An order's id names its user, so runs share days but no id.
+        part = orders.where(F.substring("customer_id", 2, 20).cast("bigint") % 3 == number)
+        write_processed(curate_orders(part), path, str(number))
+        register_processed(spark, path, name, database_path=f"{folder}/db", runs=[str(number)])
+        if number:
+            compact_runs(spark, path, name)
+    rows = spark.table(f"{name}.{files_table(spark, name)}")
+    by_day = rows.groupBy("order_date", "category")
+    return by_day.agg(F.count("*").alias("n"), F.count_distinct("run_id").alias("partitions"))
+
+
 # Retention, on a landed raw zone.  A month of days, so a week is kept.
 KEPT_DAYS = 7
 
@@ -460,6 +482,7 @@ _QUERIES: dict[str, Query] = {
     "catalog_daily_revenue": catalog_daily_revenue,
     "catalog_merge_schema": catalog_merge_schema,
     "catalog_evolved": catalog_evolved,
+    "catalog_compacted": catalog_compacted,
     "raw_retention": raw_retention_days,
     "raw_expired_days": raw_expired_days,
     "rt_stream_ingest": rt_stream_ingest,

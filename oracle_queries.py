@@ -215,6 +215,9 @@ FROM orders_processed""",
     "catalog_evolved": TWO_RUNS
     + f"""SELECT {COLUMNS}, CASE WHEN run = 1 THEN concat('S-', customer_id) END AS segment
 FROM orders_processed""",
+    "catalog_compacted": ONE_RUN
+    + """SELECT order_date, category, COUNT(*) AS n, CAST(1 AS BIGINT) AS partitions
+FROM orders_processed GROUP BY order_date, category""",
     "raw_retention": f"""WITH {EVENT_RAW}, landed AS (
  SELECT CAST(ts AS DATE) AS landing_day FROM raw)
 SELECT landing_day, COUNT(*) AS orders FROM landed

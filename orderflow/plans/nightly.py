@@ -26,8 +26,8 @@ def nightly_run(
     for it, with new files or without.
     """
     runs = run_incremental(spark, raw_path, out_path, checkpoint, timeout)
-    # What this night wrote is added, and what the table lacks of earlier nights.  All
-    # partitions are listed only after a night that wrote nothing, or if names cannot tell.
+    # What this night wrote is added, and what the table lacks of earlier nights, by its log.
+    # All runs are listed only after a night that wrote nothing, or if there is no table.
     new = unregistered_runs(spark, out_path, database, table) if runs else None
     if new is not None:
         new = sorted({*new, *(run.run_id for run in runs)})
