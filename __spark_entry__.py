@@ -161,6 +161,17 @@ def etl_retried_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_processed(spark, out))
 
 
+def etl_dedup_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the first half of the month are not curated again in the second."""
+    folder = shared_dir(spark, "across")
+    raw, out, checkpoint = (f"{folder}/{name}" for name in ("raw", "processed", "checkpoint"))
+    orders = fixtures.event_orders(spark, sf_dir)
+    for name, wave in zip(("first", "second"), _halves(), strict=True):
+        fixtures.land_batch(orders.where(wave), raw, name)
+        run_incremental(spark, raw, out, checkpoint, across_runs=True)
+    return _comparable(read_processed(spark, out))
+
+
 def etl_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, runs = _two_runs(spark, sf_dir)
     rows = [(number, run.raw_rows, run.written_rows) for number, run in enumerate(runs)]
@@ -477,6 +488,7 @@ _QUERIES: dict[str, Query] = {
     "etl_processed_roundtrip": etl_processed_roundtrip,
     "etl_incremental": etl_incremental,
     "etl_retried_batch": etl_retried_batch,
+    "etl_dedup_across_runs": etl_dedup_across_runs,
     "etl_run_metrics": etl_run_metrics,
     "catalog_partitions": catalog_partitions,
     "catalog_daily_revenue": catalog_daily_revenue,

@@ -201,6 +201,9 @@ FROM raw""",
     "etl_processed_roundtrip": ONE_RUN + f"SELECT {COLUMNS} FROM orders_processed",
     "etl_incremental": TWO_RUNS + f"SELECT {COLUMNS} FROM orders_processed",
     "etl_retried_batch": TWO_RUNS + f"SELECT {COLUMNS} FROM orders_processed",
+    "etl_dedup_across_runs": TWO_RUNS
+    + f"""SELECT {COLUMNS} FROM orders_processed
+WHERE run = 0 OR order_id NOT IN (SELECT order_id FROM orders_processed WHERE run = 0)""",
     "etl_run_metrics": TWO_RUNS
     + f""", seen AS (SELECT {EVENT_RUN} AS run, COUNT(*) AS raw_rows FROM raw GROUP BY 1),
  kept AS (SELECT run, COUNT(*) AS written_rows FROM orders_processed GROUP BY 1)

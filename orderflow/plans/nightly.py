@@ -18,6 +18,7 @@ def nightly_run(
     table: str = TABLE,
     database_path: str | None = None,
     timeout: float | None = None,
+    across_runs: bool = False,
 ) -> tuple[list[RunMetrics], DataFrame]:
     """The runs made and the registered table.
 
@@ -25,7 +26,7 @@ def nightly_run(
     night ended between its run and its refresh, or during that, this night makes up
     for it, with new files or without.
     """
-    runs = run_incremental(spark, raw_path, out_path, checkpoint, timeout)
+    runs = run_incremental(spark, raw_path, out_path, checkpoint, timeout, across_runs=across_runs)
     # What this night wrote is added, and what the table lacks of earlier nights, by its log.
     # All runs are listed only after a night that wrote nothing, or if there is no table.
     new = unregistered_runs(spark, out_path, database, table) if runs else None

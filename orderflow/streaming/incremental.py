@@ -15,7 +15,8 @@ from orderflow.session import path_exists, require_utc
 from orderflow.sources.batches import files_handed_over
 from orderflow.sources.processed import run_path, write_processed
 from orderflow.sources.raw_zone import read_files
-from orderflow.sources.records import folder_names, put_once, read_text
+from orderflow.sources.records import folder_names, put_once, read_text, remove
+from orderflow.sources.run_ids import drop_known, write_filter
 from orderflow.streaming.runs import refuse_foreign, time_limit
 
 _PLAN = "path string, name string"
@@ -37,14 +38,16 @@ def run_incremental(
     checkpoint: str,
     timeout: float | None = None,
     again: bool = False,
+    across_runs: bool = False,
 ) -> list[RunMetrics]:
     """Curate all that is new in the raw zone as one run; the list is empty if there is nothing.
 
     New are complete batches that no run has taken, by their names, and files that no sink
     wrote, by their place.  A run first plans what it takes, then writes, then commits.
     After a failure the list may hold two: the planned run tried again, which takes the
-    same and overwrites its own folder, then a new one.  Ids are unique within a run, not
-    across runs.  A new checkpoint would read all again, so it is refused on an output that
+    same and overwrites its own folder, then a new one.  Ids are unique within a run; with
+    ``across_runs`` an order whose id an earlier run of the output has is left out, too.  A
+    new checkpoint would read all again, so it is refused on an output that
     has runs, unless ``again`` asks for that.
     """
     require_utc(spark)
@@ -59,10 +62,10 @@ def run_incremental(
         put_once(spark, f"{checkpoint}/identity", uuid.uuid4().hex)
         open_runs = [n for n in _planned(spark, checkpoint) if n not in _committed(spark, checkpoint)]
         for number in open_runs:
-            done += _run(spark, out_path, checkpoint, number)
+            done += _run(spark, out_path, checkpoint, number, across_runs)
         number = _plan(spark, raw_path, checkpoint)
         if number is not None:
-            done += _run(spark, out_path, checkpoint, number)
+            done += _run(spark, out_path, checkpoint, number, across_runs)
     return done
 
 
@@ -112,7 +115,9 @@ def _plan(spark: SparkSession, raw_path: str, checkpoint: str) -> int | None:
     return number
 
 
-def _run(spark: SparkSession, out_path: str, checkpoint: str, number: int) -> list[RunMetrics]:
+def _run(
+    spark: SparkSession, out_path: str, checkpoint: str, number: int, across_runs: bool
+) -> list[RunMetrics]:
     plan = spark.read.schema(_PLAN).parquet(f"{checkpoint}/plans/{_name(number)}")
     files = [row["path"] for row in plan.toLocalIterator()]
     run_id = f"{read_text(spark, f'{checkpoint}/identity')}-{number}"
@@ -120,10 +125,21 @@ def _run(spark: SparkSession, out_path: str, checkpoint: str, number: int) -> li
     if files:
         seen = Observation()
         raw = read_files(spark, files).observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_processed(curate_orders(raw), out_path, run_id)
+        orders = curate_orders(raw)
+        if across_runs:
+            # Looked at twice, for their ids and to be written, so they are kept meanwhile.
+            staged = f"{checkpoint}/staged"
+            orders.write.mode("overwrite").parquet(f"{staged}/orders")
+            kept = spark.read.schema(orders.schema).parquet(f"{staged}/orders")
+            new = drop_known(spark, kept, out_path, run_id, f"{staged}/hits")
+            write_processed(new, out_path, run_id)
+            write_filter(spark, out_path, run_id)
+            remove(spark, staged)
+        else:
+            write_processed(orders, out_path, run_id)
         # Counting the files reads footers only, and stays right if tasks ran twice.
         written = spark.read.schema(PROCESSED).parquet(run_path(out_path, run_id)).count()
         counts = RunMetrics(run_id, seen.get["rows"], written)
     put_once(spark, f"{checkpoint}/commits/{_name(number)}", json.dumps(asdict(counts)) + "\n")
-    # Every id keeps a row, so nothing written means that there was nothing new.
+    # A run without a row that is new leaves nothing to register.
     return [counts] if counts.written_rows else []
