@@ -39,6 +39,7 @@ from orderflow.sources.processed import (  # noqa: E402
 from orderflow.sources.raw_zone import read_raw  # noqa: E402
 from orderflow.sources.stream import read_order_stream  # noqa: E402
 from orderflow.streaming import sinks  # noqa: E402
+from orderflow.streaming.expiry import expire_raw  # noqa: E402
 from orderflow.streaming.incremental import RunMetrics, run_incremental  # noqa: E402
 from orderflow.streaming.metrics_log import (  # noqa: E402
     metrics_lookup,
@@ -196,6 +197,10 @@ def catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_revenue(orders, as_of=_last_day(orders))
 
 
+def _on_table(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(_registered(spark, sf_dir))
+
+
 def catalog_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run's files have one column more than the first's."""
     path, later = _evolving(spark, sf_dir)
@@ -263,6 +268,22 @@ def raw_expired_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired_days(raw, as_of=today, days=KEPT_DAYS)
 
 
+def raw_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days past a week are deleted if curated; the second half of the month is not."""
+    folder = shared_dir(spark, "expiry")
+    raw, out, checkpoint = (f"{folder}/{name}" for name in ("raw", "processed", "checkpoint"))
+    orders = fixtures.event_orders(spark, sf_dir)
+    first, second = _halves()
+    fixtures.land_batch(orders.where(first), raw, "first")
+    run_incremental(spark, raw, out, checkpoint)
+    fixtures.land_batch(orders.where(second), raw, "second")
+    today = read_raw(spark, raw).agg(F.max(landing_day())).first()[0]
+    done = expire_raw(spark, raw, checkpoint, today, KEPT_DAYS).drop("files")
+    left = read_raw(spark, raw).groupBy(landing_day().alias("landing_day"))
+    left = left.agg(F.count("*").alias("orders_left"))
+    return done.join(left, "landing_day", "full")
+
+
 # Live path.
 
 
@@ -492,11 +513,18 @@ _QUERIES: dict[str, Query] = {
     "etl_run_metrics": etl_run_metrics,
     "catalog_partitions": catalog_partitions,
     "catalog_daily_revenue": catalog_daily_revenue,
+    "catalog_category_share": _on_table(reports.category_share),
+    "catalog_top_products": _on_table(reports.top_products),
+    "catalog_hourly": _on_table(reports.hourly_pattern),
+    "catalog_cancel_rate": _on_table(reports.cancel_rate),
+    "catalog_top_cities": _on_table(reports.top_cities),
+    "catalog_payment_mix": _on_table(reports.payment_mix),
     "catalog_merge_schema": catalog_merge_schema,
     "catalog_evolved": catalog_evolved,
     "catalog_compacted": catalog_compacted,
     "raw_retention": raw_retention_days,
     "raw_expired_days": raw_expired_days,
+    "raw_expiry": raw_expiry,
     "rt_stream_ingest": rt_stream_ingest,
     "rt_late_files": rt_late_files,
     "rt_fan_out": rt_fan_out,

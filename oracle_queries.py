@@ -275,3 +275,24 @@ SELECT order_id, CASE WHEN refused THEN 5 ELSE 2 END AS attempts,
  CASE WHEN refused THEN 'refused' ELSE 'receiver is down' END AS reason, count(*) AS n
 FROM judged GROUP BY ALL""",
 }
+
+# The other reports on the registered table, whose orders are those of two runs.
+SQL |= {
+    f"catalog_{name}": TWO_RUNS + SQL[f"report_{name}"].removeprefix(PROCESSED)
+    for name in (
+        "category_share",
+        "top_products",
+        "hourly",
+        "cancel_rate",
+        "top_cities",
+        "payment_mix",
+    )
+}
+SQL["raw_expiry"] = f"""WITH {EVENT_RAW}, landed AS (
+ SELECT CAST(ts AS DATE) AS landing_day, COUNT(*) AS orders,
+  CAST(ts AS DATE) < (SELECT MAX(CAST(ts AS DATE)) FROM raw) - INTERVAL '7' DAY AS expired,
+  CAST(ts AS DATE) < DATE '2024-01-16' AS curated FROM raw GROUP BY CAST(ts AS DATE))
+SELECT landing_day, CASE WHEN expired AND curated THEN 'deleted' WHEN expired THEN 'kept' END AS state,
+ CASE WHEN expired AND NOT curated THEN 'not curated' END AS reason,
+ CASE WHEN NOT (expired AND curated) THEN orders END AS orders_left
+FROM landed"""

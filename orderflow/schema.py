@@ -100,3 +100,13 @@ RUN_COUNTS = T.StructType(
         T.StructField("written_rows", T.LongType()),
     ]
 )
+
+# What became of a raw day past its retention, and why it stayed.
+EXPIRY = T.StructType(
+    [
+        T.StructField("landing_day", T.DateType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orderflow.constants import ANY_AGE
 from orderflow.session import path_exists
-from orderflow.sources.records import make_folder, put_once
+from orderflow.sources.records import make_folder, put_once, remove
 
 BATCH = "batch"
 _LOG = "_batches"
@@ -53,23 +53,44 @@ def batch_of(path: Column) -> Column:
     return F.when(name != "", name)
 
 
-def files_handed_over(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and ``name`` of all files that are complete, at any depth.
+def all_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path``, ``name``, ``batch`` and ``complete`` of all files, at any depth.
 
-    ``name`` is what they are handed over by: their batch, or their own place below the
-    folder for files that no sink of ours wrote.  Files of a batch that is still being
-    written, or was left half written, are not among them.
+    ``name`` is what a file is handed over by: its batch, or its own place for files that
+    no sink of ours wrote, which count as complete.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # Listing reads no file.
     files = files.select("path", batch_of(F.col("path")).alias(BATCH))
-    whole = files.join(complete_batches(spark, path).distinct(), BATCH, "left_semi")
+    done = complete_batches(spark, path).distinct().withColumn("logged", F.lit(True))
     place = F.regexp_replace("path", "^[a-zA-Z0-9+.-]+:(//[^/]*)?", "")
-    return whole.select("path", F.col(BATCH).alias("name")).unionByName(
-        files.where(F.col(BATCH).isNull()).select("path", place.alias("name"))
+    return files.join(done, BATCH, "left").select(
+        "path",
+        F.coalesce(BATCH, place).alias("name"),
+        BATCH,
+        (F.col(BATCH).isNull() | F.col("logged").isNotNull()).alias("complete"),
     )
 
 
+def files_handed_over(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``name`` of the files that are complete.
+
+    Files of a batch that is still being written, or was left half written, are not.
+    """
+    return all_files(spark, path).where("complete").select("path", "name")
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Drop batches without a file from the log; only while no sink writes there.
+
+    Curation keeps the names of what it took, so none is taken again.
+    """
+    there = all_files(spark, path).where(F.col(BATCH).isNotNull()).select(BATCH)
+    gone = complete_batches(spark, path).join(there.distinct(), BATCH, "left_anti")
+    for row in gone.toLocalIterator():
+        remove(spark, f"{log_path(path)}/{row[BATCH]}")
+
+
 def adopt_batches(spark: SparkSession, path: str) -> None:
     """Take all batches of a folder for complete, as one written without a log needs it.
 

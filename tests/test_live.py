@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderflow import fixtures
 from orderflow.operators.alerts import alert_message, high_value_alerts
 from orderflow.operators.live import latest_metrics, live_metrics, select_metrics
+from orderflow.schema import METRICS
+from orderflow.session import conf_scope
+from orderflow.streaming import metrics_log
 from tests.conftest import rows
 
 
@@ -97,3 +102,59 @@ def test_message(raw):
         "City:     Boston, MA",
         "Time:     2026-01-02T03:04:05.678901+00:00",
     ]
+
+
+# Lookups in an ordered snapshot.
+
+
+def _log_of(spark, folder, categories=40, days=30):
+    """A log whose snapshot has one file for each of 8 ranges of keys, and changes after it."""
+    rows = [
+        (f"CATEGORY#c{c:02d}", f"DATE#2026-01-{d:02d}", c * d, Decimal(c))
+        for c in range(categories)
+        for d in range(1, days + 1)
+    ]
+    frame = spark.createDataFrame(rows, METRICS)
+    with conf_scope(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        metrics_log._write_snapshot(frame, metrics_log._folder(folder, "snapshot", 5))
+    newer = frame.where("pk = 'CATEGORY#c07' AND sk = 'DATE#2026-01-09'")
+    metrics_log._write(newer.withColumn("order_count", F.lit(999).cast("bigint")), metrics_log._folder(folder, "changes", 6))
+    return {(pk, sk): n for pk, sk, n, _ in rows} | {("CATEGORY#c07", "DATE#2026-01-09"): 999}
+
+
+@pytest.mark.parametrize(
+    ("category", "low", "high"),
+    [("c07", None, None), ("c07", "2026-01-05", "2026-01-09"), ("c00", "2026-01-30", None),
+     ("c39", None, "2026-01-01"), ("nope", None, None), ("c20", "2026-02-01", None)],
+)
+def test_lookups_agree_with_all_totals(spark, folder, category, low, high):
+    wanted = {
+        (pk, sk, n)
+        for (pk, sk), n in _log_of(spark, folder).items()
+        if pk == f"CATEGORY#{category}"
+        and (low is None or sk >= f"DATE#{low}")
+        and (high is None or sk <= f"DATE#{high}")
+    }
+    found = metrics_log.metrics_lookup(spark, folder, category, low, high)
+    assert {tuple(r) for r in found.select("pk", "sk", "order_count").collect()} == wanted
+
+
+def test_a_lookup_opens_few_files_of_a_snapshot(spark, folder):
+    _log_of(spark, folder)
+    snapshot = metrics_log._folder(folder, "snapshot", 5)
+    assert len(list(Path(snapshot).glob("part-*"))) == 8
+    found = metrics_log.metrics_lookup(spark, folder, "c07", "2026-01-05", "2026-01-09")
+    opened = [f for f in found.inputFiles() if "kind=snapshot" in f]
+    assert len(opened) == 1
+    assert "PushedFilters: [IsNotNull(pk), IsNotNull(sk), EqualTo(pk,CATEGORY#c07)" in (
+        found._jdf.queryExecution().executedPlan().toString()
+    )
+    # Rows of a file are in order, so its pages prune, too.
+    keys = [tuple(r) for r in spark.read.parquet(opened[0]).select("pk", "sk").collect()]
+    assert keys == sorted(keys)
+    # A snapshot without notes of its files is read whole.
+    for note in Path(snapshot, "_bounds").iterdir():
+        note.unlink()
+    whole = metrics_log.metrics_lookup(spark, folder, "c07", "2026-01-05", "2026-01-09")
+    assert len([f for f in whole.inputFiles() if "kind=snapshot" in f]) == 8
+    assert sorted(whole.collect()) == sorted(found.collect())
