@@ -37,6 +37,7 @@ from orderflow.sources.processed import (  # noqa: E402
     write_processed,
 )
 from orderflow.sources.raw_zone import read_raw  # noqa: E402
+from orderflow.sources.segments import read_segments  # noqa: E402
 from orderflow.sources.stream import read_order_stream  # noqa: E402
 from orderflow.streaming import sinks  # noqa: E402
 from orderflow.streaming.expiry import expire_raw  # noqa: E402
@@ -48,7 +49,7 @@ from orderflow.streaming.metrics_log import (  # noqa: E402
 )
 from orderflow.streaming.pipeline import LivePaths, read_counts, start_fan_out  # noqa: E402
 from orderflow.streaming.retry import read_attempts, retry_failed  # noqa: E402
-from orderflow.streaming.runs import finish, start  # noqa: E402
+from orderflow.streaming.runs import drain, finish, start  # noqa: E402
 
 try:  # The training-data operators are an optional part of the package.
     import corpus_pipeline  # noqa: E402
@@ -328,6 +329,24 @@ def rt_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+def rt_latest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that come after the stream was started behind those there were."""
+    folder = shared_dir(spark, "segments")
+    records = fixtures.envelopes(spark, sf_dir)
+    early = F.col("sequence_number").cast("bigint") % 2 == 0
+    # Eight batches or so, at any size.
+    bound = 1 + records.where(~early).count() // 8
+    for number, wave in enumerate((early, ~early)):
+        fixtures.stage(records.where(wave), f"{folder}/staged-{number}")
+        fixtures.move_files(
+            spark, f"{folder}/staged-{number}", f"{folder}/segments", prefix=f"{number:05d}-"
+        )
+        stream = read_segments(spark, f"{folder}/segments", bound)
+        writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
+        drain(writer, f"{folder}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
 def rt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, _ = decode.decode_orders(fixtures.envelopes(spark, sf_dir))
     return orders.select(*_decoded_columns())
@@ -527,6 +546,7 @@ _QUERIES: dict[str, Query] = {
     "raw_expiry": raw_expiry,
     "rt_stream_ingest": rt_stream_ingest,
     "rt_late_files": rt_late_files,
+    "rt_latest_records": rt_latest_records,
     "rt_fan_out": rt_fan_out,
     "rt_decode": rt_decode,
     "rt_quarantine": rt_quarantine,

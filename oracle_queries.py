@@ -234,6 +234,7 @@ WHERE landing_day < CAST((SELECT MAX(landing_day) FROM landed) - INTERVAL '7' DA
 GROUP BY landing_day""",
     "rt_stream_ingest": ENVELOPES,
     "rt_late_files": ENVELOPES,
+    "rt_latest_records": f"{ENVELOPES} WHERE event_id % 2 = 1",
     "rt_decode": _decoded("", "reason IS NULL"),
     "rt_quarantine": f"""WITH {PAYLOADS} SELECT CAST(event_id AS VARCHAR) AS record_id, reason,
  CASE WHEN event_id % 19 = 0 THEN '@@@' ELSE payload END AS raw

@@ -194,13 +194,15 @@ def stage(records: DataFrame, path: str, batches: int = 4) -> int:
     return -(-len(files) // batches)
 
 
-def move_files(spark: SparkSession, source: str, target: str, days_ago: int) -> None:
+def move_files(
+    spark: SparkSession, source: str, target: str, days_ago: int = 0, prefix: str = ""
+) -> None:
     """Move staged files into a stream's folder, as if written some days ago."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(target))
     now = spark._jvm.java.lang.System.currentTimeMillis()
     for status in files.globStatus(path(f"{source}/part-*")):
-        place = path(target, status.getPath().getName())
+        place = path(target, prefix + status.getPath().getName())
         files.rename(status.getPath(), place)
         files.setTimes(place, now - days_ago * 86_400_000, -1)

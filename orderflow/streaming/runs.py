@@ -23,6 +23,19 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> Str
     return writer.trigger(processingTime=f"{MICRO_BATCH_SECONDS} seconds").start()
 
 
+def drain(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Run over all there is, in as many batches as the source makes of it, and stop.
+
+    For sources that bound a batch by records; those of files can end by themselves.
+    """
+    writer = writer.option("checkpointLocation", checkpoint)
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def refuse_foreign(spark: SparkSession, output: str, checkpoint: str) -> None:
     """Raise if ``output`` was written by a stream with another checkpoint.
 
