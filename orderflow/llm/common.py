@@ -55,6 +55,17 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """These names, longer by underscores where the frame has a column of that name."""
+    taken, free = {name.lower() for name in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text has this remainder; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == remainder

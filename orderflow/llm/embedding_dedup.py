@@ -91,6 +91,9 @@ def _forest(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _pack(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("id")
     vectors = np.stack(group["vector"].to_numpy()).astype(np.float64)
+    # By powers of two, which changes no cosine: squares then neither overflow nor vanish.
+    _, exponents = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    vectors = np.ldexp(vectors, -exponents)
     return pd.DataFrame(
         {
             "tile": [group["tile"].iat[0]],

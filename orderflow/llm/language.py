@@ -245,6 +245,8 @@ def fit(
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), all other columns kept.
 
+    Columns of ``docs`` with these two names give way to the new ones.
+
     A text that is null, empty or without a letter is ``und`` with score 0, as is
     every text if nothing was learned.  One of which nothing is known has score 0 too.
     """

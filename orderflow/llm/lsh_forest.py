@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import mix, saved, text_blocks, texts
+from orderflow.llm.common import free_names, mix, saved, text_blocks, texts
 from orderflow.llm.components import connected, nearby
 from orderflow.llm.shingles import shingle_hashes, shingle_set, shingle_sets
 
@@ -340,11 +340,14 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group, with all columns; of repeated rows one stays as well."""
+    """One document of each group, with all columns, whatever their names; of repeated rows
+    one stays as well."""
     found = near_duplicates(docs, **settings)
-    gone = found.where("not kept").select("doc_id", "hash").distinct()
-    key = F.xxhash64(F.col("text").cast("string"))
-    marked = docs.withColumn("_hash", key)
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("hash").alias("_text"))
-    on = (F.col("doc_id") == F.col("_gone")) & (F.col("_hash") == F.col("_text"))
-    return marked.join(gone, on, "left_anti").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    own, gone_id, gone_hash = free_names(docs, "_hash", "_gone", "_text")
+    gone = found.where("not kept").select(
+        F.col("doc_id").alias(gone_id), F.col("hash").alias(gone_hash)
+    )
+    marked = docs.withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    on = (F.col("doc_id") == F.col(gone_id)) & (F.col(own) == F.col(gone_hash))
+    rest = marked.join(gone.distinct(), on, "left_anti")
+    return rest.dropDuplicates(["doc_id", own]).drop(own)

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import BLOCK_BYTES, mix, saved, text_blocks
+from orderflow.llm.common import BLOCK_BYTES, free_names, mix, saved, text_blocks
 from orderflow.llm.suffix_array import common_prefixes, suffix_order
 
 LENGTH = 100
@@ -358,7 +358,7 @@ def _without(whole_characters: bool, names: list[str]):
             for rows, data, bounds in text_blocks([batch]):
                 whole = data.tobytes()
                 kept, spans = [], []
-                for k, ranges in enumerate(rows.column("_ranges")):
+                for k, ranges in enumerate(rows.columns[-1]):
                     text = whole[bounds[k] : bounds[k + 1]]
                     runs = removed_spans(len(text), ranges.as_py())
                     if whole_characters:
@@ -392,23 +392,25 @@ def _characters(text: bytes, begin: int, end: int) -> tuple[int, int]:
 def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame:
     """``docs`` with ``n_bytes``, ``removed`` (spans of bytes) and ``kept`` (the rest).
 
-    All columns stay; ``docs`` must not have these three.  With
-    ``whole_characters`` a character is removed only if all its bytes are.  Null
+    All other columns stay, whatever their names; columns of ``docs`` with these three
+    names give way to the new ones.  With ``whole_characters`` a character is removed only if all its bytes are.  Null
     texts are empty; texts shorter than ``LENGTH`` lose nothing.  A null id is a
     document before all others.  Rows with equal ids are one document, in which
     strings at equal starts are not earlier than one another: repeated rows have
     equal results.
     """
+    docs = docs.drop("n_bytes", "removed", "kept")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = _key()
     source = docs.select(*key, text.alias("text"))
     ranges = repeated_strings(source.where(F.octet_length("text") >= LENGTH))
+    own = free_names(docs, "_id", "_hash", "_ranges")
     ranges = saved(ranges, "ranges").select(
-        F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("ranges").alias("_ranges")
+        *[F.col(c).alias(name) for c, name in zip(("id", "hash", "ranges"), own, strict=True)]
     )
-    keyed = docs.withColumns({"_id": key[0], "_hash": key[1]})
-    joined = keyed.join(ranges, ["_id", "_hash"], "left")
-    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), "_ranges")
+    keyed = docs.withColumns({own[0]: key[0], own[1]: key[1]})
+    joined = keyed.join(ranges, own[:2], "left")
+    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), own[2])
     spans = F.lit(None).cast("array<struct<begin:int,end:int>>")
     schema = docs.withColumns(
         {"n_bytes": F.lit(None).cast("bigint"), "removed": spans, "kept": F.lit(b"")}

@@ -82,3 +82,12 @@ def test_the_bound_holds(seed, dim, spread):
     found = {(int(a), int(b)) for i, j in embedding_dedup.tile_links(one, two, 0.95)
              for a, b in zip(i, j, strict=True)}
     assert found == {(a, b) for a in range(7) for b in range(7) if exact[a, b] >= 0.95}
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 3e307, 5e-324])
+def test_vectors_of_any_size(spark, size):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [2.0, 4.0, 6.1]), (3, [-1.0, 2.0, 0.0])]
+    rows += [(4, [size, 2 * size, 3 * size])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(frame).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1)}

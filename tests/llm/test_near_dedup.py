@@ -113,3 +113,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     found = connected(spark.createDataFrame(edges, "a bigint, b bigint"))
     got = {r["id"]: r["component"] for r in found.collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+def test_columns_with_clashing_names(documents):
+    docs = documents((1, words(0, 30)), (2, words(0, 30)), (3, words(50, 30)))
+    odd = docs.selectExpr("*", "'a' AS _hash", "'b' AS _gone", "'c' AS _text", "'d' AS kept", "'e' AS component_id")
+    rows = lsh_forest.keep_first(odd).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1, 3]
+    assert {(r["_hash"], r["_gone"], r["_text"], r["kept"], r["component_id"]) for r in rows} == {tuple("abcde")}

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from orderflow.llm import quality
-from orderflow.llm.common import in_fold
+from orderflow.llm.common import in_fold, table
 from tests.llm.conftest import DOCUMENTS
 
 
@@ -84,3 +85,16 @@ def test_nulls_repeats_long_texts_and_empty_tables(spark, documents, labelled):
     none = labels.where("false")
     assert {r["score"] for r in quality.score_documents(docs, none, held).collect()} == {0.5}
     assert quality.score_documents(spark.createDataFrame([], DOCUMENTS), labels, held).count() == 0
+
+
+def test_scores_order_held_out_documents(spark):
+    """By the share of pairs in the right order: a constant score has one half."""
+    sf_dir = "/root/testdata/sf0.01"
+    scored = registry.queries()["op4_quality"](spark, sf_dir).toPandas()
+    held = scored[scored["held_out"]].merge(table(spark, sf_dir, "labels").toPandas(), on="doc_id")
+    good, bad = (held[held["quality"] == k]["score"].to_numpy() for k in (1, 0))
+    assert len(good) > 20 and len(bad) > 5
+    right = (good[:, None] > bad[None, :]).mean() + (good[:, None] == bad[None, :]).mean() / 2
+    assert right >= 0.95
+    share = max((held["quality"] == k).mean() for k in (0, 1))
+    assert (held["predicted"] == held["quality"]).mean() > share

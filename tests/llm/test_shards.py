@@ -61,3 +61,20 @@ def test_a_vector_goes_where_it_fits_best():
         shards._WEIGHTS = weights
     sums = np.array([vectors[bins == k].sum(axis=0) for k in range(2)])
     assert (sums == 5).all()
+
+
+def test_packing_agrees_with_a_plain_packer():
+    """Each vector where the weighted dot product with what is left is highest, the first of these."""
+    rng = np.random.default_rng(8)
+    for bins in (1, 3, 7):
+        vectors = rng.integers(0, 50, (60, 3)).astype(float)
+        totals = vectors.sum(axis=0)
+        left = [[1.0] * 3 for _ in range(bins)]
+        wanted = []
+        for vector in vectors:
+            need = [v * bins / t for v, t in zip(vector, totals, strict=True)]
+            fits = [sum(w * n * r for w, n, r in zip((4, 1, 1), need, own, strict=True)) for own in left]
+            best = max(range(bins), key=lambda b: (round(fits[b], 9), -b))
+            wanted.append(best)
+            left[best] = [r - n for r, n in zip(left[best], need, strict=True)]
+        assert shards.pack_vectors(vectors, bins).tolist() == wanted

@@ -123,3 +123,15 @@ def test_very_long_texts_go_in_pieces(monkeypatch):
     pieces = suffix_dedup.anchors(data, bounds)
     covered = lambda a: np.concatenate([np.arange(x, y + 1) for x, y in zip(a[3], a[4])])
     assert sorted(covered(whole)) == sorted(covered(pieces))
+
+
+def test_columns_with_clashing_names(spark, documents):
+    text = "abcdefghij" * 12
+    docs = documents((1, text), (2, text), (3, "short"))
+    odd = docs.selectExpr("*", "7 AS kept", "8 AS n_bytes", "9 AS removed", "'a' AS _id", "'b' AS _hash", "'c' AS _ranges")
+    found = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(odd).collect()}
+    plain = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(docs).collect()}
+    for doc_id, row in found.items():
+        for name in ("n_bytes", "removed", "kept"):
+            assert row[name] == plain[doc_id][name]
+        assert (row["_id"], row["_hash"], row["_ranges"]) == ("a", "b", "c")
