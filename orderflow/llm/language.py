@@ -13,8 +13,8 @@ single learned word or n-gram is never predicted.
 
 The model is fitted on a bounded sample, chosen by a hash of the id: about
 ``sample_docs`` labelled documents in all, but of each language at least about
-``least_docs``, or all that it has; and ``per_order`` words and n-grams of each
-order and language.  Scoring reads every whole text.
+``least_docs``, or all that it has.  All words and n-grams of the sample are kept, each
+with the languages that have shown it.  Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ from orderflow.llm.common import saved
 ORDERS = (4, 3, 2, 1)
 SAMPLE_DOCS = 20_000
 LEAST_DOCS = 1_000
-PER_ORDER = 20_000
 UNKNOWN = "und"
 # Words that a task remembers, and words of a text that are looked up at once.
 REMEMBERED = 150_000
+# Scores that it remembers, over words and languages: fewer words if languages are many.
+_CELLS = 2_000_000
 _AT_ONCE = 10_000
 
 _COUNTS = "lang string, kind int, gram string, n bigint"
@@ -77,10 +78,10 @@ class Model:
     def __init__(self, shares: dict[str, float], rows: list[tuple[str, int, str, int, int]]):
         self.languages = sorted(shares)
         place = {lang: k for k, lang in enumerate(self.languages)}
-        counts: dict[tuple[int, str], np.ndarray] = {}
+        counts: dict[tuple[int, str], list[tuple[int, int]]] = {}
         totals: dict[int, np.ndarray] = {}
         for lang, kind, gram, n, total in rows:
-            counts.setdefault((kind, gram), np.zeros(len(place)))[place[lang]] = n
+            counts.setdefault((kind, gram), []).append((place[lang], n))
             totals.setdefault(kind, np.zeros(len(place)))[place[lang]] = total
         # A language of which nothing was learned has no chance.
         learned = sum(totals.values(), np.zeros(len(place))) > 0
@@ -92,17 +93,27 @@ class Model:
         for lang, kind, _, n, total in rows:
             if kind == 0 and n > 1:
                 self.expected[place[lang]] += n / total
-        # Where each gram's log frequencies by language stand in ``rows``.
+        # What is not seen counts as half a time in the largest total, in every language.
+        self.unseen = np.zeros(1 + max(ORDERS))
+        for kind, total in totals.items():
+            self.unseen[kind] = np.log(0.5 / (total.max() + 1))
+        # By kind, each gram's row; a row's entries, from ``start`` on, are the languages that
+        # have shown it and how far their log frequencies are above the unseen one.
         self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
-        self.rows = np.zeros((len(counts), len(place)))
-        # What a language has shown of each row: 0 nothing, 1 an n-gram, 3 a word.
-        self.shown = np.zeros((len(counts), len(place)), np.uint8)
-        for row, ((kind, gram), seen) in enumerate(counts.items()):
+        for row, (kind, gram) in enumerate(counts):
             self.place[kind][gram] = row
-            # What is not seen counts as half a time in the largest total, in every language.
-            own = np.where(seen > 0, totals[kind], totals[kind].max())
-            self.rows[row] = np.log((seen + 0.5) / (own + 1))
-            self.shown[row] = (seen > 0) * (1 if kind else 3)
+        self.kind = np.array([kind for kind, _ in counts], np.int8)
+        self.start = np.concatenate(([0], np.cumsum([len(seen) for seen in counts.values()], dtype=np.int64)))
+        self.lang = np.array([k for seen in counts.values() for k, _ in seen], np.int32)
+        seen = np.array([n for seen in counts.values() for _, n in seen], float)
+        kinds = np.repeat(self.kind, np.diff(self.start))
+        own = np.array([totals[kind] for kind in sorted(totals)]).reshape(len(totals), len(place))
+        total = own[np.searchsorted(sorted(totals), kinds), self.lang] if totals else seen
+        self.gain = np.log((seen + 0.5) / (total + 1)) - self.unseen[kinds]
+
+    @property
+    def rows(self) -> _Rows:
+        return _Rows(self)
 
     def known(self, word: str) -> list[int]:
         """Rows of the word itself, or else of its longest n-grams; none if nothing is known."""
@@ -123,16 +134,24 @@ class Model:
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Mean log frequencies of each word's rows, and the most shown of them."""
         rows = [self.known(word) for word in words]
-        sizes = np.array([len(r) for r in rows])
-        out = np.zeros((len(words), len(self.languages)))
-        shown = np.zeros(out.shape, np.uint8)
+        sizes = np.array([len(r) for r in rows], np.int64)
+        shape = (len(words), len(self.languages))
+        flat = np.array([k for r in rows for k in r], np.int64)
+        if not len(flat):
+            return np.zeros(shape), np.zeros(shape, np.uint8)
+        first, count = self.start[flat], np.diff(self.start)[flat]
+        owner = np.repeat(np.repeat(np.arange(len(words)), sizes), count)
+        entry = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        cell = owner * shape[1] + self.lang[entry]
+        gain = np.bincount(cell, self.gain[entry] / sizes[owner], shape[0] * shape[1]).reshape(shape)
+        # A word's rows are of one kind: all are the word, or n-grams of one order.
         some = np.flatnonzero(sizes)
-        if len(some):
-            starts = np.cumsum(sizes[some]) - sizes[some]
-            flat = [k for r in rows for k in r]
-            out[some] = np.add.reduceat(self.rows[flat], starts) / sizes[some, None]
-            shown[some] = np.maximum.reduceat(self.shown[flat], starts)
-        return out, shown
+        kind = np.zeros(len(words), np.int8)
+        kind[some] = self.kind[flat[np.cumsum(sizes)[some] - sizes[some]]]
+        gain[some] += self.unseen[kind[some], None]
+        shown = np.zeros(shape, np.uint8)
+        shown.reshape(-1)[cell] = np.where(kind[owner] == 0, 3, 1)
+        return gain, shown
 
     def trust(self, language: int, words: int, known: int) -> float:
         """1 if as many words are known as the language's texts let expect, else the share.
@@ -145,6 +164,22 @@ class Model:
         return min(1.0, allowed / wanted) if wanted else 1.0
 
 
+class _Rows:
+    """Log frequencies of a gram in all languages, by its row."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __len__(self) -> int:
+        return len(self.model.kind)
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        model, out = self.model, np.full(len(self.model.languages), self.model.unseen[self.model.kind[row]])
+        entries = slice(model.start[row], model.start[row + 1])
+        out[model.lang[entries]] += model.gain[entries]
+        return out
+
+
 class _Places(dict):
     """Numbers words as they come; ``new`` holds those that came since it was emptied."""
 
@@ -164,6 +199,7 @@ class Scorer:
     def __init__(self, model: Model, remembered: int = REMEMBERED):
         self.model = model
         self.place = _Places()
+        remembered = min(remembered, _CELLS // (len(model.languages) or 1))
         self.scores = np.zeros((remembered + _AT_ONCE, len(model.languages)))
         self.shown = np.zeros(self.scores.shape, np.uint8)
 
@@ -205,14 +241,15 @@ class Scorer:
 def fit(
     labelled: DataFrame,
     sample_docs: int = SAMPLE_DOCS,
-    per_order: int = PER_ORDER,
+    per_order: int | None = None,
     least_docs: int = LEAST_DOCS,
 ) -> Model:
     """Learn from ``text`` and ``lang``; rows where either is null are left out.
 
     ``doc_id`` only chooses the sample, by language: a rare one keeps more of its rows,
-    up to all, so that the sample leaves no language out.  Of words and n-grams with equal counts
-    the first in code point order are kept.
+    up to all, so that the sample leaves no language out.  ``per_order`` keeps only so many
+    words and n-grams of each order and language, the most frequent, and of those with equal
+    counts the first in code point order; without it all are kept.
     """
     usable = labelled.where("text is not null and lang is not null").select(
         "doc_id", "text", "lang"
@@ -234,11 +271,14 @@ def fit(
     counts = sample.mapInPandas(_count, _COUNTS)
     counts = saved(counts.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
-    order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= per_order
-    )
-    rows = kept.join(totals, ["lang", "kind"]).select("lang", "kind", "gram", "n", "total")
+    if per_order is not None:
+        order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
+        counts = counts.withColumn("place", F.row_number().over(order)).where(
+            F.col("place") <= per_order
+        )
+    # The totals have five rows for each language; the rows are those of the bounded sample.
+    rows = counts.join(F.broadcast(totals), ["lang", "kind"])
+    rows = rows.select("lang", "kind", "gram", "n", "total")
     return Model({k: n / docs for k, n in sizes.items()}, [tuple(r) for r in rows.collect()])
 
 

@@ -156,3 +156,54 @@ def test_long_texts_in_a_language_not_learned_are_in_doubt(spark):
     # All its letters are known, its words are not.
     for text in texts("abcfg", 20):
         assert scorer.predict(text)[1] < 0.5
+
+
+def _plain_scores(rows, shares, text):
+    """The score of each language, by the definition, one word and gram after the other."""
+    languages, table, totals = sorted(shares), {}, {}
+    for lang, kind, gram, n, total in rows:
+        table.setdefault((kind, gram), {})[lang] = n
+        totals.setdefault(kind, {})[lang] = total
+    out = {lang: np.log(shares[lang]) for lang in languages}
+    for word in text.lower().split():
+        found = [(0, word)] if (0, word) in table else []
+        for order in language.ORDERS:
+            found = found or [(order, g) for g in language.grams(word, order) if (order, g) in table]
+        for lang in languages:
+            for kind, gram in found:
+                n, most = table[kind, gram].get(lang, 0), max(totals[kind].values())
+                total = totals[kind][lang] if n else most
+                out[lang] += np.log((n + 0.5) / (total + 1)) / len(found)
+    return out
+
+
+@pytest.mark.parametrize("languages", [3, 200])
+def test_scores_agree_with_a_plain_scorer(languages):
+    """Every learned word and n-gram counts, and many languages take little room."""
+    rng = random.Random(languages)
+    names = [f"l{k:03d}" for k in range(languages)]
+    rows = []
+    for lang in names:
+        for kind in (0, *language.ORDERS):
+            grams = {"".join(rng.choice("abcde") for _ in range(max(kind, 1) + (kind == 0) * 3)) for _ in range(40)}
+            seen = [(lang, kind, gram, rng.randrange(1, 9)) for gram in sorted(grams)]
+            rows += [(*row, sum(r[3] for r in seen)) for row in seen]
+    shares = {lang: 1 / languages for lang in names}
+    model = language.Model(shares, rows)
+    scorer = language.Scorer(model)
+    assert len(model.gain) == len(rows) and scorer.scores.size <= language._CELLS + 10_000 * languages
+    for _ in range(30):
+        text = " ".join("".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 6))) for _ in range(20))
+        plain = _plain_scores(rows, shares, text)
+        words = text.split()
+        mine = model.prior + model.words(words).sum(axis=0)
+        assert np.allclose(mine, [plain[lang] for lang in model.languages])
+        best = max(plain, key=plain.get)
+        assert plain[scorer.predict(text)[0]] == pytest.approx(plain[best])
+
+
+def test_every_gram_of_the_sample_is_kept(corpus):
+    model = language.fit(corpus)
+    words = {w for r in corpus.collect() for w in r["text"].lower().split()}
+    assert set(model.place[0]) == words
+    assert set(model.place[3]) == {g for w in words for g in language.grams(w, 3)}
