@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,15 @@ _CELLS = 2_000_000
 _AT_ONCE = 10_000
 
 _COUNTS = "lang string, kind int, gram string, n bigint"
+_LEARNED = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("kind", pa.int32()),
+        ("gram", pa.string()),
+        ("n", pa.int64()),
+        ("total", pa.int64()),
+    ]
+)
 _LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -75,41 +85,45 @@ class Model:
     Kind 0 is a word, others the order of an n-gram.
     """
 
-    def __init__(self, shares: dict[str, float], rows: list[tuple[str, int, str, int, int]]):
+    def __init__(self, shares: dict[str, float], rows: list[tuple] | pa.Table):
+        """``rows`` has a language, kind, gram, its count and that of all of the kind."""
+        if not isinstance(rows, pa.Table):
+            columns = zip(*rows, strict=True) if rows else [()] * len(_LEARNED)
+            rows = pa.table(
+                [pa.array(c, kind) for c, kind in zip(columns, _LEARNED.types, strict=True)],
+                schema=_LEARNED,
+            )
         self.languages = sorted(shares)
-        place = {lang: k for k, lang in enumerate(self.languages)}
-        counts: dict[tuple[int, str], list[tuple[int, int]]] = {}
-        totals: dict[int, np.ndarray] = {}
-        for lang, kind, gram, n, total in rows:
-            counts.setdefault((kind, gram), []).append((place[lang], n))
-            totals.setdefault(kind, np.zeros(len(place)))[place[lang]] = total
+        place = pa.array(self.languages, pa.string())
+        lang = pc.index_in(rows.column("lang"), place).to_numpy().astype(np.int32)
+        kind = rows.column("kind").to_numpy().astype(np.int8)
+        seen, total = (rows.column(name).to_numpy().astype(float) for name in ("n", "total"))
+        totals = np.zeros((1 + max(ORDERS), len(place)))
+        totals[kind, lang] = total
         # A language of which nothing was learned has no chance.
-        learned = sum(totals.values(), np.zeros(len(place))) > 0
-        weights = np.where(learned, [shares[lang] for lang in self.languages], 0.0)
+        weights = np.where(totals.sum(axis=0) > 0, [shares[x] for x in self.languages], 0.0)
         with np.errstate(divide="ignore"):
             self.prior = np.log(weights / (weights.sum() or 1.0))
         # Share of a new text's words that are known: of those learned, words met twice.
-        self.expected = np.zeros(len(place))
-        for lang, kind, _, n, total in rows:
-            if kind == 0 and n > 1:
-                self.expected[place[lang]] += n / total
+        twice = (kind == 0) & (seen > 1)
+        self.expected = np.bincount(lang[twice], seen[twice] / total[twice], len(place))
         # What is not seen counts as half a time in the largest total, in every language.
-        self.unseen = np.zeros(1 + max(ORDERS))
-        for kind, total in totals.items():
-            self.unseen[kind] = np.log(0.5 / (total.max() + 1))
+        self.unseen = np.log(0.5 / (totals.max(axis=1, initial=0) + 1))
         # By kind, each gram's row; a row's entries, from ``start`` on, are the languages that
         # have shown it and how far their log frequencies are above the unseen one.
+        grams = rows.column("gram").combine_chunks().dictionary_encode()
+        code = grams.indices.to_numpy().astype(np.int64)
+        key = (kind.astype(np.int64) << 32) | code
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        self.start = np.append(first, len(order))
+        self.kind, self.lang = kind[order[first]], lang[order]
+        self.gain = np.log((seen + 0.5) / (total + 1))[order] - self.unseen[kind[order]]
         self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
-        for row, (kind, gram) in enumerate(counts):
-            self.place[kind][gram] = row
-        self.kind = np.array([kind for kind, _ in counts], np.int8)
-        self.start = np.concatenate(([0], np.cumsum([len(seen) for seen in counts.values()], dtype=np.int64)))
-        self.lang = np.array([k for seen in counts.values() for k, _ in seen], np.int32)
-        seen = np.array([n for seen in counts.values() for _, n in seen], float)
-        kinds = np.repeat(self.kind, np.diff(self.start))
-        own = np.array([totals[kind] for kind in sorted(totals)]).reshape(len(totals), len(place))
-        total = own[np.searchsorted(sorted(totals), kinds), self.lang] if totals else seen
-        self.gain = np.log((seen + 0.5) / (total + 1)) - self.unseen[kinds]
+        for each, own in self.place.items():
+            mine = np.flatnonzero(self.kind == each)
+            names = grams.dictionary.take(pa.array(code[order[first[mine]]]))
+            own.update(zip(names.to_pylist(), mine.tolist(), strict=True))
 
     @property
     def rows(self) -> _Rows:
@@ -279,7 +293,8 @@ def fit(
     # The totals have five rows for each language; the rows are those of the bounded sample.
     rows = counts.join(F.broadcast(totals), ["lang", "kind"])
     rows = rows.select("lang", "kind", "gram", "n", "total")
-    return Model({k: n / docs for k, n in sizes.items()}, [tuple(r) for r in rows.collect()])
+    learned = rows.toArrow().cast(_LEARNED)
+    return Model({k: n / docs for k, n in sizes.items()}, learned)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
