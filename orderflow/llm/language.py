@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,21 +110,34 @@ class Model:
         self.expected = np.bincount(lang[twice], seen[twice] / total[twice], len(place))
         # What is not seen counts as half a time in the largest total, in every language.
         self.unseen = np.log(0.5 / (totals.max(axis=1, initial=0) + 1))
-        # By kind, each gram's row; a row's entries, from ``start`` on, are the languages that
-        # have shown it and how far their log frequencies are above the unseen one.
+        # Grams stand for themselves by kind and a hash of 64 bits, in the order of the hash.
+        # A row's entries, from ``start`` on, are the languages that have shown it and how
+        # far their log frequencies are above the unseen one.
         grams = rows.column("gram").combine_chunks().dictionary_encode()
-        code = grams.indices.to_numpy().astype(np.int64)
-        key = (kind.astype(np.int64) << 32) | code
-        order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.diff(key[order], prepend=-1))
-        self.start = np.append(first, len(order))
-        self.kind, self.lang = kind[order[first]], lang[order]
-        self.gain = np.log((seen + 0.5) / (total + 1))[order] - self.unseen[kind[order]]
-        self.place: dict[int, dict[str, int]] = {kind: {} for kind in (0, *ORDERS)}
-        for each, own in self.place.items():
-            mine = np.flatnonzero(self.kind == each)
-            names = grams.dictionary.take(pa.array(code[order[first[mine]]]))
-            own.update(zip(names.to_pylist(), mine.tolist(), strict=True))
+        hashes = _hashes(grams.dictionary.to_pylist())[grams.indices.to_numpy()]
+        order = np.lexsort((lang, hashes, kind))
+        hashes, kinds = hashes[order], kind[order]
+        new = (hashes[1:] != hashes[:-1]) | (kinds[1:] != kinds[:-1])
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(order)), bool), new)))
+        self.start = np.append(first, len(order)).astype(np.int32)
+        self.kind, self.lang = kinds[first], lang[order]
+        self.gain = (np.log((seen + 0.5) / (total + 1))[order] - self.unseen[kinds]).astype(np.float32)
+        bounds = np.searchsorted(self.kind, np.arange(2 + max(ORDERS)))
+        self.bounds, self.hashes = bounds.tolist(), hashes[first]
+
+    @property
+    def place(self) -> dict[int, _Kind]:
+        """By kind, the row of each gram."""
+        return {kind: _Kind(self, kind) for kind in (0, *ORDERS)}
+
+    def find(self, kind: int, grams: list[str]) -> np.ndarray:
+        """The rows of grams of a kind, -1 for those that were not learned."""
+        low, high = self.bounds[kind : kind + 2]
+        mine, asked = self.hashes[low:high], _hashes(grams)
+        if not len(mine):
+            return np.full(len(grams), -1)
+        spot = np.minimum(np.searchsorted(mine, asked), len(mine) - 1)
+        return np.where(mine[spot] == asked, spot + low, -1)
 
     @property
     def rows(self) -> _Rows:
@@ -131,15 +145,26 @@ class Model:
 
     def known(self, word: str) -> list[int]:
         """Rows of the word itself, or else of its longest n-grams; none if nothing is known."""
-        row = self.place[0].get(word)
-        if row is not None:
-            return [row]
+        return self.rows_of([word])[1].tolist()
+
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a word's number and a row of it, by word."""
+        row = self.find(0, words)
+        owners, rows = [np.flatnonzero(row >= 0)], [row[row >= 0]]
+        left = np.flatnonzero(row < 0)
         for order in ORDERS:
-            places = self.place[order]
-            found = [places[gram] for gram in grams(word, order) if gram in places]
-            if found:
-                return found
-        return []
+            if not len(left):
+                break
+            parts = [grams(words[k], order) for k in left.tolist()]
+            owner = np.repeat(left, [len(part) for part in parts])
+            row = self.find(order, [gram for part in parts for gram in part])
+            owner, row = owner[row >= 0], row[row >= 0]
+            owners.append(owner)
+            rows.append(row)
+            left = np.setdiff1d(left, owner, assume_unique=False)
+        owner, row = np.concatenate(owners), np.concatenate(rows)
+        by_word = np.argsort(owner, kind="stable")
+        return owner[by_word], row[by_word]
 
     def words(self, words: list[str]) -> np.ndarray:
         """Mean log frequencies of each word's rows; zeros if nothing of it is known."""
@@ -147,22 +172,20 @@ class Model:
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Mean log frequencies of each word's rows, and the most shown of them."""
-        rows = [self.known(word) for word in words]
-        sizes = np.array([len(r) for r in rows], np.int64)
         shape = (len(words), len(self.languages))
-        flat = np.array([k for r in rows for k in r], np.int64)
+        word, flat = self.rows_of(words)
         if not len(flat):
             return np.zeros(shape), np.zeros(shape, np.uint8)
+        sizes = np.bincount(word, minlength=len(words))
         first, count = self.start[flat], np.diff(self.start)[flat]
-        owner = np.repeat(np.repeat(np.arange(len(words)), sizes), count)
+        owner = np.repeat(word, count)
         entry = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
         cell = owner * shape[1] + self.lang[entry]
         gain = np.bincount(cell, self.gain[entry] / sizes[owner], shape[0] * shape[1]).reshape(shape)
         # A word's rows are of one kind: all are the word, or n-grams of one order.
-        some = np.flatnonzero(sizes)
         kind = np.zeros(len(words), np.int8)
-        kind[some] = self.kind[flat[np.cumsum(sizes)[some] - sizes[some]]]
-        gain[some] += self.unseen[kind[some], None]
+        kind[word] = self.kind[flat]
+        gain[sizes > 0] += self.unseen[kind[sizes > 0], None]
         shown = np.zeros(shape, np.uint8)
         shown.reshape(-1)[cell] = np.where(kind[owner] == 0, 3, 1)
         return gain, shown
@@ -178,6 +201,30 @@ class Model:
         return min(1.0, allowed / wanted) if wanted else 1.0
 
 
+def _hashes(grams: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(gram) for gram in grams], np.uint64)
+
+
+class _Kind:
+    """The grams of a kind and their rows."""
+
+    def __init__(self, model: Model, kind: int):
+        self.model, self.kind = model, kind
+
+    def __len__(self) -> int:
+        low, high = self.model.bounds[self.kind : self.kind + 2]
+        return high - low
+
+    def __getitem__(self, gram: str) -> int:
+        (row,) = self.model.find(self.kind, [gram]).tolist()
+        if row < 0:
+            raise KeyError(gram)
+        return row
+
+    def __contains__(self, gram: str) -> bool:
+        return self.model.find(self.kind, [gram])[0] >= 0
+
+
 class _Rows:
     """Log frequencies of a gram in all languages, by its row."""
 

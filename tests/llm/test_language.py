@@ -197,13 +197,13 @@ def test_scores_agree_with_a_plain_scorer(languages):
         plain = _plain_scores(rows, shares, text)
         words = text.split()
         mine = model.prior + model.words(words).sum(axis=0)
-        assert np.allclose(mine, [plain[lang] for lang in model.languages])
+        assert np.allclose(mine, [plain[lang] for lang in model.languages], rtol=1e-5)
         best = max(plain, key=plain.get)
-        assert plain[scorer.predict(text)[0]] == pytest.approx(plain[best])
+        assert plain[scorer.predict(text)[0]] == pytest.approx(plain[best], rel=1e-5)
 
 
 def test_every_gram_of_the_sample_is_kept(corpus):
     model = language.fit(corpus)
     words = {w for r in corpus.collect() for w in r["text"].lower().split()}
-    assert set(model.place[0]) == words
-    assert set(model.place[3]) == {g for w in words for g in language.grams(w, 3)}
+    for kind, grams in ((0, words), (3, {g for w in words for g in language.grams(w, 3)})):
+        assert len(model.place[kind]) == len(grams) and all(g in model.place[kind] for g in grams)
