@@ -264,8 +264,8 @@ class Scorer:
         self.scores = np.zeros((remembered + _AT_ONCE, len(model.languages)))
         self.shown = np.zeros(self.scores.shape, np.uint8)
 
-    def _sum(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By language: the sum of scores, words known, and those with anything known."""
+    def _look(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of up to ``_AT_ONCE`` words and what each language has shown of them."""
         place = self.place
         if len(place) > len(self.scores) - _AT_ONCE:
             place.clear()
@@ -274,29 +274,51 @@ class Scorer:
             new = slice(len(place) - len(place.new), len(place))
             self.scores[new], self.shown[new] = self.model.look_up(place.new)
             place.new.clear()
-        shown = self.shown[places]
-        known, some = np.count_nonzero(shown == 3, axis=0), np.count_nonzero(shown, axis=0)
-        return self.scores[places].sum(axis=0), known, some
+        return self.scores[places], self.shown[places]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = _LETTERS.findall(text.lower()) if text else []
-        if not words or not self.model.languages:
-            return UNKNOWN, 0.0
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Words of several short texts are looked up together, those of a long one in parts."""
+        out: list[tuple[str, float]] = []
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            words = _LETTERS.findall(text.lower()) if text else []
+            if size and size + len(words) > _AT_ONCE:
+                out += self._judge(group)
+                group, size = [], 0
+            group.append(words)
+            size += len(words)
+        return out + self._judge(group)
+
+    def _judge(self, group: list[list[str]]) -> list[tuple[str, float]]:
+        """One long list of words, or lists that have few together."""
+        out = [(UNKNOWN, 0.0)] * len(group)
+        filled = [k for k, words in enumerate(group) if words]
+        if not filled or not self.model.languages:
+            return out
+        flat = [word for k in filled for word in group[k]]
+        starts = np.cumsum([0, *(len(group[k]) for k in filled[:-1])])
+        sums = np.zeros((len(filled), len(self.model.languages)))
+        known, some = np.zeros((2, *sums.shape), int)
         # Words stay in order: sums do not depend on what was met before.
-        total = self.model.prior.copy()
-        known, some = np.zeros((2, len(total)), int)
-        for low in range(0, len(words), _AT_ONCE):
-            sums, *found = self._sum(words[low : low + _AT_ONCE])
-            total += sums
-            known += found[0]
-            some += found[1]
-        best = int(np.argmax(total))
-        if total[best] == -np.inf:
-            return UNKNOWN, 0.0
-        # The prior alone decides nothing: a language that has shown nothing of it scores 0.
-        score = 1 / np.exp(total - total[best]).sum() if some[best] else 0.0
-        trust = self.model.trust(best, len(words), int(known[best]))
-        return self.model.languages[best], float(score * trust)
+        for low in range(0, len(flat), _AT_ONCE):
+            scores, shown = self._look(flat[low : low + _AT_ONCE])
+            sums += np.add.reduceat(scores, starts, axis=0)
+            known += np.add.reduceat((shown == 3).astype(int), starts, axis=0)
+            some += np.add.reduceat((shown > 0).astype(int), starts, axis=0)
+        for row, k in enumerate(filled):
+            total = self.model.prior + sums[row]
+            best = int(np.argmax(total))
+            if total[best] == -np.inf:
+                continue
+            # The prior alone decides nothing: a language that has shown nothing of it scores 0.
+            score = 1 / np.exp(total - total[best]).sum() if some[row, best] else 0.0
+            trust = self.model.trust(best, len(group[k]), int(known[row, best]))
+            out[k] = self.model.languages[best], float(score * trust)
+        return out
 
 
 def fit(
@@ -366,7 +388,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             # Few rows at a time: only theirs are held as Python texts.
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                found = [scorer.predict(text.as_py()) for text in part.column("text")]
+                found = scorer.predict_all(part.column("text").to_pylist())
                 langs, scores = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names
