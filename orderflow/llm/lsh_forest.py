@@ -1,22 +1,23 @@
-"""Near-duplicate documents by MinHash banding, in place of an LSH forest.
+"""Near-duplicate documents by an LSH forest.
 
-Each of ``trees`` orders has a tuple of MinHash values for a document.  A region of
-an order is the documents whose tuples share a prefix of a fixed length, ``BASE``
-or ``DEEP``: they are grouped by a hash of it, nothing is sorted, and the length
-does not adapt to the region.  At Jaccard similarity s two documents share a prefix of length d in one order with chance
-s**d, so with 40 orders at depth 6 a pair at s = 0.8 is missed with a chance of
-5e-6, and a closer one far more rarely.
+Each of ``trees`` orders sorts documents by a tuple of MinHash values.  At Jaccard
+similarity s two documents share a prefix of length d in one order with chance s**d, so
+with 40 orders at depth 6 a pair at s = 0.8 is missed with a chance of 5e-6, and a closer
+one far more rarely.  Depth ``BASE`` is the floor, as shallower prefixes are never asked
+for: all six values sort as one hash, the values below it one by one.  An order is put
+into ranges and sorted, and each document has the longest prefix in common with one of its
+neighbours.  Documents whose prefixes of depth ``BASE`` are equal are a region; a region of
+more than ``FEW`` members is split at the depth, down to ``DEEP``, that leaves few.
 
-Candidates are prefix neighbours, taken in passes that never list all pairs of a
-region:
+Candidates are taken in passes that never list all pairs of a region:
 
 1. Documents with equal shingle sets become one class; only its first stays.
-2. Each member of a region is compared with the region's first member.  The links
-   found join documents to components.
+2. Each document is compared with the neighbour, over all orders, with whom it has the
+   longest prefix in common.  The links found join documents to components.
 3. In regions that still hold several components, shingles are counted that occur in
    another of their documents: only these can be common to a pair.  Members are
    compared with the one that has the largest share of them, the likeliest centre, of
-   the region and, deeper, of those with whom they share longer prefixes.
+   the region and, where it is large, of its part at the depth that it asks for.
 4. What is left at base depth, pairs of a region in different components, is compared
    one by one if set sizes and countable shingles allow a link, and if of ``BITS``
    further MinHash values, one bit of each, not so many differ that similarity enough
@@ -48,6 +49,10 @@ PERCENT = 80
 TREES = 40
 BASE = 6
 DEEP = 9
+# Members of a region that needs no greater depth.
+FEW = 16
+# Bits of each value below the base that order documents.
+_LEVEL = 63 // (DEEP - BASE)
 
 # One-bit MinHash values of documents in open regions, and standard deviations allowed.
 BITS = 2048
@@ -59,6 +64,9 @@ _SIGNED = (
 )
 # Shingles signed at once: keeps a block of values in the processor's cache.
 _AT_ONCE = 1 << 15
+_MEMBERS = (
+    "id bigint, hash bigint, n_shingles bigint, base bigint, deep bigint, depth int, near bigint"
+)
 _BIT_COLUMNS = [f"bits{k}" for k in range(BITS // 64)]
 # Shingles of confirmed pairs that a task holds.
 _KEPT = 1 << 22
@@ -105,6 +113,60 @@ def prefix_keys(signature: np.ndarray, trees: int, depth: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def branch_keys(signature: np.ndarray, trees: int) -> np.ndarray:
+    """One number for each text and order that sorts like its values below the base."""
+    values = signature.reshape(len(signature), trees, -1)[:, :, BASE:DEEP]
+    values = values.astype(np.int64) >> (32 - _LEVEL)
+    return functools.reduce(
+        lambda key, level: key << _LEVEL | values[:, :, level],
+        range(DEEP - BASE),
+        np.zeros(values.shape[:2], np.int64),
+    )
+
+
+def common_depths(base: np.ndarray, deep: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each row shares with the next; 0 for different regions."""
+    differ = deep[:-1] ^ deep[1:]
+    depth = np.full(len(differ), BASE, np.int32)
+    for level in range(DEEP - BASE):
+        depth += differ >> (_LEVEL * level) == 0
+    return np.where(base[:-1] == base[1:], depth, np.int32(0))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a sorted range, the rows that share a prefix with a neighbour, with its ``depth`` and
+    that neighbour (``near``).  The first and last row stay, as others may lie beyond."""
+
+    def look(rows: pa.RecordBatch, start: int, end: int, last: bool) -> pa.RecordBatch:
+        ids, base, deep = (rows.column(n).to_numpy() for n in ("id", "base", "deep"))
+        depths = np.concatenate(([0], common_depths(base, deep), [0])).astype(np.int32)
+        before, after = depths[:-1], depths[1:]
+        near = np.where(before >= after, np.roll(ids, 1), np.roll(ids, -1))
+        depth = np.maximum(before, after)
+        stays = depth > 0
+        stays[0] = True
+        stays[-1] |= last
+        out = pa.RecordBatch.from_arrays(
+            [*rows.columns, pa.array(depth), pa.array(near, mask=depth == 0)],
+            [*rows.schema.names, "depth", "near"],
+        )
+        return out.slice(start, end - start).filter(pa.array(stays[start:end]))
+
+    # The last row waits for the next batch, behind the one before it.
+    held, start = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if batch.num_rows > 1:
+            yield look(batch, start, batch.num_rows - 1, False)
+            start = 1
+        held = batch.slice(max(batch.num_rows - 2, 0))
+    if held is not None:
+        yield look(held, start, held.num_rows, True)
+
+
 def _sign(size: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_blocks(batches):
@@ -112,7 +174,7 @@ def _sign(size: int, trees: int):
             sets = [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
             begin = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64)
             signature = signatures(np.concatenate(sets), begin, trees * DEEP)
-            keys = [prefix_keys(signature, trees, depth) for depth in (BASE, DEEP)]
+            keys = [prefix_keys(signature, trees, BASE), branch_keys(signature, trees)]
             ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * trees)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -166,6 +228,22 @@ def _star(members: DataFrame, depth: str, best: Column) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
 
+def _deeper(members: DataFrame) -> DataFrame:
+    """Members of large regions, with ``part``: what shares a prefix of the least depth at
+    which at most ``FEW`` members do, or the greatest."""
+    large = members.groupBy("base").agg(F.count("*").alias("size")).where(F.col("size") > FEW)
+    members = members.join(large.select("base"), "base")
+    part = F.xxhash64("base", "deep")
+    for level in range(1, DEEP - BASE):
+        prefix = F.shiftright("deep", _LEVEL * level)
+        members = members.withColumn(f"prefix{level}", prefix)
+        at = ["base", f"prefix{level}"]
+        sizes = members.groupBy(*at).agg(F.count("*").alias(f"size{level}"))
+        members = members.join(sizes, at)
+        part = F.when(F.col(f"size{level}") <= FEW, F.xxhash64(*at)).otherwise(part)
+    return members.withColumn("part", part)
+
+
 def _list_shingles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_blocks(batches):
@@ -264,8 +342,10 @@ def near_duplicates(
         "n_shingles",
         F.explode(F.arrays_zip("base", "deep")).alias("key"),
     ).select("id", "hash", "n_shingles", "key.base", "key.deep")
-    shared = members.groupBy("base").agg(F.count("*").alias("size")).where("size > 1")
-    members = saved(members.join(shared.select("base"), "base"), "regions")
+    # Ranges cut large regions too: by the values below the base, then by id.
+    order = ["base", "deep", "id"]
+    members = members.repartitionByRange(*order).sortWithinPartitions(*order)
+    members = saved(members.mapInArrow(_neighbours, _MEMBERS), "regions")
     wanted = members.select("id", "hash").distinct()
     near = saved(
         source.withColumnRenamed("doc_id", "id")
@@ -283,14 +363,18 @@ def near_duplicates(
         found = both.mapInArrow(_confirm(size, percent), "a bigint, b bigint")
         return saved(found, "links", narrow=True)
 
-    links = confirmed(_star(members, "base", F.struct((-F.col("id")).alias("low"), "id")))
+    nearest = members.where("near <> id").groupBy("id")
+    nearest = nearest.agg(F.max(F.struct("depth", (-F.col("near")).alias("low"))).alias("best"))
+    other = -F.col("best.low")
+    nearest = nearest.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b"))
+    links = confirmed(nearest.distinct())
     components = saved(nearby(links), "components", narrow=True)
     open_ = _open_regions(members, components)
     open_ = saved(_with_common(open_, near, size, percent), "open", narrow=True)
     central = F.struct(
         (F.col("common") / F.col("n_shingles")).alias("share"), (-F.col("id")).alias("low"), "id"
     )
-    pairs = _star(open_, "base", central).unionByName(_star(open_, "deep", central))
+    pairs = _star(open_, "base", central).unionByName(_star(_deeper(open_), "part", central))
     links = links.unionByName(confirmed(pairs.distinct()))
     components = saved(nearby(links), "components", narrow=True)
     open_ = saved(_open_regions(open_, components), "open", narrow=True)

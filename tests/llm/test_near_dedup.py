@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderflow.llm import lsh_forest
@@ -121,3 +122,52 @@ def test_columns_with_clashing_names(documents):
     rows = lsh_forest.keep_first(odd).collect()
     assert sorted(r["doc_id"] for r in rows) == [1, 3]
     assert {(r["_hash"], r["_gone"], r["_text"], r["kept"], r["component_id"]) for r in rows} == {tuple("abcde")}
+
+
+def test_neighbours_in_a_sorted_order_are_those_with_the_longest_common_prefix():
+    rng = np.random.default_rng(5)
+    tuples = np.column_stack([rng.integers(0, 6, 200), rng.integers(0, 3, (200, 3))])
+    tuples = tuples[np.lexsort(tuples.T[::-1])]
+    level = 63 // 3
+    base, deep = tuples[:, 0], tuples[:, 1] << 2 * level | tuples[:, 2] << level | tuples[:, 3]
+    ids = rng.permutation(200)
+    columns = [ids, ids, ids, base, deep]
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in columns], ["id", "hash", "n_shingles", "base", "deep"]
+    )
+
+    def shared(a, b):
+        same = [*(tuples[a] == tuples[b]), False]
+        return 5 + same.index(False) if same[0] else 0
+
+    for cuts in ([200], [1, 1, 0, 2, 196], [1] * 200):
+        at = np.concatenate(([0], np.cumsum(cuts)))
+        batches = [rows.slice(a, n) for a, n in zip(at, cuts, strict=False)]
+        found = [r for b in lsh_forest._neighbours(iter(batches)) for r in b.to_pylist()]
+        by_id = {r["id"]: r for r in found}
+        assert len(by_id) == len(found)
+        for k in range(200):
+            # No row of the whole order shares a longer prefix than the neighbour given.
+            longest = max(shared(k, other) for other in range(200) if other != k)
+            if longest:
+                row = by_id[ids[k]]
+                place = int(np.flatnonzero(ids == row["near"])[0])
+                assert row["depth"] == longest == shared(k, place)
+            else:
+                assert ids[k] not in by_id or by_id[ids[k]]["near"] is None
+
+
+def test_a_region_is_split_at_the_depth_that_leaves_few(spark):
+    level = 63 // 3
+    # Region 1: 40 members, 10 of each first value; region 2: 40 of one first value, 4 of
+    # each second; region 3: 40 with equal values; region 4: few members.
+    rows = [(1, k, (k % 4) << 2 * level | k) for k in range(40)]
+    rows += [(2, k, (k % 10) << level | k) for k in range(40)]
+    rows += [(3, k, 7) for k in range(40)] + [(4, k, 7) for k in range(16)]
+    frame = spark.createDataFrame(rows, "base bigint, id bigint, deep bigint")
+    parts = {}
+    for r in lsh_forest._deeper(frame).collect():
+        parts.setdefault((r["base"], r["part"]), []).append(r["id"])
+    assert sorted((b, len(ids)) for (b, _), ids in parts.items()) == (
+        [(1, 10)] * 4 + [(2, 4)] * 10 + [(3, 40)]
+    )
