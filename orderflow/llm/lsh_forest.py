@@ -13,7 +13,8 @@ Candidates are taken in passes that never list all pairs of a region:
 
 1. Documents with equal shingle sets become one class; only its first stays.
 2. Each document is compared with the neighbour, over all orders, with whom it has the
-   longest prefix in common.  The links found join documents to components.
+   longest prefix in common, and with the least ids of its regions, which draw a group
+   together.  The links found join documents to components.
 3. In regions that still hold several components, shingles are counted that occur in
    another of their documents: only these can be common to a pair.  Members are
    compared with the one that has the largest share of them, the likeliest centre, of
@@ -367,7 +368,8 @@ def near_duplicates(
     nearest = nearest.agg(F.max(F.struct("depth", (-F.col("near")).alias("low"))).alias("best"))
     other = -F.col("best.low")
     nearest = nearest.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b"))
-    links = confirmed(nearest.distinct())
+    heads = _star(members, "base", F.struct((-F.col("id")).alias("low"), "id"))
+    links = confirmed(nearest.unionByName(heads).distinct())
     components = saved(nearby(links), "components", narrow=True)
     open_ = _open_regions(members, components)
     open_ = saved(_with_common(open_, near, size, percent), "open", narrow=True)
