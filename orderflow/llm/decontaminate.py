@@ -8,6 +8,9 @@ by size (powers of two); each has its own sketch length, its own bound on the
 hash values worth looking up and its own least document size.  A document that
 meets a sketch is then verified on the full shingle sets.
 
+An item with fewer words than a shingle is one shingle of all its words, and is searched
+among the documents' shingles of that many words; only lengths that occur are searched.
+
 Items are held in blocks of at most ``block_shingles`` shingles, which bounds
 what is sent to the executors; every block is searched in all documents.
 """
@@ -23,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import saved, text_blocks, texts
-from orderflow.llm.shingles import shingle_hashes, shingle_sets
+from orderflow.llm.shingles import shingle_hashes, shingle_set, shingle_sets, word_hashes
 
 SHINGLE = 5
 SHARE_PERCENT = 80
 BLOCK_SHINGLES = 1 << 20
 
-_ITEM = "item_id bigint, n_shingles bigint, shingles binary"
+_ITEM = "item_id bigint, size int, n_shingles bigint, shingles binary"
 _FOUND = (
     "doc_id bigint, hash bigint, item_id bigint, n_shingles bigint, n_common bigint"
 )
@@ -66,28 +69,52 @@ def size_partitions(sets: list[np.ndarray], percent: int) -> list[Partition]:
     return out
 
 
+@dataclass
+class Search:
+    """Items whose shingles have one number of words: their partitions and shingle sets."""
+
+    size: int
+    ids: list[int]
+    sets: list[np.ndarray]
+    partitions: list[Partition]
+
+
+def searches(items: list[tuple[int, int, np.ndarray]], percent: int) -> list[Search]:
+    """One search for each shingle size of (id, size, shingle set) items."""
+    out = []
+    for size in sorted({size for _, size, _ in items}):
+        ids = [item for item, own, _ in items if own == size]
+        sets = [shingles for _, own, shingles in items if own == size]
+        out.append(Search(size, ids, sets, size_partitions(sets, percent)))
+    return out
+
+
 def _items(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_blocks(batches):
             sets = shingle_sets(data, bounds, size)
+            counts = np.diff(word_hashes(data, bounds)[1])
+            for k in np.flatnonzero((counts > 0) & (counts < size)):
+                sets[k] = shingle_set(data[bounds[k] : bounds[k + 1]].tobytes(), int(counts[k]))
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("item_id"),
+                    pa.array(np.minimum(counts, size), pa.int32()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
-                ["item_id", "n_shingles", "shingles"],
+                ["item_id", "size", "n_shingles", "shingles"],
             )
 
     return run
 
 
-def _contained(rows, data, bounds, partitions, sets, size, percent):
-    """(row, item, common shingles) for each text that holds an item of the block."""
-    hashes, begin = shingle_hashes(data, bounds, size)
-    counts = np.diff(begin)
+def _contained(data: np.ndarray, bounds: np.ndarray, search: Search, percent: int):
+    """(text, item, common shingles) for each text that holds an item of the search."""
+    hashes, begin = shingle_hashes(data, bounds, search.size)
+    counts, sets = np.diff(begin), search.sets
     meets: set[tuple[int, int]] = set()
-    for part in partitions:
+    for part in search.partitions:
         near = np.flatnonzero(hashes <= part.largest_key)
         left = np.searchsorted(part.keys, hashes[near], "left")
         hit = np.flatnonzero(part.keys[left] == hashes[near])
@@ -108,16 +135,16 @@ def _contained(rows, data, bounds, partitions, sets, size, percent):
             yield doc, item, common
 
 
-def _search(shared, size: int, percent: int):
+def _search(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets = shared.value
-        partitions = size_partitions(sets, percent)
-        for block in text_blocks(batches):
-            found = list(_contained(*block, partitions, sets, size, percent))
-            key = block[0].select(["doc_id", "hash"]).take(
-                pa.array([doc for doc, _, _ in found], pa.int64())
-            )
-            numbers = [(ids[item], len(sets[item]), common) for _, item, common in found]
+        parts = searches(shared.value, percent)
+        for rows, data, bounds in text_blocks(batches):
+            docs, numbers = [], []
+            for search in parts:
+                for doc, item, common in _contained(data, bounds, search, percent):
+                    docs.append(doc)
+                    numbers.append((search.ids[item], len(search.sets[item]), common))
+            key = rows.select(["doc_id", "hash"]).take(pa.array(docs, pa.int64()))
             columns = [pa.array([row[k] for row in numbers], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [*key.columns, *columns], ["doc_id", "hash", "item_id", "n_shingles", "n_common"]
@@ -126,20 +153,20 @@ def _search(shared, size: int, percent: int):
     return run
 
 
-def _drop(shared, size: int, percent: int):
+def _drop(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, sets = shared.value
-        partitions = size_partitions(sets, percent)
-        for block in text_blocks(batches):
-            clean = np.ones(block[0].num_rows, bool)
-            clean[[doc for doc, _, _ in _contained(*block, partitions, sets, size, percent)]] = False
-            yield block[0].filter(pa.array(clean))
+        parts = searches(shared.value, percent)
+        for rows, data, bounds in text_blocks(batches):
+            clean = np.ones(rows.num_rows, bool)
+            for search in parts:
+                clean[[doc for doc, _, _ in _contained(data, bounds, search, percent)]] = False
+            yield rows.filter(pa.array(clean))
 
     return run
 
 
 def _blocks(spark, items: DataFrame, size: int, block_shingles: int):
-    """The items that have shingles, in broadcast blocks: their ids and shingle sets."""
+    """The items that have shingles, in broadcast blocks: ids, words in a shingle, shingle sets."""
     sketched = saved(
         items.select(
             F.col("item_id").cast("bigint").alias("item_id"),
@@ -154,10 +181,11 @@ def _blocks(spark, items: DataFrame, size: int, block_shingles: int):
     for block in range(blocks):
         # Blocks split by hash; the sizes even out, as an item is far smaller than a block.
         part = sketched.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == block)
-        rows = part.select("item_id", "shingles").collect()
+        rows = part.select("item_id", "size", "shingles").collect()
         if rows:
-            held = [np.frombuffer(row["shingles"], np.uint64) for row in rows]
-            yield spark.sparkContext.broadcast(([row["item_id"] for row in rows], held))
+            yield spark.sparkContext.broadcast(
+                [(item, own, np.frombuffer(held, np.uint64)) for item, own, held in rows]
+            )
 
 
 def find_contained(
@@ -172,14 +200,14 @@ def find_contained(
     Returns ``doc_id``, ``hash`` (of the text), ``item_id``, ``n_shingles`` (of
     the item) and ``n_common``; repeated rows give repeated pairs.  Null and
     empty items and texts, and items without words, match nothing.  An item with
-    fewer words than a shingle matches only documents of just those words.  Null
-    ids are kept; other columns are ignored.
+    fewer words than a shingle is found wherever just those words follow one another.
+    Null ids are kept; other columns are ignored.
     """
     spark = docs.sparkSession
     sources = texts(docs).where("length(text) > 0")
     found = spark.createDataFrame([], _FOUND)
     for shared in _blocks(spark, items, size, block_shingles):
-        found = found.unionByName(sources.mapInArrow(_search(shared, size, percent), _FOUND))
+        found = found.unionByName(sources.mapInArrow(_search(shared, percent), _FOUND))
     return found
 
 
@@ -195,5 +223,5 @@ def decontaminate(
     Repeated rows go or stay together; null and empty texts stay.
     """
     for shared in _blocks(docs.sparkSession, items, size, block_shingles):
-        docs = docs.mapInArrow(_drop(shared, size, percent), docs.schema)
+        docs = docs.mapInArrow(_drop(shared, percent), docs.schema)
     return docs

@@ -81,6 +81,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.nda
     return [np.unique(hashes[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    data = np.frombuffer((text or "").encode(), np.uint8)
+def shingle_set(text: str | bytes | None, size: int) -> np.ndarray:
+    text = text or b""
+    data = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
     return shingle_sets(data, np.array([0, len(data)]), size)[0]

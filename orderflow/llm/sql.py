@@ -22,8 +22,20 @@ def _shingles(name: str, table: str, key: str, size: int) -> str:
 
 
 OP2 = f"""
-WITH {_shingles("doc", "documents", "doc_id", 5)},
-{_shingles("item", "benchmark", "item_id", 5)}
+WITH {_shingles("item", "benchmark", "item_id", 5)},
+lengths AS (SELECT DISTINCT least(len(words), 5) AS size FROM item_words WHERE len(words) > 0),
+doc_words AS (
+    SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents WHERE doc_id IS NOT NULL
+),
+doc AS (
+    SELECT DISTINCT id, array_to_string(words[k : k + size - 1], ' ') AS shingle
+    FROM (
+        SELECT id, size, words, unnest(range(1, len(words) - size + 2)) AS k
+        FROM doc_words, lengths WHERE len(words) >= size
+    )
+)
 SELECT doc.id AS doc_id, item.id AS item_id, item_sizes.n AS n_shingles, count(*) AS n_common
 FROM doc
 JOIN item USING (shingle)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from orderflow.llm import decontaminate
+import duckdb
+
+from orderflow.llm import decontaminate, sql
 from orderflow.llm.shingles import shingle_set
 from tests.llm.conftest import DOCUMENTS, words
 
@@ -55,3 +57,26 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, documents):
     assert decontaminate.find_contained(docs, none).count() == 0
     assert decontaminate.decontaminate(docs, none).count() == 4
     assert decontaminate.find_contained(spark.createDataFrame([], DOCUMENTS), items).count() == 0
+
+
+def test_items_shorter_than_a_shingle_are_found_inside_longer_texts(spark, documents):
+    items = [(1, "Capital of France  Paris"), (2, "lone"), (3, "two words"), (4, words(0, 5)),
+             (5, ""), (6, None), (7, "lone lone")]
+    docs = [(1, "The capital of\tfrance paris " + words(0, 300)), (2, "capital of france"),
+            (3, "a LONE item"), (4, "words two"), (5, "two words"), (6, None), (7, ""),
+            (8, "lone, lone"), (9, words(40, 3) + " two\nWORDS " + words(50, 3)),
+            (10, "x lone lone lone")]
+    found = decontaminate.find_contained(documents(*docs), _items(spark, *items)).drop("hash")
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == [
+        (1, 1, 1, 1), (1, 4, 1, 1), (3, 2, 1, 1), (5, 3, 1, 1), (8, 2, 1, 1), (9, 3, 1, 1),
+        (10, 2, 1, 1), (10, 7, 1, 1),
+    ]
+    base = duckdb.connect()
+    base.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    base.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert sorted(base.execute(sql.OP2).fetchall()) == got
+    clean = decontaminate.decontaminate(documents(*docs), _items(spark, *items))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 4, 6, 7]
