@@ -6,8 +6,9 @@ with 40 orders at depth 6 a pair at s = 0.8 is missed with a chance of 5e-6, and
 one far more rarely.  Depth ``BASE`` is the floor, as shallower prefixes are never asked
 for: all six values sort as one hash, the values below it one by one.  An order is put
 into ranges and sorted, and each document has the longest prefix in common with one of its
-neighbours.  Documents whose prefixes of depth ``BASE`` are equal are a region; a region of
-more than ``FEW`` members is split at the depth, down to ``DEEP``, that leaves few.
+neighbours.  Documents whose prefixes of depth ``BASE`` are equal are a region; one of more
+than ``FEW`` members is split at the least depth, down to ``DEEP``, that leaves so few, as the
+sorted order shows it; the end of a range may hide some.
 
 Candidates are taken in passes that never list all pairs of a region:
 
@@ -66,7 +67,7 @@ _SIGNED = (
 # Shingles signed at once: keeps a block of values in the processor's cache.
 _AT_ONCE = 1 << 15
 _MEMBERS = (
-    "id bigint, hash bigint, n_shingles bigint, base bigint, deep bigint, depth int, near bigint"
+    "id bigint, hash bigint, n_shingles bigint, base bigint, part bigint, depth int, near bigint"
 )
 _BIT_COLUMNS = [f"bits{k}" for k in range(BITS // 64)]
 # Shingles of confirmed pairs that a task holds.
@@ -125,18 +126,34 @@ def branch_keys(signature: np.ndarray, trees: int) -> np.ndarray:
     )
 
 
-def common_depths(base: np.ndarray, deep: np.ndarray) -> np.ndarray:
-    """Length of the prefix that each row shares with the next; 0 for different regions."""
-    differ = deep[:-1] ^ deep[1:]
+def common_depths(base: np.ndarray, deep: np.ndarray, apart: int = 1) -> np.ndarray:
+    """Length of the prefix that each row shares with the one so far on; 0 if its region ends
+    before."""
+    differ = deep[:-apart] ^ deep[apart:]
     depth = np.full(len(differ), BASE, np.int32)
     for level in range(DEEP - BASE):
         depth += differ >> (_LEVEL * level) == 0
-    return np.where(base[:-1] == base[1:], depth, np.int32(0))
+    return np.where(base[:-apart] == base[apart:], depth, np.int32(0))
+
+
+def _parts(base: np.ndarray, deep: np.ndarray) -> pa.Array:
+    """A key of each row's prefix at the least depth that at most ``FEW`` rows share with it,
+    or the greatest depth; null where that is the whole region."""
+    # Depths to which some run of FEW + 1 rows that holds this row is alike.
+    alike = np.zeros(len(base) + FEW, np.int32)
+    if len(base) > FEW:
+        alike[FEW : len(base)] = common_depths(base, deep, FEW)
+    alike = np.lib.stride_tricks.sliding_window_view(alike, FEW + 1).max(axis=1)
+    depth = np.minimum(alike + 1, DEEP)
+    prefix = (deep >> (_LEVEL * (DEEP - np.maximum(depth, BASE)))).astype(np.uint64)
+    key = mix(mix(base.view(np.uint64)) + prefix * np.uint64(DEEP) + depth.astype(np.uint64))
+    return pa.array(key.view(np.int64), mask=alike < BASE)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a sorted range, the rows that share a prefix with a neighbour, with its ``depth`` and
-    that neighbour (``near``).  The first and last row stay, as others may lie beyond."""
+    """Of a sorted range, the rows that share a prefix with a neighbour, with its ``depth``,
+    that neighbour (``near``) and the ``part`` of a large region that they are in.  The first
+    and last row stay, as others may lie beyond."""
 
     def look(rows: pa.RecordBatch, start: int, end: int, last: bool) -> pa.RecordBatch:
         ids, base, deep = (rows.column(n).to_numpy() for n in ("id", "base", "deep"))
@@ -147,23 +164,26 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stays = depth > 0
         stays[0] = True
         stays[-1] |= last
+        kept = rows.select(["id", "hash", "n_shingles", "base"])
         out = pa.RecordBatch.from_arrays(
-            [*rows.columns, pa.array(depth), pa.array(near, mask=depth == 0)],
-            [*rows.schema.names, "depth", "near"],
+            [*kept.columns, _parts(base, deep), pa.array(depth), pa.array(near, mask=depth == 0)],
+            [*kept.schema.names, "part", "depth", "near"],
         )
         return out.slice(start, end - start).filter(pa.array(stays[start:end]))
 
-    # The last row waits for the next batch, behind the one before it.
+    # The last rows wait for the next batch, with as many before them.
     held, start = None, 0
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if batch.num_rows > 1:
-            yield look(batch, start, batch.num_rows - 1, False)
-            start = 1
-        held = batch.slice(max(batch.num_rows - 2, 0))
+        end = batch.num_rows - FEW
+        if end > start:
+            yield look(batch, start, end, False)
+            low = max(end - FEW, 0)
+            batch, start = batch.slice(low), end - low
+        held = batch
     if held is not None:
         yield look(held, start, held.num_rows, True)
 
@@ -229,22 +249,6 @@ def _star(members: DataFrame, depth: str, best: Column) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
 
-def _deeper(members: DataFrame) -> DataFrame:
-    """Members of large regions, with ``part``: what shares a prefix of the least depth at
-    which at most ``FEW`` members do, or the greatest."""
-    large = members.groupBy("base").agg(F.count("*").alias("size")).where(F.col("size") > FEW)
-    members = members.join(large.select("base"), "base")
-    part = F.xxhash64("base", "deep")
-    for level in range(1, DEEP - BASE):
-        prefix = F.shiftright("deep", _LEVEL * level)
-        members = members.withColumn(f"prefix{level}", prefix)
-        at = ["base", f"prefix{level}"]
-        sizes = members.groupBy(*at).agg(F.count("*").alias(f"size{level}"))
-        members = members.join(sizes, at)
-        part = F.when(F.col(f"size{level}") <= FEW, F.xxhash64(*at)).otherwise(part)
-    return members.withColumn("part", part)
-
-
 def _list_shingles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_blocks(batches):
@@ -376,7 +380,7 @@ def near_duplicates(
     central = F.struct(
         (F.col("common") / F.col("n_shingles")).alias("share"), (-F.col("id")).alias("low"), "id"
     )
-    pairs = _star(open_, "base", central).unionByName(_star(_deeper(open_), "part", central))
+    pairs = _star(open_, "base", central).unionByName(_star(open_.where("part is not null"), "part", central))
     links = links.unionByName(confirmed(pairs.distinct()))
     components = saved(nearby(links), "components", narrow=True)
     open_ = saved(_open_regions(open_, components), "open", narrow=True)

@@ -157,17 +157,24 @@ def test_neighbours_in_a_sorted_order_are_those_with_the_longest_common_prefix()
                 assert ids[k] not in by_id or by_id[ids[k]]["near"] is None
 
 
-def test_a_region_is_split_at_the_depth_that_leaves_few(spark):
+def test_a_region_is_split_at_the_depth_that_leaves_few():
     level = 63 // 3
     # Region 1: 40 members, 10 of each first value; region 2: 40 of one first value, 4 of
     # each second; region 3: 40 with equal values; region 4: few members.
-    rows = [(1, k, (k % 4) << 2 * level | k) for k in range(40)]
-    rows += [(2, k, (k % 10) << level | k) for k in range(40)]
-    rows += [(3, k, 7) for k in range(40)] + [(4, k, 7) for k in range(16)]
-    frame = spark.createDataFrame(rows, "base bigint, id bigint, deep bigint")
-    parts = {}
-    for r in lsh_forest._deeper(frame).collect():
-        parts.setdefault((r["base"], r["part"]), []).append(r["id"])
-    assert sorted((b, len(ids)) for (b, _), ids in parts.items()) == (
-        [(1, 10)] * 4 + [(2, 4)] * 10 + [(3, 40)]
-    )
+    rows = [(1, (k % 4) << 2 * level | k) for k in range(40)]
+    rows += [(2, (k % 10) << level | k) for k in range(40)]
+    rows += [(3, 7)] * 40 + [(4, 7)] * 16
+    rows = sorted((base, deep, k) for k, (base, deep) in enumerate(rows))
+    columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+    names = ["base", "deep", "id", "hash", "n_shingles"]
+    rows = pa.RecordBatch.from_arrays([*columns, columns[2], columns[2]], names)
+    for size in (136, 1, 7, 50):
+        batches = (rows.slice(k, size) for k in range(0, 136, size))
+        parts = {}
+        for batch in lsh_forest._neighbours(batches):
+            for r in batch.to_pylist():
+                parts.setdefault((r["base"], r["part"]), []).append(r["id"])
+        assert sorted((b, len(ids)) for (b, _), ids in parts.items()) == (
+            [(1, 10)] * 4 + [(2, 4)] * 10 + [(3, 40), (4, 16)]
+        )
+        assert [b for b, part in parts if part is None] == [4]
