@@ -121,3 +121,14 @@ def test_plain_texts_are_told_as_the_codec_does():
         text += b" ef gh" * int(rng.integers(0, 90)) + ("é" if rng.random() < 0.5 else "漢").encode()
         data = np.frombuffer(text, np.uint8)
         assert tf._plain(data) == bpe._is_plain(data)
+
+
+def test_fast_tokenizer_looks_for_the_special_tokens_only(library):
+    # Told of none, it stops at every character to look for the empty string.
+    encoder = tf.Encoder(PATH)
+    assert encoder.ranked.special_tokens_set == {"<|endoftext|>"}
+    rng = np.random.default_rng(8)
+    parts = np.array([" ", "  ", "\n", "\t", "a", "Zé", "'s", "'LL", "12", "#!", "\u00a0", "½", "<|end", "oftext|>"])
+    for _ in range(200):
+        text = "".join(rng.choice(parts, int(rng.integers(1, 60))))
+        assert encoder.array(text.encode()).tolist() == library(text), repr(text)
