@@ -49,6 +49,7 @@ _BYTE_VALUES = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED270B)).asty
 
 # Bits of the filter that tells which texts have no shared chunk: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
+_PLACES = ("place1", "place2")
 
 _CHUNKS = "id bigint, hash bigint, start int, end int, key binary"
 _SHARED = "array<struct<start:int,end:int,ids:binary>>"
@@ -255,10 +256,18 @@ def _encode_once(path: str):
     return run
 
 
-def _assemble(path: str):
+def _assemble(path: str, excluded=None):
+    """The ids of whole texts; with a broadcast filter, of those only that are not in it.
+
+    Asking it here spares another Python worker for each task.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         for batch in batches:
+            if excluded is not None:
+                hit = _hits(excluded.value, *(batch.column(name).to_numpy() for name in _PLACES))
+                batch = batch.filter(pa.array(~hit))
             for rows, data, bounds in text_blocks([batch]):
                 whole, out, counts = data.tobytes(), [], []
                 for k, chunks in enumerate(rows.column("chunks")):
@@ -279,13 +288,16 @@ def _assemble(path: str):
 
 
 def _filter_places() -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(k), "id", "hash"), F.lit(FILTER_BITS)) for k in (1, 2)]
+    return [
+        F.pmod(F.xxhash64(F.lit(k), "id", "hash"), F.lit(FILTER_BITS)).alias(name)
+        for k, name in enumerate(_PLACES, 1)
+    ]
 
 
-def _may_be_in(keys: DataFrame) -> Column:
-    """A condition that holds for all rows whose ``id`` and ``hash`` are in ``keys``.
+def _filter(keys: DataFrame):
+    """A Bloom filter of fixed size of the ``id`` and ``hash`` in ``keys``, broadcast.
 
-    A Bloom filter of fixed size: the more keys, the more other rows pass too.
+    The more keys, the more other rows pass too.
     """
     place = F.explode(F.array(*_filter_places())).alias("place")
     words = keys.select(place).groupBy(F.shiftright("place", 6).alias("word"))
@@ -293,11 +305,20 @@ def _may_be_in(keys: DataFrame) -> Column:
     rows = words.agg(F.bit_or(mask).alias("bits")).toArrow()
     held = np.zeros(FILTER_BITS // 64, np.int64)
     held[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    shared = keys.sparkSession.sparkContext.broadcast(held)
+    return keys.sparkSession.sparkContext.broadcast(held)
+
+
+def _hits(held: np.ndarray, *places: np.ndarray) -> np.ndarray:
+    """Whether rows may be in the filter; no row that is in it is missed."""
+    one, two = (held[p >> 6] >> (p & 63) & 1 for p in places)
+    return (one & two) == 1
+
+
+def _may_be_in(held) -> Column:
+    """A condition that holds for all rows whose ``id`` and ``hash`` are in the filter."""
 
     def run(one: pd.Series, two: pd.Series) -> pd.Series:
-        hit = [shared.value[p >> 6] >> (p & 63) & 1 for p in (one.to_numpy(), two.to_numpy())]
-        return pd.Series((hit[0] & hit[1]) == 1)
+        return pd.Series(_hits(held.value, one.to_numpy(), two.to_numpy()))
 
     return F.pandas_udf(run, "boolean")(*_filter_places())
 
@@ -324,11 +345,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     repeated = saved(repeated, "repeated")
     holders = chunks.join(repeated.select("key"), "key").select("id", "hash").distinct()
     # Only texts with a shared chunk are shuffled; the rest are encoded where they stand.
-    flagged = source.withColumn("holds", _may_be_in(holders))
-    apart = flagged.where("not holds").select(
-        "doc_id", "text", F.lit(None).cast(_SHARED).alias("chunks")
+    held = _filter(holders)
+    apart = source.select(
+        "doc_id", "text", F.lit(None).cast(_SHARED).alias("chunks"), *_filter_places()
     )
-    source = flagged.where("holds").drop("holds")
+    source = source.where(_may_be_in(held))
 
     owned = repeated.select("key", "first.*").groupBy("id", "hash")
     owned = owned.agg(F.collect_list(F.struct("start", "end", "key")).alias("chunks"))
@@ -341,7 +362,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = shared.agg(F.collect_list(F.struct("start", "end", "ids")).alias("chunks"))
     rows = source.join(shared, ["id", "hash"], "left").select("doc_id", "text", "chunks")
     return rows.mapInArrow(_assemble(path), _ENCODED).unionByName(
-        apart.mapInArrow(_assemble(path), _ENCODED)
+        apart.mapInArrow(_assemble(path, held), _ENCODED)
     )
 
 

@@ -342,12 +342,10 @@ def fit(
     if not docs:
         return Model({}, [])
     grain = 1 << 30
+    limits = [math.ceil(min(1, max(sample_docs / docs, least_docs / n)) * grain) for n in sizes.values()]
+    # As Arrow: a list of rows would be an RDD, with Python workers of its own on executors.
     limits = labelled.sparkSession.createDataFrame(
-        [
-            (lang, math.ceil(min(1, max(sample_docs / docs, least_docs / n)) * grain))
-            for lang, n in sizes.items()
-        ],
-        "lang string, limit bigint",
+        pa.table({"lang": pa.array(sizes, pa.string()), "limit": pa.array(limits, pa.int64())})
     )
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < F.col("limit")
     sample = usable.join(F.broadcast(limits), "lang").where(chosen).select("lang", "text")

@@ -97,3 +97,15 @@ def test_no_rows(spark):
 def test_other_kinds_of_tokenizers_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_texts_apart_take_one_worker_for_each_task(documents, capsys, library):
+    shared = "a passage of many words that several texts have. " * 60
+    texts = [(k, f"only here {k} " * 90 if k % 2 else f"{k} {shared}") for k in range(20)]
+    encoded = bpe.encode(documents(*texts, (20, None), (21, "")), PATH)
+    got = {r["doc_id"]: (r["n_tokens"], bytes(r["ids"])) for r in encoded.collect()}
+    assert got == {k: _expected(library, text)[:2] for k, text in [*texts, (20, None), (21, "")]}
+    encoded.explain()
+    plan = capsys.readouterr().out
+    # The last branch of the union encodes them, and asks the filter itself.
+    assert "ArrowEvalPython" in plan and "ArrowEvalPython" not in plan.rsplit("MapInArrow", 1)[1]

@@ -207,3 +207,10 @@ def test_every_gram_of_the_sample_is_kept(corpus):
     words = {w for r in corpus.collect() for w in r["text"].lower().split()}
     for kind, grams in ((0, words), (3, {g for w in words for g in language.grams(w, 3)})):
         assert len(model.place[kind]) == len(grams) and all(g in model.place[kind] for g in grams)
+
+
+def test_fitting_makes_no_rdd_of_rows(spark, documents, monkeypatch):
+    # Its workers would stay beside those of the operators.
+    docs = documents((1, "one two"), (2, "two three"))
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    assert language.fit(docs).languages == ["en"]
