@@ -62,7 +62,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's tokens, and a digest of the text that they decode to."""
     long_rows(spark)
     path = public_tokenizers.path(TOKENIZER)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    # Saved between, as a task would else need a Python worker for each of the two.
+    encoded = saved(bpe.encode(docs, path), "encoded")
+    decoded = bpe.decode(encoded, path)
     return decoded.select(
         "doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )

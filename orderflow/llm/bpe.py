@@ -353,14 +353,16 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     owned = repeated.select("key", "first.*").groupBy("id", "hash")
     owned = owned.agg(F.collect_list(F.struct("start", "end", "key")).alias("chunks"))
-    # With the columns of the last join, so that Spark can use the shuffle again.
-    owners = source.join(owned, ["id", "hash"]).select("doc_id", "text", "chunks")
+    # With the columns of the last join, so that Spark can use the shuffle again.  Both joins
+    # shuffle: after a broadcast a task would hold the filter's Python worker and the encoder's.
+    owners = source.join(owned.hint("merge"), ["id", "hash"]).select("doc_id", "text", "chunks")
     once = owners.mapInArrow(_encode_once(path), "key binary, ids binary")
     # A repeated owner row encodes its chunks again.
     once = once.groupBy("key").agg(F.min("ids").alias("ids"))
     shared = chunks.join(once, "key").groupBy("id", "hash")
     shared = shared.agg(F.collect_list(F.struct("start", "end", "ids")).alias("chunks"))
-    rows = source.join(shared, ["id", "hash"], "left").select("doc_id", "text", "chunks")
+    rows = source.join(shared.hint("merge"), ["id", "hash"], "left")
+    rows = rows.select("doc_id", "text", "chunks")
     return rows.mapInArrow(_assemble(path), _ENCODED).unionByName(
         apart.mapInArrow(_assemble(path, held), _ENCODED)
     )

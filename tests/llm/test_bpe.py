@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from orderflow.llm import bpe
 from tests.llm.conftest import DOCUMENTS
 
@@ -109,3 +111,31 @@ def test_texts_apart_take_one_worker_for_each_task(documents, capsys, library):
     plan = capsys.readouterr().out
     # The last branch of the union encodes them, and asks the filter itself.
     assert "ArrowEvalPython" in plan and "ArrowEvalPython" not in plan.rsplit("MapInArrow", 1)[1]
+
+
+def _python_in_a_stage(plan):
+    """The most Python evaluations one above the other without a shuffle between."""
+    most, above = 0, []
+    for line in plan.splitlines():
+        lead, name = re.match(r"([ :+-]*)(?:\*\(\d+\) )?(\w*)", line).groups()
+        while above and above[-1][0] >= len(lead):
+            above.pop()
+        count = above[-1][1] if above else 0
+        count = 0 if "Exchange" in name else count + ("InArrow" in name or "EvalPython" in name)
+        above.append((len(lead), count))
+        most = max(most, count)
+    return most
+
+
+def test_a_task_holds_one_python_worker(documents, capsys, library):
+    # Workers stay beside an executor's JVM, as many as its tasks ever held at once.
+    shared = "a passage of many words that several texts have. " * 60
+    texts = [(k, f"only here {k} " * 90 if k % 2 else f"{k} {shared}") for k in range(20)]
+    docs = documents(*texts, (20, None), (21, ""), extra=False)
+    for frame in (bpe.encode(docs, PATH), corpus_pipeline.tokenize(docs.sparkSession, docs, "")):
+        frame.explain()
+        assert _python_in_a_stage(capsys.readouterr().out) == 1
+    rows = {r["doc_id"]: (r["n_tokens"], bytes(r["ids"]), r[3]) for r in frame.collect()}
+    for k, text in [*texts, (20, None), (21, "")]:
+        n, ids, decoded = _expected(library, text)
+        assert rows[k] == (n, ids, hashlib.sha256(decoded.encode()).hexdigest())
