@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -91,3 +92,107 @@ def test_vectors_of_any_size(spark, size):
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(frame).collect()}
     assert found == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1)}
+
+
+def _crowded(seed, count=300, dim=16):
+    """Half of the rows around one centre, the rest around four; cosines on both sides of 0.95."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(5, dim))
+    rows = []
+    for k in range(count):
+        noise = rng.normal(size=dim) * rng.choice([0.05, 0.2, 0.3])
+        rows.append((k * 11 % count, (centres[max(0, k % 8 - 3)] + noise).tolist()))
+    return [*rows, *((1000 + k, rows[0][1]) for k in range(30))]
+
+
+@pytest.mark.parametrize("tile", [20, 40])
+def test_cells_agree_with_brute_force(spark, monkeypatch, tile):
+    tables = int(np.ceil(np.log(1e-7) / np.log(embedding_dedup.missed(16, 0.95, 9))))
+    monkeypatch.setattr(embedding_dedup, "cells_for", lambda *_: embedding_dedup.Cells(16, tables))
+    monkeypatch.setattr(embedding_dedup, "_ROUND", 1)  # several rounds
+    rows = _crowded(7)
+    rows += [(2000 + k, v[:9]) for k, (_, v) in enumerate(rows[:100])]
+    assert _found(spark, rows, tile=tile) == _brute(rows)
+
+
+def test_many_vectors_are_not_all_compared(monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(12_000, 32)).astype(np.float32)
+    vectors[6000:6400] = vectors[:400] + rng.normal(size=(400, 32)).astype(np.float32) * 0.33
+    cells = embedding_dedup.Cells(32, 8)
+    plan, ids = {32: cells}, rng.permutation(12_000).astype(np.int64)
+    rows = {"dim": pa.array([32] * 12_000, pa.int32()), "id": ids, "copies": np.ones(12_000, int),
+            "vector": pa.array(list(vectors), pa.list_(pa.float32()))}
+    compared = []
+    product = embedding_dedup.rounded_links
+
+    def counted(one, two, threshold):
+        compared.append(len(one.rows) * (len(one.rows) - 1) // 2)
+        return product(one, two, threshold)
+
+    monkeypatch.setattr(embedding_dedup, "rounded_links", counted)
+    placed = embedding_dedup._place(plan)(pa.table(rows).to_batches(1000))
+    runs = {32: embedding_dedup._run_of(32, cells, 12_000)}
+    sent = pa.Table.from_batches(embedding_dedup._send(plan, runs, {}, 0, 1)(placed))
+    keys = list(zip(*(sent[x].to_pylist() for x in embedding_dedup._GROUPS), strict=True))
+    links = []
+    for key in sorted(set(keys)):
+        group = sent.filter(pa.array([k == key for k in keys]))
+        links.append(embedding_dedup._compare(plan, 0.95)(tuple(map(pa.scalar, key)), group))
+    links = pa.concat_tables(links)
+    unit = vectors.astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    assert sum(compared) < 0.15 * len(unit) * (len(unit) - 1) / 2
+    near = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    expected = dict(zip(ids.tolist(), near.tolist(), strict=True))
+    found = dict.fromkeys(expected, 0)
+    place = {a: k for k, a in enumerate(ids.tolist())}
+    for a, b, n in zip(*(links[x].to_pylist() for x in ("a", "b", "links")), strict=True):
+        if n is not None:
+            found[a] += n
+        elif unit[place[a]] @ unit[place[b]] >= 0.95:  # left open by rounding
+            found[a], found[b] = found[a] + 1, found[b] + 1
+    assert found == expected and 100 < sum(found.values()) < 800
+
+
+def test_what_a_vector_is_compared_with_hardly_grows():
+    assert embedding_dedup.cells_for(embedding_dedup.WHOLE, 0.95, 64).tables == 0
+    most = 0
+    for rows in (1e6, 1e7, 1e8):
+        cells = embedding_dedup.cells_for(int(rows), 0.95, 64)
+        assert embedding_dedup.missed(cells.side, 0.95, 64) ** cells.tables <= embedding_dedup.MISSED
+        full = rows * embedding_dedup.PROBES / cells.side**2
+        assert 0 < cells.tables <= 16 and full < 4000
+        most = max(most, cells.tables * embedding_dedup.PROBES * full / rows)
+    assert most < 0.05
+
+
+@pytest.mark.parametrize("dim", [2, 8, 64])
+def test_chance_to_share_no_cell(dim):
+    rng = np.random.default_rng(dim)
+    one, noise = rng.normal(size=(2, 2000, dim))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    noise -= (noise * one).sum(axis=1)[:, None] * one
+    two = 0.95 * one + (1 - 0.95**2) ** 0.5 * noise / np.linalg.norm(noise, axis=1)[:, None]
+    missed = []
+    for directions in embedding_dedup._sets(dim, embedding_dedup.Cells(32, 40)):
+        a, b = (embedding_dedup.cells_of(*np.split(x @ directions, 2, axis=1)) for x in (one, two))
+        missed.append(1 - (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean())
+    assert np.mean(missed) <= embedding_dedup.missed(32, 0.95, dim) + 0.02
+
+
+def test_pairs_left_open_are_settled_in_double_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.6, 0.8]), (3, [0.6 - 1e-9, 0.8])]
+    rows += [(4, [-1.0, 0.0]), (5, [-1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = embedding_dedup.near_vectors(frame, threshold=0.6).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {
+        1: (1, 1), 2: (2, 1), 3: (1, 1), 4: (1, 4), 5: (1, 4)}
+
+
+def test_rows_of_one_id_are_in_one_component(spark):
+    rows = [(1, [1.0, 0.0]), (5, [1.0, 0.1]), (5, [0.0, 1.0]), (7, [0.1, 1.0])]
+    rows += [(7, [-1.0, 0.0]), (8, [0.0, -1.0])]
+    found = _found(spark, rows)
+    assert found == sorted([(1, 1, 1, True), (5, 1, 1, False), (5, 1, 1, False), (7, 1, 1, False),
+                            (7, 0, 1, False), (8, 0, 8, True)], key=repr)
